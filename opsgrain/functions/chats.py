@@ -15,7 +15,7 @@ def function_calls(chat: Column | str) -> Column:
     A single-quoted argument object is unquoted before parsing. A call that still does not
     parse keeps the first 100 characters of its raw text.
     """
-    found = F.regexp_extract_all(as_col(chat), F.lit(rules.CALL_PATTERN), F.lit(1))
+    found = F.regexp_extract_all(as_col(chat), F.lit("(?d)" + rules.CALL_PATTERN), F.lit(1))
     fixed = F.transform(found, lambda m: F.struct(
         m.alias("raw"), F.regexp_replace(m, rules.UNQUOTE_PATTERN, "$1").alias("text")))
     judged = F.transform(fixed, lambda c: F.struct(c["raw"].alias("raw"), c["text"].alias("text"),
@@ -88,7 +88,7 @@ def has_function_error(chat: Column | str) -> Column:
 
 
 def has_conditional_error(chat: Column | str) -> Column:
-    return F.lower(as_col(chat)).rlike(rules.CONDITIONAL_ERROR)
+    return F.lower(as_col(chat)).rlike("(?d)" + rules.CONDITIONAL_ERROR)
 
 
 def count_turns(chat: Column | str) -> Column:

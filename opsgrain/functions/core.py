@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,9 +16,16 @@ def as_col(col: Column | str) -> Column:
 
 
 def keyword_any(lowered: Column, keywords: Iterable[str]) -> Column:
-    """True when any literal keyword occurs. A chain of ``contains`` stays in codegen
-    and avoids the regex engine, which matters on long messages."""
-    return reduce(lambda a, b: a | b, [lowered.contains(k) for k in keywords])
+    """True when any literal keyword occurs.
+
+    One pattern per list keeps the generated code small: a chain of ``contains`` per keyword
+    outgrows what the JVM compiles. Pass a column that already is lower case, so that a list
+    of rules does not lower the text once per rule.
+    """
+    words = list(keywords)
+    if len(words) == 1:
+        return lowered.contains(words[0])
+    return lowered.rlike("|".join(re.sub(r"([^A-Za-z0-9_ ])", r"\\\1", w) for w in words))
 
 
 def first_match(branches: Iterable[tuple[Column, object]], default: Column | object) -> Column:
@@ -31,16 +38,15 @@ def first_match(branches: Iterable[tuple[Column, object]], default: Column | obj
 
 
 def lookup(key: Column, mapping: Mapping, default=None) -> Column:
-    """Literal map lookup as a ``when`` chain: null for an unmapped key unless a default is given."""
-    chain = None
-    for k, v in mapping.items():
-        chain = F.when(key == F.lit(k), F.lit(v)) if chain is None else chain.when(key == F.lit(k), F.lit(v))
-    return chain if default is None else chain.otherwise(F.lit(default))
+    """Literal map lookup; null for an unmapped key unless a default is given."""
+    pairs = [F.lit(x) for item in mapping.items() for x in item]
+    found = F.try_element_at(F.create_map(*pairs), key)
+    return found if default is None else F.coalesce(found, F.lit(default))
 
 
 def strip(col: Column | str) -> Column:
     """Python's ``str.strip``: every white-space character, not only the blank."""
-    return F.regexp_replace(as_col(col), f"^{rules.SPACE}+|{rules.SPACE}+$", "")
+    return F.btrim(as_col(col), F.lit(rules.SPACE_CHARS))
 
 
 def normalize_whitespace(col: Column | str) -> Column:

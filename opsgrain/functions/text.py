@@ -65,17 +65,19 @@ def text_metrics(col: Column | str) -> Column:
     )
 
 
-def _names_found(col: Column | str, table) -> Column:
-    low = F.lower(as_col(col))
+def _names_found(low: Column | str, table) -> Column:
+    low = as_col(low)
     return F.array_compact(F.array(*[F.when(keyword_any(low, kws), F.lit(name)) for name, kws in table]))
 
 
-def error_signatures(col: Column | str) -> Column:
-    return _names_found(col, rules.ERROR_SIGNATURES)
+def error_signatures(low: Column | str) -> Column:
+    """Names of the error patterns found in a lower-case text, in fixed order."""
+    return _names_found(low, rules.ERROR_SIGNATURES)
 
 
-def infra_components(col: Column | str) -> Column:
-    return _names_found(col, rules.INFRA_COMPONENTS)
+def infra_components(low: Column | str) -> Column:
+    """Names of the infrastructure components found in a lower-case text."""
+    return _names_found(low, rules.INFRA_COMPONENTS)
 
 
 def text_complexity(col: Column | str) -> Column:
@@ -86,8 +88,9 @@ def text_complexity(col: Column | str) -> Column:
     )
 
 
-def question_type(col: Column | str) -> Column:
-    low = F.lower(as_col(col))
+def question_type(low: Column | str) -> Column:
+    """First matching rule over a lower-case question."""
+    low = as_col(low)
     return first_match([(low.rlike(p), name) for name, p in rules.QUESTION_TYPE_RULES], "general")
 
 

@@ -16,7 +16,7 @@ from opsgrain.session import attach_row
 
 def _unified(raw: DataFrame, system: str, timestamp: Column, severity: Column, extras: Column,
              raw_id: Column | None = None, source: Column | None = None) -> DataFrame:
-    return raw.select(
+    return raw.withColumn("_low", lg.lowered("Content")).select(
         F.lit(system).alias("system"), timestamp.alias("timestamp"), severity.alias("severity"),
         (source if source is not None else F.col("Component")).alias("source"),
         F.col("EventId").alias("event_id"), F.col("EventTemplate").alias("event_template"),
@@ -27,20 +27,20 @@ def _unified(raw: DataFrame, system: str, timestamp: Column, severity: Column, e
 
 def normalize_linux(raw: DataFrame) -> DataFrame:
     return _unified(raw, "linux", F.concat_ws(" ", "Month", "Date", "Time"),
-                    lg.severity_by_keywords("Content"), json_object(pid="PID", level_raw="Level"))
+                    lg.severity_by_keywords(F.col("_low")), json_object(pid="PID", level_raw="Level"))
 
 
 def normalize_hpc(raw: DataFrame) -> DataFrame:
     """The line number stands in for a blank log id; the time is an epoch text and stays one."""
     log_id = F.when(strip("LogId") != "", F.col("LogId")).otherwise(F.col("LineId"))
-    return _unified(raw, "hpc", F.col("Time"), lg.severity_hpc("State", "Flag", "Content"),
+    return _unified(raw, "hpc", F.col("Time"), lg.severity_hpc("State", "Flag", F.col("_low")),
                     json_object(node="Node", component="Component", state="State", flag="Flag"),
                     raw_id=log_id, source=F.concat(F.col("Node"), F.lit("|"), F.col("Component")))
 
 
 def _dated(raw: DataFrame, system: str, errors, warns, extras: Column) -> DataFrame:
     return _unified(raw, system, F.concat_ws(" ", "Date", "Time"),
-                    lg.severity_by_level("Level", "Content", errors, warns), extras)
+                    lg.severity_by_level("Level", F.col("_low"), errors, warns), extras)
 
 
 def normalize_hdfs(raw: DataFrame) -> DataFrame:
@@ -79,7 +79,8 @@ def merge_events(normalized: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def label_event_types(events: DataFrame) -> DataFrame:
-    return events.withColumn("event_type", lg.event_type("message", "event_template", "severity"))
+    return events.withColumn("_low", lg.lowered("message", "event_template")) \
+        .withColumn("event_type", lg.event_type(F.col("_low"), "severity")).drop("_low")
 
 
 def sample_events(events: DataFrame, pct: int = 10) -> DataFrame:
