@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import case_map, in_list, kw, lit, query, sql_view
+from checks.registry import case_map, in_list, kw, lit, np_round, py_round, query, sql_view
 from checks.views import raw_logs, view
 from opsgrain import rules
 from opsgrain.functions import core
@@ -168,9 +168,9 @@ def _(spark, sf):
     return logs.event_counts_by_window(events(spark, sf))
 
 
-@query("J3_error_rate_by_system", """select system, time_bucket, count(*) as total,
+@query("J3_error_rate_by_system", f"""select system, time_bucket, count(*) as total,
     count(*) filter (where severity = 'ERROR') as error_count,
-    round(count(*) filter (where severity = 'ERROR') / count(*), 4) as error_rate from log_timed group by all""")
+    {np_round("count(*) filter (where severity = 'ERROR') / count(*)", 4)} as error_rate from log_timed group by system, time_bucket""")
 def _(spark, sf):
     return logs.error_rate_by_system(events(spark, sf))
 
@@ -209,11 +209,13 @@ def _(spark, sf):
                     F.array_join("sequence_ids", ",").alias("seq"), "label")
 
 
-sql_view("log_profile", """with p as (select system, event_type, count(*) as n, count(*) filter (where severity = 'ERROR') as e
-    from log_events group by all)
-    select system, sum(n)::bigint as count, round(sum(n) / (select count(*) from log_events) * 100, 2) as pct_of_total,
-    sum(e)::bigint as error_count, round(sum(e) / sum(n), 4) as error_rate, first(event_type order by n desc, event_type) as top_event_type,
-    string_agg(event_type || '=' || n, ',' order by event_type) as event_types from p group by 1""")
+sql_view("log_profile", f"""with p as (select system, event_type, count(*) as n, count(*) filter (where severity = 'ERROR') as e
+    from log_events group by all),
+    q as (select system, sum(n)::bigint as count, sum(n) / (select count(*) from log_events) * 100 as share,
+    sum(e)::bigint as error_count, sum(e) / sum(n) as rate, first(event_type order by n desc, event_type) as top_event_type,
+    string_agg(event_type || '=' || n, ',' order by event_type) as event_types from p group by 1)
+    select system, count, {py_round('share', 2)} as pct_of_total, error_count, {np_round('rate', 4)} as error_rate,
+    top_event_type, event_types from q""")
 
 
 def _profile_text(df):
@@ -235,11 +237,11 @@ def _(spark, sf):
     return logs.event_type_by_system(events(spark, sf))
 
 
-@query("G10_error_rate_flags", """with h as (select case when system = 'hpc' then 'hpc' else 'rest' end as system, count(*) as n,
+@query("G10_error_rate_flags", f"""with h as (select case when system = 'hpc' then 'hpc' else 'rest' end as system, count(*) as n,
     count(*) filter (where severity = 'ERROR' and system = 'hpc') as e from log_events group by 1),
     g as (select sum(e) / sum(n) as rate from h)
-    select system as slice, 'error_rate' as metric, round(e / n, 4) as value, round(rate, 4) as global_mean,
-    round(rate * 2, 4) as threshold, 'BIASED' as status from h, g where round(e / n, 4) > rate * 2""")
+    select system as slice, 'error_rate' as metric, {np_round('e / n', 4)} as value, {np_round('rate', 4)} as global_mean,
+    {np_round('rate * 2', 4)} as threshold, 'BIASED' as status from h, g where {np_round('e / n', 4)} > rate * 2""")
 def _(spark, sf):
     # one system against all the others, whose errors are taken as warnings
     e = events(spark, sf).withColumn("severity", F.when(
@@ -248,11 +250,11 @@ def _(spark, sf):
     return logs.error_rate_flags(logs.system_profile(e))
 
 
-@query("G11_dominance_flags", """with e as (select case when system = 'hpc' and event_type = 'normal_ops' then 'hpc' when system = 'hpc' then 'rest'
+@query("G11_dominance_flags", f"""with e as (select case when system = 'hpc' and event_type = 'normal_ops' then 'hpc' when system = 'hpc' then 'rest'
     when event_type = 'normal_ops' and k < 10 then 'rest' when event_type = 'normal_ops' then 'hpc' else 'rest' end as system, event_type from log_events),
     c as (select event_type, system, count(*) as count from e group by all),
     p as (select *, sum(count) over (partition by event_type) as total from c)
-    select system || '/' || event_type as slice, 'event_type_dominance' as metric, round(count / total, 4) as value,
+    select system || '/' || event_type as slice, 'event_type_dominance' as metric, {py_round('count / total', 4)} as value,
     0.8::double as threshold, 'BIASED' as status from p where total >= 5 and count / total > 0.8""")
 def _(spark, sf):
     e = events(spark, sf)
@@ -265,9 +267,9 @@ def _(spark, sf):
     return logs.dominance_flags(logs.event_type_by_system(joined.withColumn("system", system)))
 
 
-@query("G12_null_rates", """select 'status' as "column", round(count(*) filter (where status is null) / count(*) * 100, 2) as null_pct from batch_task
-    union all select 'plan_cpu', round(count(*) filter (where plan_cpu is null) / count(*) * 100, 2) from batch_task
-    union all select 'plan_mem', round(count(*) filter (where plan_mem is null) / count(*) * 100, 2) from batch_task""")
+@query("G12_null_rates", "\nunion all ".join(
+    f"""select '{c}' as "column", {np_round(f"count(*) filter (where {c} is null) / count(*) * 100", 2)} as null_pct from batch_task"""
+    for c in ("status", "plan_cpu", "plan_mem")))
 def _(spark, sf):
     return profile.null_rates(view(spark, sf, "batch_task").select("status", "plan_cpu", "plan_mem"))
 
@@ -324,7 +326,7 @@ def _(spark, sf):
 @query("D10_expect_sample_ratio", f"""with s as (select count(*) as s from log_events where {_md5_chunks("system || ':' || raw_id")} < 10),
     n as (select count(*) as n from log_events)
     select 'sample_ratio' as "check", case when s / n * 100 between 5 and 100 then 'passed' else 'failed' end as status,
-    round(s / n * 100, 2) as value from s, n""")
+    {py_round('s / n * 100', 2)} as value from s, n""")
 def _(spark, sf):
     e = events(spark, sf)
     return quality.expect_sample_ratio(logs.sample_events(e), e).select("check", "status", "value")

@@ -21,7 +21,7 @@ def sql_view(name: str, sql: str) -> None:
 
 def _needs(sql: str, seen: list[str]) -> list[str]:
     for name in SQL_VIEWS:
-        if name not in seen and re.search(rf"\b(?:from|join)\s+{name}\b", sql):
+        if name not in seen and re.search(rf"(?:\b(?:from|join)\s+|, ){name}\b", sql):
             _needs(SQL_VIEWS[name], seen)
             if name not in seen:
                 seen.append(name)
@@ -66,3 +66,18 @@ def case_map(expr: str, mapping, default: str) -> str:
     whens = " ".join(f"when {lit(k) if isinstance(k, str) else k} then {lit(v) if isinstance(v, str) else v}"
                      for k, v in mapping.items())
     return f"case {expr} {whens} else {default} end"
+
+
+def py_round(expr: str, digits: int) -> str:
+    """Half to even on the exact binary value, by exact decimal text of the double."""
+    t, u = 10 ** (digits + 1), 10 ** digits
+    return (f"(select case when d % 10 = 5 then (case when r > 0 then b + 1 when r < 0 then b else b + (b % 2) end) "
+            f"else w * {u} + floor((d + 5) / 10) end / {u}::double from (select *, w * {u} + (d - 5) / 10 as b, "
+            f"(h * {t} - d) + (f - h) * {t} as r from (select *, (f * 134217729::double) - ((f * 134217729::double) - f) as h, "
+            f"floor(f * {t} + 0.5::double) as d from (select *, v - w as f from (select v, floor(v) as w from (select ({expr})::double as v))))))")
+
+
+def np_round(expr: str, digits: int) -> str:
+    u = 10 ** digits
+    y = f"(({expr}) * {u}::double)"
+    return f"((case when {y} - floor({y}) = 0.5 then 2 * round({y} / 2) else round({y}) end) / {u}::double)"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import case_map, query, sql_view
+from checks.registry import case_map, np_round, py_round, query, sql_view
 from checks.views import view
 from opsgrain import rules
 from opsgrain.functions import telemetry as tok
@@ -126,17 +126,17 @@ def _(spark, sf):
     return telemetry.critical(sequences(spark, sf)).select("source", "row_id", "label", "label_name")
 
 
-@query("G2_value_distribution", f"""select {_STATUS} as value, count(*) as count,
-    round(count(*) / (select count(*) from batch_task) * 100, 2) as pct from batch_task group by 1""")
+@query("G2_value_distribution", f"""with c as (select {_STATUS} as value, count(*) as count from batch_task group by 1),
+    d as (select *, count / (select sum(count) from c) * 100 as p from c) select value, count, {py_round('p', 2)} as pct from d""")
 def _(spark, sf):
     return profile.value_distribution(telemetry.fill_job_defaults(view(spark, sf, "batch_task")), "status")
 
 
-@query("G3_sequence_stats", """with t as (select cast(unnest(string_split(seq, ',')) as int) as t from sequences),
+@query("G3_sequence_stats", f"""with t as (select cast(unnest(string_split(seq, ',')) as int) as t from sequences),
     n as (select len(string_split(seq, ',')) as n, label from sequences)
     select 'total_sequences' as metric, cast(count(*) as double) as value from n
     union all select 'length_min', min(n) from n union all select 'length_max', max(n) from n
-    union all select 'length_mean', round(avg(n), 2) from n
+    union all select 'length_mean', {py_round('a', 2)} from (select avg(n) as a from n)
     union all select 'empty_sequences', 0 union all select 'missing_fields', 0
     union all select 'invalid_labels', count(*) filter (where label not between 0 and 4) from n
     union all select 'label_Normal', count(*) filter (where label = 0) from n
@@ -152,7 +152,7 @@ def _(spark, sf):
     return profile.sequence_stats(sequences(spark, sf))
 
 
-@query("G4_failure_rate_by", """select task_type, round(count(*) filter (where status = 'Failed') / count(*) * 100, 2) as failure_pct
+@query("G4_failure_rate_by", f"""select task_type, {np_round("count(*) filter (where status = 'Failed') / count(*) * 100", 2)} as failure_pct
     from batch_task group by 1""")
 def _(spark, sf):
     return profile.failure_rate_by(telemetry.fill_job_defaults(view(spark, sf, "batch_task")), "task_type")
@@ -177,18 +177,18 @@ def _(spark, sf):
         "disparity", F.round("disparity", 9))
 
 
-@query("G6_dominant_values", """with c as (select case when plan_mem > 0.1 then 'planned' else 'tiny' end as v from batch_task)
-    select v as value, count(*) as count, round(count(*) / (select count(*) from c) * 100, 2) as pct from c group by 1
-    having round(count(*) / (select count(*) from c) * 100, 2) > 80""")
+@query("G6_dominant_values", f"""with c as (select case when plan_mem > 0.1 then 'planned' else 'tiny' end as value, count(*) as count from batch_task group by 1),
+    d as (select *, count / (select sum(count) from c) * 100 as p from c), e as (select value, count, {py_round('p', 2)} as pct from d)
+    select * from e where pct > 80""")
 def _(spark, sf):
     b = view(spark, sf, "batch_task").select(
         F.when(F.col("plan_mem") > 0.1, "planned").otherwise("tiny").alias("v"))
     return profile.dominant_values(b, "v")
 
 
-@query("G7_label_imbalance", f"""select {_NAME} as label_name, count(*) as count,
-    round(count(*) / (select count(*) from sequences) * 100, 2) as pct,
-    label = 0 and round(count(*) / (select count(*) from sequences) * 100, 2) > 70 as bias_detected from sequences group by label""")
+@query("G7_label_imbalance", f"""with c as (select {_NAME} as label_name, count(*) as count from sequences group by label),
+    d as (select *, count / (select sum(count) from c) * 100 as p from c), e as (select label_name, count, {py_round('p', 2)} as pct from d)
+    select *, label_name = 'Normal' and pct > 70 as bias_detected from e""")
 def _(spark, sf):
     return profile.label_imbalance(sequences(spark, sf))
 

@@ -135,3 +135,33 @@ def seeded_int(seed: int, *cols: Column | str) -> Column:
     """60 bits of a seeded md5 as a non-negative bigint."""
     ident = F.concat_ws(":", F.lit(str(seed)), *[as_col(c).cast("string") for c in cols])
     return F.conv(F.substring(F.md5(ident), 1, 15), 16, 10).cast("bigint")
+
+
+def py_round(col: Column | str, digits: int) -> Column:
+    """Python's ``round``: half to even on the exact binary value.
+
+    Spark rounds the shortest decimal text half up, which differs for 0.03125 or 2.675. The
+    candidate digit is found in floating point; when it is a 5, the exact remainder decides,
+    computed without error by splitting the fraction into two halves of 26 bits. Pass a column
+    rather than a large expression: it is used several times.
+    """
+    v = as_col(col).cast("double")
+    size = F.abs(v)
+    whole = F.floor(size).cast("double")
+    frac = size - whole
+    tens, unit = float(10 ** (digits + 1)), float(10 ** digits)
+    digit = F.floor(frac * tens + 0.5).cast("double")
+    split = frac * 134217729.0
+    high = split - (split - frac)
+    rest = (high * tens - digit) + (frac - high) * tens
+    below = whole * unit + (digit - 5.0) / 10.0
+    tie = F.when(rest > 0, below + 1.0).when(rest < 0, below).otherwise(below + F.pmod(below, F.lit(2.0)))
+    nearest = whole * unit + F.floor((digit + 5.0) / 10.0)
+    scaled = F.when(F.pmod(digit, F.lit(10.0)) == 5.0, tie).otherwise(nearest)
+    return F.when(size >= 2.0 ** 52 / tens, v).otherwise(F.signum(v) * scaled / unit)
+
+
+def np_round(col: Column | str, digits: int) -> Column:
+    """NumPy's ``round``: scale, round half to even, scale back."""
+    unit = float(10 ** digits)
+    return F.rint(as_col(col).cast("double") * unit) / unit

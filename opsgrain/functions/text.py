@@ -94,14 +94,14 @@ def question_type(low: Column | str) -> Column:
     return first_match([(low.rlike(p), name) for name, p in rules.QUESTION_TYPE_RULES], "general")
 
 
-def quality_score(score, answer_score, view_count, question_body, answer_body) -> Column:
-    """Votes, views and capped length terms, two decimals; bodies are the uncleaned ones."""
+def quality_points(score, answer_score, view_count, question_body, answer_body) -> Column:
+    """Votes, views and capped length terms; bodies are the uncleaned ones. The score is this
+    value rounded to two decimals with ``py_round``."""
     s, a, v = (F.coalesce(as_col(c), F.lit(0)) for c in (score, answer_score, view_count))
     q, ans = (F.coalesce(as_col(c), F.lit("")) for c in (question_body, answer_body))
-    total = (
+    return (
         s * F.lit(2.0) + a * F.lit(3.0) + v * F.lit(0.001)
         + F.least(word_count(q) / F.lit(50.0), F.lit(2.0))
         + F.least(word_count(ans) / F.lit(100.0), F.lit(3.0))
         + F.regexp_count(ans, F.lit(rules.CODE_BLOCK)) * F.lit(0.5)
     )
-    return F.round(total, 2)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opsgrain import rules
 from opsgrain.functions import code as cd
-from opsgrain.functions.core import as_col, first_match, json_valid, occurrences
+from opsgrain.functions.core import as_col, first_match, json_valid, occurrences, py_round
 from opsgrain.operators.ordering import top_n_per_group
 from opsgrain.operators.profile import unpivot, upper_median_stats, value_distributions
 from opsgrain.session import attach_row
@@ -116,7 +116,7 @@ def gate_funnel(gated: DataFrame) -> DataFrame:
     counted = gated.groupBy("status").agg(F.count("*").alias("count"))
     total = counted.agg(F.sum("count").alias("n"))
     return attach_row(counted, total, "_t").select(
-        "status", "count", F.round(F.col("count") / F.col("_t.n") * 100, 1).alias("pct"),
+        "status", "count", py_round(F.col("count") / F.col("_t.n") * 100, 1).alias("pct"),
         F.col("_t.n").alias("total"))
 
 
@@ -169,7 +169,7 @@ def code_corpus_profile(files: DataFrame, top_licenses: int = 15) -> DataFrame:
 
     def row(section: str, name: str, col: str) -> Column:
         return F.struct(F.lit(section).alias("section"), F.lit(name).alias("name"), F.col(col).alias("count"),
-                        F.round(F.col(col) / F.col("_n") * 100, 2).alias("pct"))
+                        py_round(F.col(col) / F.col("_n") * 100, 2).alias("pct"))
 
     counts = totals.select(F.inline(F.array(
         row("total", "rows", "_n"), row("pii", "files", "_pii"), *[row("null", c, c) for c in present])))
@@ -195,9 +195,9 @@ def slice_summary(records: DataFrame) -> DataFrame:
     dims = ("iac_type", "license", "size_bucket", "prompt_type")
     pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in dims])
     grouped = record_slices(records).select("manifest_chars", F.inline(pairs)).groupBy("dimension", "value").agg(
-        F.count("*").alias("count"), F.round(F.avg("manifest_chars"), 1).alias("mean_manifest_chars"))
+        F.count("*").alias("count"), py_round(F.avg("manifest_chars"), 1).alias("mean_manifest_chars"))
     total = records.agg(F.count("*").alias("n"))
-    pct = F.round(F.col("count") / F.col("_t.n") * 100, 2)
+    pct = py_round(F.col("count") / F.col("_t.n") * 100, 2)
     return attach_row(grouped, total, "_t").withColumn("pct_of_total", pct) \
         .withColumn("underrepresented", F.col("pct_of_total") < rules.MIN_SLICE_PCT) \
         .withColumn("overrepresented", F.col("pct_of_total") > rules.MAX_SLICE_PCT).drop("_t")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opsgrain import rules
 from opsgrain.functions import logs as lg
-from opsgrain.functions.core import json_object, stable_hash_keep, strip
+from opsgrain.functions.core import json_object, np_round, py_round, stable_hash_keep, strip
 from opsgrain.operators.ordering import top_n_per_group
 from opsgrain.session import attach_row
 
@@ -124,7 +124,7 @@ def error_rate_by_system(events: DataFrame) -> DataFrame:
     bucket = lg.time_bucket("timestamp", "system").alias("time_bucket")
     counted = events.groupBy("system", bucket).agg(
         F.count("*").alias("total"), F.count_if(F.col("severity") == "ERROR").alias("error_count"))
-    return counted.withColumn("error_rate", F.round(F.col("error_count") / F.col("total"), 4))
+    return counted.withColumn("error_rate", np_round(F.col("error_count") / F.col("total"), 4))
 
 
 def top_templates(events: DataFrame, n: int = rules.TOP_TEMPLATES) -> DataFrame:
@@ -145,7 +145,7 @@ def dominance_flags(pivot: DataFrame) -> DataFrame:
     share = F.col("count") / F.col("total")
     return pivot.where((F.col("total") >= rules.DOMINANCE_MIN_TOTAL) & (share > rules.DOMINANCE_SHARE)).select(
         F.concat_ws("/", "system", "event_type").alias("slice"), F.lit("event_type_dominance").alias("metric"),
-        F.round(share, 4).alias("value"), F.lit(rules.DOMINANCE_SHARE).alias("threshold"),
+        py_round(share, 4).alias("value"), F.lit(rules.DOMINANCE_SHARE).alias("threshold"),
         F.lit("BIASED").alias("status"))
 
 
@@ -159,8 +159,8 @@ def system_profile(events: DataFrame) -> DataFrame:
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("event_type", "n")))).alias("event_type_distribution"))
     total = per_system.agg(F.sum("count").alias("n"))
     return attach_row(per_system, total, "_t").select(
-        "system", "count", F.round(F.col("count") / F.col("_t.n") * 100, 2).alias("pct_of_total"),
-        "error_count", F.round(F.col("error_count") / F.col("count"), 4).alias("error_rate"),
+        "system", "count", py_round(F.col("count") / F.col("_t.n") * 100, 2).alias("pct_of_total"),
+        "error_count", np_round(F.col("error_count") / F.col("count"), 4).alias("error_rate"),
         "top_event_type", "event_type_distribution")
 
 
@@ -170,5 +170,5 @@ def error_rate_flags(profile: DataFrame) -> DataFrame:
     limit = F.col("_g.rate") * rules.ERROR_RATE_MULTIPLIER
     return attach_row(profile, overall, "_g").where((F.col("error_rate") > limit) & (limit > 0)).select(
         F.col("system").alias("slice"), F.lit("error_rate").alias("metric"), F.col("error_rate").alias("value"),
-        F.round("_g.rate", 4).alias("global_mean"), F.round(limit, 4).alias("threshold"),
+        np_round("_g.rate", 4).alias("global_mean"), np_round(limit, 4).alias("threshold"),
         F.lit("BIASED").alias("status"))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from opsgrain import rules
 from opsgrain.functions import telemetry as tok
+from opsgrain.functions.core import np_round, py_round
 from opsgrain.operators.ordering import top_n_per_group
 from opsgrain.operators.quantiles import exact_quantiles, quantile, upper_median
 from opsgrain.session import attach_row
@@ -27,7 +28,7 @@ def value_distribution(df: DataFrame, col: str) -> DataFrame:
     counted = df.groupBy(F.col(col).alias("value")).agg(F.count("*").alias("count"))
     total = counted.agg(F.sum("count").alias("n"))
     return attach_row(counted, total, "_t").where(F.col("value").isNotNull()).select(
-        "value", "count", F.round(F.col("count") / F.col("_t.n") * 100, 2).alias("pct"))
+        "value", "count", py_round(F.col("count") / F.col("_t.n") * 100, 2).alias("pct"))
 
 
 def value_distributions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -36,7 +37,7 @@ def value_distributions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     counted = df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("*").alias("count"))
     total = counted.where(F.col("column") == cols[0]).agg(F.sum("count").alias("n"))
     return attach_row(counted, total, "_t").where(F.col("value").isNotNull()).select(
-        "column", "value", "count", F.round(F.col("count") / F.col("_t.n") * 100, 2).alias("pct"))
+        "column", "value", "count", py_round(F.col("count") / F.col("_t.n") * 100, 2).alias("pct"))
 
 
 def dominant_values(df: DataFrame, col: str, pct: float = 80.0) -> DataFrame:
@@ -51,7 +52,7 @@ def label_imbalance(sequences: DataFrame, limit: float = 70.0) -> DataFrame:
 
 
 def failure_rate_by(tasks: DataFrame, col: str) -> DataFrame:
-    rate = F.round(F.count_if(F.col("status") == "Failed") / F.count("*") * 100, 2)
+    rate = np_round(F.count_if(F.col("status") == "Failed") / F.count("*") * 100, 2)
     return tasks.groupBy(col).agg(rate.alias("failure_pct"))
 
 
@@ -71,7 +72,7 @@ def sequence_stats(sequences: DataFrame) -> DataFrame:
     rows = sequences.agg(
         F.count("*").alias("total_sequences"),
         F.min(length).alias("length_min"), F.max(length).alias("length_max"),
-        F.round(F.avg(length), 2).alias("length_mean"),
+        py_round(F.avg(length), 2).alias("length_mean"),
         F.count_if(F.size("sequence_ids") == 0).alias("empty_sequences"),
         F.count_if(~F.col("label").between(0, 4)).alias("invalid_labels"),
         F.count_if(F.col("sequence_ids").isNull() | F.col("label").isNull()).alias("missing_fields"),
@@ -92,7 +93,7 @@ def sequence_stats(sequences: DataFrame) -> DataFrame:
 
 
 def null_rates(df: DataFrame) -> DataFrame:
-    rates = df.agg(*[F.round(F.count_if(F.col(c).isNull()) / F.count("*") * 100, 2).alias(c) for c in df.columns])
+    rates = df.agg(*[np_round(F.count_if(F.col(c).isNull()) / F.count("*") * 100, 2).alias(c) for c in df.columns])
     return unpivot(rates, {c: c for c in df.columns}, "column", "null_pct")
 
 
@@ -102,7 +103,7 @@ def profile_events(events: DataFrame) -> DataFrame:
         F.count("*").alias("total_rows"), F.lit(len(events.columns)).alias("total_columns"),
         F.count_distinct("event_id").alias("unique_event_ids"),
         F.count_distinct("event_template").alias("unique_event_templates"),
-        *[F.round(F.count_if(F.col(c).isNull()) / F.count("*") * 100, 2).alias(f"null_{c}") for c in events.columns])
+        *[np_round(F.count_if(F.col(c).isNull()) / F.count("*") * 100, 2).alias(f"null_{c}") for c in events.columns])
     table = [("table", c, c) for c in ("total_rows", "total_columns", "unique_event_ids", "unique_event_templates")]
     table += [("null_rates_pct", c, f"null_{c}") for c in events.columns]
     rows = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(n).alias("name"),
@@ -258,6 +259,6 @@ def upper_median_stats(long: DataFrame) -> DataFrame:
     """(metric, count, min, max, mean 1 dp, upper median) of a (metric, value) frame."""
     basic = long.groupBy("metric").agg(
         F.count("*").alias("count"), F.min("value").cast("bigint").alias("min"),
-        F.max("value").cast("bigint").alias("max"), F.round(F.avg("value"), 1).alias("mean"))
+        F.max("value").cast("bigint").alias("max"), py_round(F.avg("value"), 1).alias("mean"))
     median = exact_quantiles(long, "value", {"median": upper_median}, ["metric"])
     return basic.join(median.withColumn("median", F.col("median").cast("bigint")), "metric")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from opsgrain import rules
 from opsgrain.functions import text as tx
-from opsgrain.functions.core import as_col, strip
+from opsgrain.functions.core import as_col, py_round, strip
 
 
 def _count_or_zero(col: str) -> Column:
@@ -94,14 +94,15 @@ def qa_features(pairs: DataFrame) -> DataFrame:
     # lower-case texts are columns of their own: every rule reads them, none lowers them again
     staged = _cleaned(pairs).withColumn(
         "_all", F.concat_ws(" ", F.coalesce("title", F.lit("")), F.col("_q"), F.col("_a"))) \
-        .withColumn("_low", F.lower("_all")).withColumn("_qlow", F.lower("_q"))
+        .withColumn("_low", F.lower("_all")).withColumn("_qlow", F.lower("_q")) \
+        .withColumn("_points", tx.quality_points("score", "answer_score", "view_count", "question_body", "answer_body"))
     return staged.select(
         "question_id", tx.clean_text("title").alias("title"), F.col("_q").alias("question_body"),
         F.col("_a").alias("answer_body"), "tags", "score", "answer_score", "view_count",
         tx.error_signatures("_low").alias("error_signatures"), tx.infra_components("_low").alias("infra_components"),
         tx.question_type("_qlow").alias("question_type"), tx.text_complexity("_all").alias("complexity"),
         tx.text_metrics("_q").alias("question_metrics"), tx.text_metrics("_a").alias("answer_metrics"),
-        tx.quality_score("score", "answer_score", "view_count", "question_body", "answer_body").alias("quality_score"))
+        py_round("_points", 2).alias("quality_score"))
 
 
 def _turn(role: str, content: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from opsgrain import rules
 from opsgrain.functions import code as cd
-from opsgrain.functions.core import json_valid, strip
+from opsgrain.functions.core import json_valid, np_round, py_round, strip
 from opsgrain.operators.ordering import top_n_per_group
 from opsgrain.operators.profile import unpivot
 from opsgrain.session import attach_row
@@ -132,7 +132,7 @@ def expect_sample_ratio(sample: DataFrame, source: DataFrame, lo: float = 5.0, h
     return counts.select(
         F.lit("sample_ratio").alias("check"), F.lit("table").alias("column"),
         F.when(pct.between(lo, hi), "passed").otherwise("failed").alias("status"),
-        F.round(pct, 2).alias("value"), F.lit(lo).alias("threshold"), F.lit("error").alias("severity"),
+        py_round(pct, 2).alias("value"), F.lit(lo).alias("threshold"), F.lit("error").alias("severity"),
         F.concat(F.lit("sample_ratio on table: "), F.col("s").cast("string"), F.lit(" of "),
                  whole.cast("string")).alias("message"))
 
@@ -208,7 +208,7 @@ def chat_thresholds(features: DataFrame) -> DataFrame:
         limit = F.when(F.col("check") == k, F.lit(float(v))).otherwise(limit)
         is_below = is_below | F.lit(k in below) & (F.col("check") == k)
     anomaly = F.when(is_below, F.col("value") < limit).otherwise(F.col("value") > limit)
-    return values.select("check", F.round("value", 4).alias("value"), limit.alias("threshold"),
+    return values.select("check", np_round("value", 4).alias("value"), limit.alias("threshold"),
                          anomaly.alias("is_anomaly"))
 
 
@@ -250,7 +250,7 @@ def violation_counts(judged: DataFrame) -> DataFrame:
     n = F.count("*")
     totals = judged.agg(
         n.alias("total"), (n - bad).alias("valid"), bad.alias("invalid"),
-        F.when(n > 0, F.round((n - bad) / n * 100, 2)).otherwise(F.lit(0.0)).alias("pass_rate_pct"))
+        F.when(n > 0, py_round((n - bad) / n * 100, 2)).otherwise(F.lit(0.0)).alias("pass_rate_pct"))
     counts = judged.select(F.explode("violations").alias("violation")).groupBy("violation") \
         .agg(F.count("*").cast("double").alias("value"))
     return unpivot(totals, {c: c for c in totals.columns}, "violation", "value").unionByName(counts)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsgrain import rules
-from opsgrain.functions.core import seeded_int, seeded_key
+from opsgrain.functions.core import py_round, seeded_int, seeded_key
 from opsgrain.session import attach_row
 
 _PREFIX = 4  # hex digits of a hash bucket: 65,536 buckets per class
@@ -132,7 +132,7 @@ def train_test_split(df: DataFrame, key: Sequence[str], test_ratio: float = 0.2,
 
 def sampling_weight(pct: Column) -> Column:
     raw = F.least(pct, F.lit(rules.MAX_SLICE_PCT)) / pct
-    return F.when(pct <= 0, F.lit(1.0)).otherwise(F.round(F.greatest(F.lit(0.1), F.least(F.lit(5.0), raw)), 4))
+    return F.when(pct <= 0, F.lit(1.0)).otherwise(py_round(F.greatest(F.lit(0.1), F.least(F.lit(5.0), raw)), 4))
 
 
 def _class_shares(df: DataFrame, col: str, cap: float) -> DataFrame:
@@ -157,6 +157,12 @@ def capped_downsample(df: DataFrame, col: str, key: Sequence[str], cap: float =
         *df.columns, "sampling_weight")
 
 
+def slice_pairs(dimension: str, values: Column) -> Column:
+    """array<struct<dimension, value>> of the distinct values of one row; null is no value."""
+    known = F.array_distinct(F.array_compact(F.coalesce(values, F.array().cast("array<string>"))))
+    return F.transform(known, lambda v: F.struct(F.lit(dimension).alias("dimension"), v.alias("value")))
+
+
 def oversample_slices(df: DataFrame, suggestions: DataFrame, key: Sequence[str], max_slices: int = 3,
                       small: int = rules.SLICE_MIN_ROWS, seed: int = rules.SEED) -> DataFrame:
     """Add min(2 n, 100) drawn rows for the first slices that ask for augmentation.
@@ -168,10 +174,7 @@ def oversample_slices(df: DataFrame, suggestions: DataFrame, key: Sequence[str],
     dims = {"tags": "tag_", "error_signatures": "error_", "infra_components": "infra_"}
     chosen = suggestions.where((F.col("strategy") == "data_augmentation") & (F.col("priority") == "high")) \
         .orderBy("position").limit(max_slices).where(F.col("dimension").isin(*dims))
-    pairs = F.array_distinct(F.concat(*[
-        F.transform(F.coalesce(F.col(d), F.array().cast("array<string>")),
-                    lambda x, d=d: F.struct(F.lit(d).alias("dimension"), x.alias("value")))
-        for d in dims]))
+    pairs = F.concat(*[slice_pairs(d, F.col(d)) for d in dims])
     members = df.withColumn("_s", F.explode(pairs)).withColumn("dimension", F.col("_s.dimension")) \
         .withColumn("value", F.col("_s.value")).drop("_s") \
         .join(F.broadcast(chosen.select("dimension", "value")), ["dimension", "value"])
