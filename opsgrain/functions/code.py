@@ -7,6 +7,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsgrain import rules
 from opsgrain.functions.core import as_col, first_match, json_text, keyword_any, strip
@@ -126,7 +127,7 @@ def wrap_tool_call(content: Column | str) -> Column:
                     json_text(content), F.lit("}}"))
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(T.BooleanType())
 def _yaml_loads(texts: pd.Series) -> pd.Series:
     import yaml
 

@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsgrain import rules
 from opsgrain.functions.core import as_col, first_match, keyword_any, normalize_whitespace, word_count
@@ -27,7 +28,7 @@ def clean_text(col: Column | str, remove_code: bool = False) -> Column:
     return normalize_whitespace(text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
