@@ -8,6 +8,7 @@ from checks.registry import in_list, kw, lit, py_round, query, sql_view
 from checks.views import raw_logs, view
 from opsgrain import rules
 from opsgrain.functions import code as cd
+from opsgrain.functions.core import explode_rows
 from opsgrain.operators import code, logs, ordering, quality, sampling
 from opsgrain.plans import jobs
 from opsgrain.session import scratch_dir, stage_table
@@ -110,7 +111,7 @@ def _(spark, sf):
 
 @query("P25_escape_difficulty", f"select doc_id, {escape('content')} as difficulty from code_files")
 def _(spark, sf):
-    return files(spark, sf).select("doc_id", cd.escape_difficulty("content").alias("difficulty"))
+    return files(spark, sf).select("doc_id", cd.escape_difficulty(cd.escape_score("content")).alias("difficulty"))
 
 
 @query("P26_prompt_type", f"select doc_id, {prompt_type('prompt')} as prompt_type from code_named")
@@ -367,7 +368,7 @@ def judged(spark, sf):
 
 @query("D16_validate_code_records", "select doc_id as id, violation from code_violations")
 def _(spark, sf):
-    return judged(spark, sf).select(F.col("_key").alias("id"), F.explode("violations").alias("violation"))
+    return explode_rows(judged(spark, sf).withColumnRenamed("_key", "id"), F.col("violations"), "violation", "id")
 
 
 sql_view("code_report", f"""with b as (select count(distinct doc_id) as bad, (select count(*) from code_files) as n from code_violations)

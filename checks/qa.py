@@ -410,7 +410,7 @@ _AGGS = """count(*) as count, avg(quality_score) as quality_mean, stddev_samp(qu
     stddev_samp(length(question_body)) as question_length_std, avg(length(answer_body)) as answer_length_mean,
     stddev_samp(length(answer_body)) as answer_length_std, count(*) filter (where complexity = 'simple') / count(*) as simple_share,
     count(*) filter (where complexity = 'moderate') / count(*) as moderate_share, count(*) filter (where complexity = 'complex') / count(*) as complex_share"""
-MIN_ROWS = 5
+MIN_ROWS = 1
 sql_view("qa_slices", f"""select dimension, value, {_AGGS}, quantile_cont(quality_score, 0.5) as quality_median,
     count(*) / (select count(*) from qa) as proportion from qa_slice_rows s join qa using (question_id) group by 1, 2 having count(*) >= {MIN_ROWS}""")
 sql_view("qa_overall", f"select {_AGGS} from qa")

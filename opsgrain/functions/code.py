@@ -18,22 +18,35 @@ def size_bucket(n: Column | str) -> Column:
     return first_match([(n < 1_000, "<1KB"), (n < 10_000, "1-10KB"), (n < 100_000, "10-100KB")], ">100KB")
 
 
+def iac_head(content: Column | str) -> Column:
+    return F.substring(as_col(content), 1, 2000)
+
+
 def iac_type(content: Column | str, with_terraform: bool = True) -> Column:
     """Kind of manifest, judged by its first 2000 characters."""
-    head = F.substring(as_col(content), 1, 2000)
+    return iac_type_of_head(iac_head(content), with_terraform)
+
+
+def iac_type_of_head(head: Column | str, with_terraform: bool = True) -> Column:
+    head = as_col(head)
     branches = [(head.rlike(p), name) for name, p in rules.IAC_RULES]
     if with_terraform:
         branches.append((head.rlike(rules.TERRAFORM_PATTERN), "terraform"))
     return first_match(branches, "other")
 
 
-def escape_difficulty(content: Column | str) -> Column:
+def escape_score(content: Column | str) -> Column:
     c = as_col(content)
 
     def count(char: str) -> Column:
         return F.length(c) - F.length(F.replace(c, F.lit(char), F.lit("")))
 
-    score = count("\n") + count('"') * 2 + count("\\") * 3
+    return count("\n") + count('"') * 2 + count("\\") * 3
+
+
+def escape_difficulty(score: Column | str) -> Column:
+    """How much escaping a JSON string of the text needs, from its ``escape_score``."""
+    score = as_col(score)
     return first_match([(score > 5000, "hard"), (score > 1000, "medium")], "easy")
 
 

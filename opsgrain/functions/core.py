@@ -58,6 +58,12 @@ def word_count(col: Column | str) -> Column:
     return F.regexp_count(as_col(col), F.lit(f"{rules.NON_SPACE}+"))
 
 
+def explode_rows(df, array: Column, name: str, *keep: str):
+    """One row per array item. The outer form with a later filter keeps Spark from testing the
+    size of the array in front of it, which would compute an expensive array twice."""
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
+
+
 def occurrences(text: Column, literal: str) -> Column:
     """Non-overlapping occurrences of a literal, without the regex engine."""
     removed = F.replace(text, F.lit(literal), F.lit(""))
@@ -143,7 +149,7 @@ def py_round(col: Column | str, digits: int) -> Column:
     Spark rounds the shortest decimal text half up, which differs for 0.03125 or 2.675. The
     candidate digit is found in floating point; when it is a 5, the exact remainder decides,
     computed without error by splitting the fraction into two halves of 26 bits. Pass a column
-    rather than a large expression: it is used several times.
+    of an earlier projection rather than an expression: it is used several times.
     """
     v = as_col(col).cast("double")
     size = F.abs(v)

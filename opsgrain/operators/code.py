@@ -11,7 +11,7 @@ from opsgrain import rules
 from opsgrain.functions import code as cd
 from opsgrain.functions.core import as_col, first_match, json_valid, occurrences, py_round
 from opsgrain.operators.ordering import top_n_per_group
-from opsgrain.operators.profile import unpivot, upper_median_stats, value_distributions
+from opsgrain.operators.profile import unpivot, upper_median_stats, value_distributions, with_share
 from opsgrain.session import attach_row
 
 
@@ -115,9 +115,7 @@ def gate_funnel(gated: DataFrame) -> DataFrame:
     """Rows and share per status; ``ok`` is what gets written."""
     counted = gated.groupBy("status").agg(F.count("*").alias("count"))
     total = counted.agg(F.sum("count").alias("n"))
-    return attach_row(counted, total, "_t").select(
-        "status", "count", py_round(F.col("count") / F.col("_t.n") * 100, 1).alias("pct"),
-        F.col("_t.n").alias("total"))
+    return attach_row(with_share(counted, total, digits=1), total, "_all").withColumn("total", F.col("_all.n")).drop("_all")
 
 
 def roundtrip_counts(files: DataFrame, cfg: GateConfig = GateConfig()) -> DataFrame:
@@ -157,9 +155,12 @@ def pii_exposure(files: DataFrame) -> DataFrame:
 def code_corpus_profile(files: DataFrame, top_licenses: int = 15) -> DataFrame:
     """(section, name, count, pct): classes, null fields, files with personal data, licences."""
     content = F.coalesce(F.col("content"), F.lit(""))
+    # head and score are columns of their own, so the rules on them do not repeat the text work
     classes = files.select(
-        cd.iac_type(content).alias("iac_type"), cd.escape_difficulty(content).alias("escape_difficulty"),
-        cd.size_bucket(F.coalesce("size", F.lit(0))).alias("size_distribution"))
+        cd.iac_head(content).alias("_head"), cd.escape_score(content).alias("_score"),
+        F.coalesce("size", F.lit(0)).alias("_size")).select(
+        cd.iac_type_of_head("_head").alias("iac_type"), cd.escape_difficulty("_score").alias("escape_difficulty"),
+        cd.size_bucket("_size").alias("size_distribution"))
     dist = value_distributions(classes, classes.columns).select(
         F.col("column").alias("section"), F.col("value").alias("name"), "count", "pct")
     present = [c for c in rules.CODE_COLUMNS if c in files.columns]
@@ -168,11 +169,12 @@ def code_corpus_profile(files: DataFrame, top_licenses: int = 15) -> DataFrame:
         *[F.count_if(F.col(c).isNull()).alias(c) for c in present])
 
     def row(section: str, name: str, col: str) -> Column:
-        return F.struct(F.lit(section).alias("section"), F.lit(name).alias("name"), F.col(col).alias("count"),
-                        py_round(F.col(col) / F.col("_n") * 100, 2).alias("pct"))
+        return F.struct(F.lit(section).alias("section"), F.lit(name).alias("name"), F.col(col).alias("count"))
 
-    counts = totals.select(F.inline(F.array(
+    listed = totals.select("_n", F.inline(F.array(
         row("total", "rows", "_n"), row("pii", "files", "_pii"), *[row("null", c, c) for c in present])))
+    counts = listed.withColumn("_share", F.col("count") / F.col("_n") * 100) \
+        .select("section", "name", "count", py_round("_share", 2).alias("pct"))
     names = files.select(F.explode("max_stars_repo_licenses").alias("l")).groupBy(F.lower("l").alias("name")) \
         .agg(F.count("*").alias("count")).orderBy(F.desc("count"), F.asc("name")).limit(top_licenses)
     licenses = names.select(F.lit("license").alias("section"), "name", "count", F.lit(None).cast("double").alias("pct"))
@@ -197,10 +199,9 @@ def slice_summary(records: DataFrame) -> DataFrame:
     grouped = record_slices(records).select("manifest_chars", F.inline(pairs)).groupBy("dimension", "value").agg(
         F.count("*").alias("count"), py_round(F.avg("manifest_chars"), 1).alias("mean_manifest_chars"))
     total = records.agg(F.count("*").alias("n"))
-    pct = py_round(F.col("count") / F.col("_t.n") * 100, 2)
-    return attach_row(grouped, total, "_t").withColumn("pct_of_total", pct) \
+    return with_share(grouped, total, "pct_of_total") \
         .withColumn("underrepresented", F.col("pct_of_total") < rules.MIN_SLICE_PCT) \
-        .withColumn("overrepresented", F.col("pct_of_total") > rules.MAX_SLICE_PCT).drop("_t")
+        .withColumn("overrepresented", F.col("pct_of_total") > rules.MAX_SLICE_PCT)
 
 
 def imbalance_messages(summary: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsgrain import rules
-from opsgrain.functions.core import json_valid
+from opsgrain.functions.core import explode_rows, json_valid
 
 ROLES = ("system", "user", "assistant")
 
@@ -59,7 +59,7 @@ def _has_role(role: str) -> Column:
 
 def _errors(df: DataFrame, key: str, conditions: list[tuple[Column, Column | str]]) -> DataFrame:
     parts = [F.when(c, m if isinstance(m, Column) else F.lit(m)) for c, m in conditions]
-    return df.select(key, F.explode(F.array_compact(F.array(*parts))).alias("error"))
+    return explode_rows(df, F.array_compact(F.array(*parts)), "error", key)
 
 
 def validate_sequences(sequences: DataFrame, key: str) -> DataFrame:

@@ -23,12 +23,17 @@ def unpivot(one_row: DataFrame, names: dict[str, str], key: str, value: str) ->
     return one_row.select(F.inline(pairs))
 
 
+def with_share(counted: DataFrame, total: DataFrame, name: str = "pct", digits: int = 2) -> DataFrame:
+    """Adds the share of ``count`` in the one-row frame ``total`` (column n) in percent."""
+    raw = attach_row(counted, total, "_t").withColumn("_share", F.col("count") / F.col("_t.n") * 100)
+    return raw.withColumn(name, py_round("_share", digits)).drop("_t", "_share")
+
+
 def value_distribution(df: DataFrame, col: str) -> DataFrame:
     """value, count, share in percent of all rows (null values count in the total only)."""
     counted = df.groupBy(F.col(col).alias("value")).agg(F.count("*").alias("count"))
     total = counted.agg(F.sum("count").alias("n"))
-    return attach_row(counted, total, "_t").where(F.col("value").isNotNull()).select(
-        "value", "count", py_round(F.col("count") / F.col("_t.n") * 100, 2).alias("pct"))
+    return with_share(counted, total).where(F.col("value").isNotNull())
 
 
 def value_distributions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -36,8 +41,7 @@ def value_distributions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
     counted = df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("*").alias("count"))
     total = counted.where(F.col("column") == cols[0]).agg(F.sum("count").alias("n"))
-    return attach_row(counted, total, "_t").where(F.col("value").isNotNull()).select(
-        "column", "value", "count", py_round(F.col("count") / F.col("_t.n") * 100, 2).alias("pct"))
+    return with_share(counted, total).where(F.col("value").isNotNull())
 
 
 def dominant_values(df: DataFrame, col: str, pct: float = 80.0) -> DataFrame:

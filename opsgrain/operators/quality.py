@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from opsgrain import rules
 from opsgrain.functions import code as cd
-from opsgrain.functions.core import json_valid, np_round, py_round, strip
+from opsgrain.functions.core import explode_rows, json_valid, np_round, py_round, strip
 from opsgrain.operators.ordering import top_n_per_group
 from opsgrain.operators.profile import unpivot
 from opsgrain.session import attach_row
@@ -251,7 +251,7 @@ def violation_counts(judged: DataFrame) -> DataFrame:
     totals = judged.agg(
         n.alias("total"), (n - bad).alias("valid"), bad.alias("invalid"),
         F.when(n > 0, py_round((n - bad) / n * 100, 2)).otherwise(F.lit(0.0)).alias("pass_rate_pct"))
-    counts = judged.select(F.explode("violations").alias("violation")).groupBy("violation") \
+    counts = explode_rows(judged, F.col("violations"), "violation").groupBy("violation") \
         .agg(F.count("*").cast("double").alias("value"))
     return unpivot(totals, {c: c for c in totals.columns}, "violation", "value").unionByName(counts)
 
