@@ -157,7 +157,8 @@ def _(spark, sf):
 
 @query("C5_has_keyword", f"select doc_id, {kw('lower(content)', _ALL_WORDS)} as any_group, {kw('lower(content)', rules.CODE_KEYWORDS['ml_gpu'])} as gpu_group from code_files")
 def _(spark, sf):
-    return files(spark, sf).select("doc_id", cd.has_keyword("content").alias("any_group"), cd.has_keyword("content", ["ml_gpu"]).alias("gpu_group"))
+    f = files(spark, sf).withColumn("low", F.lower("content"))
+    return f.select("doc_id", cd.has_keyword("low").alias("any_group"), cd.has_keyword("low", ["ml_gpu"]).alias("gpu_group"))
 
 
 _K8S = "(contains(content, 'apiVersion') and contains(content, 'kind:') and contains(content, 'metadata:'))"
@@ -165,8 +166,9 @@ _K8S = "(contains(content, 'apiVersion') and contains(content, 'kind:') and cont
 
 @query("C6_ml_gate", f"select doc_id, {_K8S} and {kw('lower(content)', _ALL_WORDS)} as strict, {_K8S} or {kw('lower(content)', _ALL_WORDS)} as loose from code_files")
 def _(spark, sf):
-    return files(spark, sf).select("doc_id", code.ml_gate("content").alias("strict"),
-                                   code.ml_gate("content", code.GateConfig(ml_mode="loose")).alias("loose"))
+    f = files(spark, sf).withColumn("low", F.lower("content"))
+    return f.select("doc_id", code.ml_gate("content", "low").alias("strict"),
+                    code.ml_gate("content", "low", code.GateConfig(ml_mode="loose")).alias("loose"))
 
 
 @query("C7_license_gate", f"""select doc_id, case when len(lic) = 0 then 'missing_license' when not list_has_any(lic, {_ALLOWED}) then 'bad_license' end as required,

@@ -9,7 +9,7 @@ from checks.views import raw_logs, view
 from opsgrain import rules
 from opsgrain.functions import core
 from opsgrain.functions import logs as lg
-from opsgrain.operators import logs, ordering, profile, quality
+from opsgrain.operators import logs, profile, quality
 from opsgrain.plans import jobs
 
 
@@ -189,7 +189,7 @@ sql_view("log_windows", """select system, time_bucket('1 minute'::interval, ts,
 @query("W3_time_windows", """select system, strftime(w, '%Y-%m-%d %H:%M') as window_start, array_to_string(a, ',') as seq, label
     from log_windows""")
 def _(spark, sf):
-    w = ordering.time_windows(logs.with_sequence_columns(events(spark, sf)))
+    w = jobs.log_windows(events(spark, sf))
     return w.select("system", F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"),
                     F.array_join("sequence_ids", ",").alias("seq"), "label")
 
@@ -204,7 +204,7 @@ def _(spark, sf):
     list(event_int order by ts, try_cast(raw_id as bigint) nulls first, raw_id) as a, max(event_class) as label from log_timed group by 1, 2)
     select system, strftime(w, '%Y-%m-%d') as window_start, array_to_string(a[-50:], ',') as seq, label from d""")
 def _(spark, sf):
-    w = ordering.time_windows(logs.with_sequence_columns(events(spark, sf)), "1 day", 50)
+    w = jobs.log_windows(events(spark, sf), "1 day", 50)
     return w.select("system", F.date_format("window_start", "yyyy-MM-dd").alias("window_start"),
                     F.array_join("sequence_ids", ",").alias("seq"), "label")
 

@@ -82,15 +82,16 @@ def k8s_ok(content: Column | str, api_version: bool = True, kind: bool = True, m
     return ok
 
 
-def has_keyword(content: Column | str, groups: Sequence[str] = tuple(rules.CODE_KEYWORDS)) -> Column:
-    words = [k for g in groups for k in rules.CODE_KEYWORDS[g]]
-    return keyword_any(F.lower(as_col(content)), words)
+def has_keyword(low: Column | str, groups: Sequence[str] = tuple(rules.CODE_KEYWORDS)) -> Column:
+    """True when a keyword of the groups occurs in a lower-case text."""
+    return keyword_any(as_col(low), [k for g in groups for k in rules.CODE_KEYWORDS[g]])
 
 
 def redact(content: Column | str) -> Column:
     """Addresses, keys, mails and credential pairs replaced, in this order. The guards skip
     the expensive patterns for texts that can not match."""
-    c = F.regexp_replace(as_col(content), "(?U)" + rules.PII_IPV4, rules.REDACTED_IPV4)
+    c = as_col(content)
+    c = F.when(c.rlike(r"(?U)\d\.\d"), F.regexp_replace(c, "(?U)" + rules.PII_IPV4, rules.REDACTED_IPV4)).otherwise(c)
     c = F.when(c.contains("sk-"), F.regexp_replace(c, rules.PII_API_KEY, rules.REDACTED_API_KEY)).otherwise(c)
     c = F.when(c.contains("@"), F.regexp_replace(c, "(?U)" + rules.PII_EMAIL, rules.REDACTED_EMAIL)).otherwise(c)
     return F.regexp_replace(c, "(?iuU)" + rules.PII_CREDS, rules.REDACTED_CREDS)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,14 +18,12 @@ def as_col(col: Column | str) -> Column:
 def keyword_any(lowered: Column, keywords: Iterable[str]) -> Column:
     """True when any literal keyword occurs.
 
-    One pattern per list keeps the generated code small: a chain of ``contains`` per keyword
-    outgrows what the JVM compiles. Pass a column that already is lower case, so that a list
-    of rules does not lower the text once per rule.
+    A chain of ``contains`` scans bytes and is about three times as fast as one pattern. Pass
+    a column of an earlier projection that already is lower case: with the lowering inside,
+    every keyword would lower the text again and the generated code would outgrow the JVM's
+    limit.
     """
-    words = list(keywords)
-    if len(words) == 1:
-        return lowered.contains(words[0])
-    return lowered.rlike("|".join(re.sub(r"([^A-Za-z0-9_ ])", r"\\\1", w) for w in words))
+    return reduce(lambda a, b: a | b, [lowered.contains(w) for w in keywords])
 
 
 def first_match(branches: Iterable[tuple[Column, object]], default: Column | object) -> Column:
@@ -50,12 +48,12 @@ def strip(col: Column | str) -> Column:
 
 
 def normalize_whitespace(col: Column | str) -> Column:
-    collapsed = F.regexp_replace(F.coalesce(as_col(col), F.lit("")), f"{rules.SPACE}+", " ")
-    return F.trim(collapsed)
+    """Runs of white space to one blank, none at the ends; single blanks are not touched."""
+    return F.trim(F.regexp_replace(F.coalesce(as_col(col), F.lit("")), rules.JAVA_UNEVEN_SPACE, " "))
 
 
 def word_count(col: Column | str) -> Column:
-    return F.regexp_count(as_col(col), F.lit(f"{rules.NON_SPACE}+"))
+    return F.regexp_count(as_col(col), F.lit(rules.JAVA_NON_SPACE))
 
 
 def explode_rows(df, array: Column, name: str, *keep: str):

@@ -22,7 +22,7 @@ def text_without_code(col: Column | str) -> Column:
 
 
 def clean_text(col: Column | str, remove_code: bool = False) -> Column:
-    text = F.regexp_replace(F.coalesce(as_col(col), F.lit("")), f"{rules.URL_PREFIX}{rules.NON_SPACE}+", "[URL]")
+    text = F.regexp_replace(F.coalesce(as_col(col), F.lit("")), rules.URL_PREFIX + rules.JAVA_NON_SPACE, "[URL]")
     if remove_code:
         text = F.regexp_replace(F.regexp_replace(text, r"```[\s\S]*?```", ""), r"`[^`]+`", "")
     return normalize_whitespace(text)

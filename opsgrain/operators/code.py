@@ -51,9 +51,10 @@ def license_gate(licenses: Column | str, allow: tuple[str, ...] = rules.PERMISSI
     return F.when(F.size(arr) == 0, "missing_license").otherwise(reason) if require else reason
 
 
-def ml_gate(content: Column | str, cfg: GateConfig = GateConfig()) -> Column:
+def ml_gate(content: Column | str, low: Column | str, cfg: GateConfig = GateConfig()) -> Column:
+    """Manifest markers in the content and keywords in its lower-case form: both, or either."""
     k8s = cd.k8s_ok(content, cfg.require_api_version, cfg.require_kind, cfg.require_metadata)
-    word = cd.has_keyword(content, cfg.ml_groups)
+    word = cd.has_keyword(low, cfg.ml_groups)
     return (k8s & word) if cfg.ml_mode == "strict" else (k8s | word)
 
 
@@ -78,15 +79,15 @@ def code_gate(files: DataFrame, cfg: GateConfig = GateConfig(), yaml_check: bool
     if cfg.require_metadata:
         cheap.append((~content.contains("metadata:"), "missing_metadata"))
     staged = files.withColumn("_early", first_match(cheap, F.lit(None).cast("string"))) \
-        .withColumn("_lic", row_licenses())
+        .withColumn("_lic", row_licenses()).withColumn("_low", F.lower(content))
     early = [F.col("_early")]
     if cfg.valid_yaml_only if yaml_check is None else yaml_check:
         staged = staged.withColumn("_yaml", cd.yaml_valid("content", F.col("_early").isNull()))
         early.append(F.when(~F.col("_yaml"), "invalid_yaml"))
     late = [license_gate("_lic", cfg.licenses, cfg.require_license)]
     if cfg.require_ml_infra:
-        late.append(F.when(~ml_gate(content, cfg), "not_ml_infra"))
-    return staged.withColumn("status", F.coalesce(*early, *late, F.lit("ok"))).drop("_early", "_lic", "_yaml")
+        late.append(F.when(~ml_gate(content, "_low", cfg), "not_ml_infra"))
+    return staged.withColumn("status", F.coalesce(*early, *late, F.lit("ok"))).drop("_early", "_lic", "_yaml", "_low")
 
 
 def process_code(files: DataFrame, cfg: GateConfig = GateConfig()) -> DataFrame:
@@ -209,7 +210,7 @@ def imbalance_messages(summary: DataFrame) -> DataFrame:
     both = F.array(F.struct(F.lit("Underrepresented (<5.0%)").alias("kind"), F.col("underrepresented").alias("hit")),
                    F.struct(F.lit("Overrepresented (>40.0%)").alias("kind"), F.col("overrepresented").alias("hit")))
     hits = summary.select("dimension", "value", F.inline(both)).where("hit")
-    return hits.groupBy("dimension", "kind").agg(F.array_sort(F.collect_list("value")).alias("values"))
+    return hits.groupBy("dimension", "kind").agg(F.sort_array(F.collect_list("value")).alias("values"))
 
 
 def length_stats(records: DataFrame) -> DataFrame:

@@ -156,7 +156,7 @@ def system_profile(events: DataFrame) -> DataFrame:
     per_system = pairs.groupBy("system").agg(
         F.sum("n").alias("count"), F.sum("e").alias("error_count"),
         F.min_by("event_type", F.struct(F.negative("n"), F.col("event_type"))).alias("top_event_type"),
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("event_type", "n")))).alias("event_type_distribution"))
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("event_type", "n")))).alias("event_type_distribution"))
     total = per_system.agg(F.sum("count").alias("n"))
     return attach_row(per_system, total, "_t").select(
         "system", "count", py_round(F.col("count") / F.col("_t.n") * 100, 2).alias("pct_of_total"),

@@ -85,7 +85,7 @@ def time_windows(events: DataFrame, width: str = "1 minute", length: int = rules
     newest = Window.partitionBy(*keys).orderBy(F.desc("ts"), F.desc("_pos"), F.desc("raw_id"))
     kept = timed.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= length)
     lists = kept.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.negative("_rank").alias("r"), "event_int"))).alias("_seq"))
+        F.sort_array(F.collect_list(F.struct(F.negative("_rank").alias("r"), "event_int"))).alias("_seq"))
     return lists.join(labels, keys).select(
         *keys, F.transform("_seq", lambda x: x["event_int"]).alias("sequence_ids"), "label")
 

@@ -304,7 +304,7 @@ def alerts_from_findings(findings: DataFrame) -> DataFrame:
     """
     keys = ["pipeline", "kind"]
     names = top_n_per_group(findings.select(*keys, "name").distinct(), keys, [F.asc("name")], 5)
-    shown = names.groupBy(*keys).agg(F.array_join(F.array_sort(F.collect_list("name")), ", ").alias("names"))
+    shown = names.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("names"))
     sizes = findings.groupBy(*keys).agg(
         F.count("*").alias("findings"),
         *[F.count_if(F.col("level") == s).alias(f"{s}_severity") for s in ("high", "medium", "low")])

@@ -114,7 +114,7 @@ def _hash_cut(df: DataFrame, key: Sequence[str], seed: int, share: float) -> Dat
     final = both.where((F.substring("_key", 1, _PREFIX) == F.col("_c1._p"))
                        & (F.substring("_key", 1 + _PREFIX, _PREFIX) == F.col("_c2._p")))
     # about n / 2^32 keys share eight hex digits
-    return final.groupBy().agg(F.array_sort(F.collect_list("_key")).alias("_keys"), F.max("_c2._left").alias("_left")) \
+    return final.groupBy().agg(F.sort_array(F.collect_list("_key")).alias("_keys"), F.max("_c2._left").alias("_left")) \
         .select(F.get("_keys", (F.col("_left") - 1).cast("int")).alias("cut"))
 
 

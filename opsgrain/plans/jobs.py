@@ -39,8 +39,14 @@ def unified_events(raw: Mapping[str, DataFrame]) -> DataFrame:
     return logs.label_event_types(logs.merge_events({s: logs.NORMALIZERS[s](raw[s]) for s in rules.SYSTEMS}))
 
 
+def log_windows(events: DataFrame, width: str = "1 minute", length: int = rules.MAX_SEQUENCE_LENGTH) -> DataFrame:
+    """Windows of the events. The five narrow columns they need are staged, because the label
+    and the sequence each read them."""
+    return time_windows(stage_table(logs.with_sequence_columns(events)), width, length)
+
+
 def log_sequences(events: DataFrame, width: str = "1 minute") -> DataFrame:
-    windows = time_windows(logs.with_sequence_columns(events), width)
+    windows = log_windows(events, width)
     return windows.select(pad_or_truncate("sequence_ids").alias("sequence_ids"), "label")
 
 

@@ -28,7 +28,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 def write_report(rows: DataFrame, path: str, key: str, value: str, mode: str = "errorifexists") -> None:
     """A tidy (key, value) report of tens of rows as one JSON document."""
-    doc = rows.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(
+    doc = rows.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(
         F.struct(F.col(key).cast("string").alias("k"), F.col(value).alias("v")))))).alias("value"))
     doc.coalesce(1).write.mode(mode).text(path)
 
