@@ -353,15 +353,12 @@ def _(spark, sf):
     return profile.array_value_counts(features(spark, sf), "tags")
 
 
-sql_view("qa_bounds", "\nunion all ".join(
-    f"""select '{c}' as c, quantile_cont({c}::double, 0.25) as q1, quantile_cont({c}::double, 0.75) as q3 from qa""" for c in _NUM))
-sql_view("qa_long", "\nunion all ".join(f"select question_id, '{c}' as c, {c}::double as v from qa" for c in _NUM))
-
-
-@query("G19_iqr_outliers", """select question_id, l.c as "column", v as value, round(q1 - 1.5 * (q3 - q1), 6) as lower_bound, round(q3 + 1.5 * (q3 - q1), 6) as upper_bound
-    from qa_long l join qa_bounds b on b.c = l.c where v < q1 - 1.5 * (q3 - q1) or v > q3 + 1.5 * (q3 - q1)""")
+@query("G19_iqr_outliers", """with l as (select event_id, 'value' as c, value as v from events union all select event_id, 'user_id', user_id::double from events),
+    b as (select c, quantile_cont(v, 0.25) as q1, quantile_cont(v, 0.75) as q3 from l group by 1)
+    select event_id, l.c as "column", v as value, round(q1 - 1.5 * (q3 - q1), 6) as lower_bound, round(q3 + 1.5 * (q3 - q1), 6) as upper_bound
+    from l join b on b.c = l.c where v < q1 - 1.5 * (q3 - q1) or v > q3 + 1.5 * (q3 - q1)""")
 def _(spark, sf):
-    o = profile.iqr_outliers(staged(spark, sf), _NUM, "question_id")
+    o = profile.iqr_outliers(spark.read.parquet(f"{sf}/events.parquet"), ["value", "user_id"], "event_id")
     return o.withColumn("lower_bound", F.round("lower_bound", 6)).withColumn("upper_bound", F.round("upper_bound", 6))
 
 

@@ -159,6 +159,10 @@ def _yaml_loads(texts: pd.Series) -> pd.Series:
     return texts.map(ok)
 
 
+# keeps the optimizer from moving the call into a filter and so running it twice per row
+_yaml_loads = _yaml_loads.asNondeterministic()
+
+
 def yaml_valid(content: Column | str, only_where: Column | None = None) -> Column:
     """Single-document YAML that loads; null where ``only_where`` is false, so closed rows
     cross to Python as nulls and are not parsed."""

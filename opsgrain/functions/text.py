@@ -33,6 +33,10 @@ def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
+# keeps the optimizer from running the call more than once per row
+_unescape = _unescape.asNondeterministic()
+
+
 # fixed values: the entities of the native path, the ampersand last so nothing is decoded twice
 _BASIC_ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "),

@@ -12,7 +12,7 @@ from opsgrain.functions import code as cd
 from opsgrain.functions.core import as_col, first_match, json_valid, occurrences, py_round
 from opsgrain.operators.ordering import top_n_per_group
 from opsgrain.operators.profile import unpivot, upper_median_stats, value_distributions, with_share
-from opsgrain.session import attach_row
+from opsgrain.session import attach_row, stage_table
 
 
 @dataclass(frozen=True)
@@ -122,7 +122,8 @@ def gate_funnel(gated: DataFrame) -> DataFrame:
 def roundtrip_counts(files: DataFrame, cfg: GateConfig = GateConfig()) -> DataFrame:
     """Records whose wrapped answer parses as JSON and whose manifest loads as YAML again."""
     content = F.col("messages")[1]["content"]
-    judged = code_records(files, cfg).withColumn("_json", json_valid(content)).withColumn(
+    # read back, as a round trip is
+    judged = stage_table(code_records(files, cfg)).withColumn("_json", json_valid(content)).withColumn(
         "_yaml", cd.yaml_valid(F.get_json_object(content, "$.params.manifest_content"), F.col("_json")))
     good = F.col("_json") & F.coalesce(F.col("_yaml"), F.lit(False))
     return judged.agg(F.count_if(good).alias("wrap_ok"), F.count_if(~good).alias("wrap_fail"))

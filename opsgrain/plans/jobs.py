@@ -92,7 +92,7 @@ def code_training_table(files: DataFrame, cfg: code.GateConfig = code.GateConfig
     records = code.code_records(files, cfg)
     if not balanced:
         return records
-    kinds = stage_table(code.record_slices(records)).withColumn("_sha", F.col("_meta.hexsha"))
+    kinds = code.record_slices(stage_table(records)).withColumn("_sha", F.col("_meta.hexsha"))
     kept = capped_downsample(kinds, "iac_type", ["_sha"])
     return kept.select("messages", F.col("_meta").withField("sampling_weight", F.col("sampling_weight"))
                        .withField("iac_type", F.col("iac_type")).alias("_meta"))
