@@ -12,21 +12,19 @@ _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def bin_token(col: Column | str, base: int) -> Column:
-    """Ten-wide bins: base + min(floor(v / 10), 9). Text that is no number, null, NaN and
-    infinities give base + 4; negatives run below the base on purpose."""
+    """Ten-wide bins of text: base + min(floor(v / 10), 9). Text that is no number, null, NaN
+    and infinities give base + 4; negatives run below the base on purpose."""
     text = as_col(col).cast("string")
-    value = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    finite = F.when(F.abs(value) < F.lit(float("inf")), value)
-    bin_index = F.floor(F.least(finite / 10, F.lit(float(rules.BIN_MAX)))).cast("int")
-    return F.coalesce(bin_index + base, F.lit(base + rules.BIN_DEFAULT))
+    return numeric_bin_token(F.when(text.rlike(_NUMBER), text.try_cast("double")), base)
 
 
 def numeric_bin_token(col: Column | str, base: int) -> Column:
-    """``bin_token`` for a column that is already numeric: no text round trip."""
+    """``bin_token`` for a column that already is numeric: no text round trip."""
     value = as_col(col).cast("double")
-    finite = F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), value)
-    bin_index = F.floor(F.least(finite / 10, F.lit(float(rules.BIN_MAX)))).cast("int")
-    return F.coalesce(bin_index + base, F.lit(base + rules.BIN_DEFAULT))
+    bin_index = F.floor(F.least(value / 10, F.lit(float(rules.BIN_MAX)))).cast("int")
+    # least skips nulls, so the missing values are told apart by the finite test
+    finite = ~F.isnan(value) & (F.abs(value) < F.lit(float("inf")))
+    return F.when(finite, bin_index + base).otherwise(F.lit(base + rules.BIN_DEFAULT))
 
 
 def cpu_token(col: Column | str) -> Column:
