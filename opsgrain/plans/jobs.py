@@ -70,7 +70,9 @@ def qa_training_table(pairs: DataFrame, *, mitigate: bool = True, test_ratio: fl
         judged = slices.slice_bias(slices.slice_vs_overall(
             slices.slice_metrics(base, min_rows=min_rows), slices.overall_metrics(base)))
         advice = slices.mitigation_suggestions(judged).withColumn(
-            "position", F.struct("dimension", "value", "position"))
+            "position", F.concat_ws(":", "dimension", "value", F.col("position").cast("string")))
+        # the report is a table of its own, a few rows per slice
+        advice = stage_table(advice)
         rows = oversample_slices(base, advice, ["question_id"], small=rules.SLICE_MIN_ROWS, seed=seed)
     weighted = minmax_weight(rows, "quality_score")
     row = F.concat_ws("|", F.coalesce("drawn_for", F.lit("")), F.col("question_id").cast("string"),
