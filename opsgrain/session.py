@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -29,20 +30,45 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a private one only where none is named."""
+    """A new path in the shared folder that ``spark.checkpoint.dir`` names.
+
+    Only a local master may go without that setting: there one machine runs everything, so a
+    private folder is as good. On a cluster a missing or machine-local folder is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = tempfile.mkdtemp(prefix="opsgrain-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = _local_folder()
     return f"{named.rstrip('/')}/opsgrain/{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="opsgrain-")
+
+
 def stage_table(df: DataFrame) -> DataFrame:
-    """Write once to the shared folder and read back: cuts the lineage and survives lost executors."""
+    """Write once to the shared folder and read back: cuts the lineage and survives lost executors.
+
+    The table goes when the application ends, or earlier through ``drop_table``.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def drop_table(*staged: DataFrame) -> None:
+    """Delete tables of ``stage_table`` whose consumers have run."""
+    for df in staged:
+        spark = df.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(df._staged_at)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def attach_row(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,7 +14,5 @@ def spark():
 
     session = local_session(8, shuffle_partitions=4, app="tests")
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="opsgrain-tests-"))
     yield session
     session.stop()
