@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from opsgrain.llm import byte_bpe, decontaminate, line_dedup, pseudonyms, quality, secret_scan, sharding, simhash, sql
+from opsgrain.llm import byte_bpe, decontaminate, hidden_markov, line_dedup, pseudonyms, quality, secret_scan, sharding, simhash, sql, substrings
 from opsgrain.llm.common import table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,17 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_widespread", "n_removed", F.sha2(text_or_empty("text"), 256).alias("kept_sha256"))
 
 
+@query("op2_hidden_markov")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.score(table(spark, sf_dir, "documents"))
+
+
+@query("op3_suffix_automata", sql.REPEATS)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_quality_rules", sql.QUALITY)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opsgrain.llm import decontaminate, line_dedup, quality
+from opsgrain.llm import decontaminate, line_dedup, quality, substrings
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
@@ -72,6 +72,17 @@ k as (select r, string_agg(line, chr(10) order by i) filter (not (bad and cut))
 select doc_id, n_lines, n_widespread, case when cut then n_widespread else 0 end::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
 from t join d using (r) join k using (r)"""
 
+REPEATS = rf"""with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) as w from documents),
+win as (select r, i, md5(array_to_string(w[i : i + {substrings.LENGTH - 1}], ' ')) as s
+        from (select r, w, unnest(range(1, len(w) - {substrings.LENGTH} + 2)) as i from d)),
+dup as (select r, i from (select r, i, count(*) over (partition by s) as n from win) where n > 1),
+gone as (select distinct r, i + o as p from dup, range(0, {substrings.LENGTH}) as o(o)),
+words as (select r, p, w[p] as word from (select r, w, unnest(range(1, len(w) + 1)) as p from d)),
+kept as (select words.r, count(*) as n_kept, string_agg(word, ' ' order by words.p) as kept
+         from words anti join gone on gone.r = words.r and gone.p = words.p group by words.r)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n_kept, 0))::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join kept using (r)"""
+
 CONTAINMENT = rf"""with item as (select distinct item_id, coalesce(text, '') as text from benchmark),
 iw as (select item_id, text, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') as w from item),
 ik as (select *, least({decontaminate.WIDTH}, len(w)) as width from iw where len(w) > 0),
