@@ -134,10 +134,11 @@ def _phone(key: bytes, text: str) -> str | None:
     code = prefix[0][1:] if prefix else ""
     rest = d[len(code):]
     low = 10 ** (len(rest) - 1)
-    if rest[0] in "01" and not code and not text.startswith("+"):
+    national = not text.startswith("+")  # without a plus a number starts with neither 0 nor 1
+    if national and rest[0] in "01":
         return None
-    ok = None if rest[0] == "0" else (lambda v: v >= low)
-    v = permute(key, f"phone{code}|{len(rest)}|{rest[0] == '0'}", int(rest), low if rest[0] == "0" else 10 * low, ok)
+    zero, least = rest[0] == "0", (2 if national else 1) * low
+    v = permute(key, f"phone{code}|{len(rest)}|{zero}{national}", int(rest), low if zero else 10 * low, None if zero else lambda v: v >= least)
     return _spread(text, code + f"{v:0{len(rest)}d}")
 
 
