@@ -39,7 +39,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the hashes of token ids and decoded bytes of what is left."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return byte_bpe.digest(byte_bpe.encode(docs, path, public_tokenizers.PATTERN), path, public_tokenizers.PATTERN)
+    return byte_bpe.digest(docs, path, public_tokenizers.PATTERN)
 
 
 STAGES = [

@@ -11,11 +11,9 @@ from __future__ import annotations
 import base64
 import re
 import struct
-from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
-import pandas as pd
 import pyarrow as pa
 import regex
 import tiktoken
@@ -24,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsgrain.llm.common import batches_of, col, rows, row_key, text_or_empty
+from opsgrain.llm.common import arrow_batch, batches_of, col, rows, row_key, text_or_empty
 
 CHUNK = 1 << 15  # characters a chunk stands for
 OVERLAP = 1 << 10  # characters it reads beyond that
@@ -103,72 +101,91 @@ def trusted(text: str, pattern: regex.Pattern | re.Pattern, last: bool) -> tuple
     return starts, pieces
 
 
-def stitch(chunks: list[tuple[int, list[int], list[int], list[bytes]]]) -> bytes | None:
-    """Ids of a text from its chunks (start, piece starts, piece ends, piece ids), or None if two never meet.
+def edges(text: str, start: int, last: bool, words: Vocabulary, chunk: int, overlap: int) -> tuple[list[int], list[int], bytes]:
+    """What a chunk at ``start`` contributes: its ids, and the boundaries where it overlaps its neighbours,
+    as positions in the whole text with the number of id bytes before them."""
+    starts, pieces = trusted(text, words.cuts(text), last)
+    coded = [words.packed(p) for p in pieces]
+    places, before, done = [], [], 0
+    for at, ids in zip(starts, coded):
+        if at <= overlap or at >= chunk:
+            places.append(start + at)
+            before.append(done)
+        done += len(ids)
+    if pieces:
+        places.append(start + starts[-1] + len(pieces[-1]))
+        before.append(done)
+    return places, before, b"".join(coded)
+
+
+def stitch(chunks: list[tuple[list[int], list[int], bytes]]) -> bytes | None:
+    """Ids of a text from what its chunks contribute, in order, or None if two neighbours share no boundary.
 
     The first chunk starts where the text starts, so its boundaries are right; a boundary that the next one
     shares hands over to it.
     """
     out: list[bytes] = []
-    begin = 0
-    for k, (_, starts, ends, ids) in enumerate(chunks):
-        at = bisect_left(starts, begin)
-        if at == len(starts) or starts[at] != begin:
+    begin = chunks[0][0][0] if chunks[0][0] else None
+    for k, (places, before, ids) in enumerate(chunks):
+        mine = dict(zip(places, before))
+        if begin not in mine:
             return None
         if k + 1 == len(chunks):
-            out += ids[at:]
-            return b"".join(out)
-        after = set(chunks[k + 1][1])
-        meet = next((i for i in range(max(at, bisect_left(starts, chunks[k + 1][0])), len(starts)) if ends[i] in after), None)
+            out.append(ids[mine[begin]:])
+            break
+        after = set(chunks[k + 1][0])
+        meet = next((p for p in places if p >= begin and p in after), None)
         if meet is None:
             return None
-        out += ids[at:meet + 1]
-        begin = ends[meet]
+        out.append(ids[mine[begin]:mine[meet]])
+        begin = meet
     return b"".join(out)
 
 
-_IDS = pa.schema([("key", pa.binary()), ("doc_id", pa.int64()), ("ids", pa.binary())])
+_CODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("data", pa.binary())])
+_CHUNK = pa.schema([("key", pa.binary()), ("copies", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("places", pa.list_(pa.int64())),
+                    ("before", pa.list_(pa.int64())), ("ids", pa.binary()), ("text", pa.string())])
 
 
 def encode(docs: DataFrame, path: str, pattern: str, *, doc_id: str = "doc_id", text: str = "text",
-           chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+           chunk: int = CHUNK, overlap: int = OVERLAP, decoded: bool = False) -> DataFrame:
     """(doc_id, ids): token ids of every whole text as little-endian unsigned 32-bit integers.
 
-    A null text is empty and has no ids; null ids and repeated rows pass through (repeated long rows are told
-    apart by a number, so each keeps its own row). Only chunks of texts longer than one chunk are shuffled.
+    With ``decoded`` the bytes that the ids stand for follow in ``data``, joined by the same worker. A null text is
+    empty and has no ids; null ids and repeated rows pass through (repeated long rows are counted, so each
+    keeps its own row). Only chunks of texts longer than one chunk are shuffled.
     """
     name = _ship(docs.sparkSession, path)
+    schema = pa.schema(list(_CODED)[:3 if decoded else 2])
+    ddl = "doc_id long, ids binary" + ", data binary" * decoded
     source = docs.select(col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
 
+    def record(words: Vocabulary, i: int | None, ids: bytes) -> tuple:
+        return (i, ids, words.decode(ids)) if decoded else (i, ids)
+
     def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(name, pattern)
-        schema = pa.schema(list(_IDS)[1:])
-        yield from batches_of(((i, words.encode(t)) for i, t in rows(batches)), schema)
+        yield from batches_of((record(words, i, words.encode(t)) for i, t in rows(batches)), schema)
 
     def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(name, pattern)
 
         def records():
-            for key, copies, i, start, last, t in rows(batches):
-                starts, pieces = trusted(t, words.cuts(t), last)
-                yield (key, copies, i, start, [start + s for s in starts], [start + s + len(p) for s, p in zip(starts, pieces)],
-                       [words.packed(p) for p in pieces], t)
-
-        yield from batches_of(records(), chunk_schema, size=16)
+            for key, copies, i, start, last, t in rows(batches, 32):
+                yield key, copies, i, start, *edges(t, start, last, words, chunk, overlap), t
 
-    chunk_schema = pa.schema([("key", pa.binary()), ("copies", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()),
-                              ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("ids", pa.list_(pa.binary())), ("text", pa.string())])
+        yield from batches_of(records(), _CHUNK, size=16)
 
-    def join(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("start")
-        ids = stitch([(s, list(a), list(b), list(c)) for s, a, b, c in zip(frame["start"], frame["starts"], frame["ends"], frame["ids"])])
+    def join(table: pa.Table) -> pa.Table:
+        words = vocabulary(name, pattern)
+        found = table.sort_by("start").to_pylist()
+        ids = stitch([(r["places"], r["before"], r["ids"]) for r in found])
         if ids is None:  # no shared boundary within an overlap, as in one endless run of letters: scan the text as a whole
-            whole_text = "".join(t[:chunk] for t in frame["text"])
-            ids = vocabulary(name, pattern).encode(whole_text)
-        first = frame.iloc[0]
-        return pd.DataFrame({"doc_id": pd.array([first["doc_id"]], "Int64"), "ids": [ids], "copies": [first["copies"]]})
+            ids = words.encode("".join(r["text"][:chunk] for r in found))
+        copies = found[0]["copies"]
+        return pa.Table.from_batches([arrow_batch([record(words, found[0]["doc_id"], ids)] * copies, schema)])
 
-    short = source.where(F.char_length("text") <= chunk).mapInArrow(whole, "doc_id long, ids binary")
+    short = source.where(F.char_length("text") <= chunk).mapInArrow(whole, ddl)
     long = (source.where(F.char_length("text") > chunk).withColumn("key", row_key("doc_id", "text"))
             .groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").alias("copies")))
     begin = F.explode(F.sequence(F.lit(0), F.floor((F.char_length("text") - 1) / chunk).cast("int"))).alias("k")
@@ -176,11 +193,9 @@ def encode(docs: DataFrame, path: str, pattern: str, *, doc_id: str = "doc_id",
               .select("key", "copies", "doc_id", (F.col("k") * chunk).cast("long").alias("start"),
                       (F.col("k") * chunk + chunk + overlap >= F.char_length("text")).alias("last"),
                       F.substring("text", F.col("k") * chunk + 1, F.lit(chunk + overlap)).alias("text")))
-    spread = pieces.repartition("key", "start")
-    coded = spread.mapInArrow(parts, "key binary, copies long, doc_id long, start long, starts array<long>, ends array<long>, ids array<binary>, text string")
-    joined = coded.groupBy("key").applyInPandas(join, "doc_id long, ids binary, copies long")
-    again = joined.select("doc_id", "ids", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("doc_id", "ids")
-    return short.unionByName(again)
+    coded = pieces.repartition("key", "start").mapInArrow(
+        parts, "key binary, copies long, doc_id long, start long, places array<long>, before array<long>, ids binary, text string")
+    return short.unionByName(coded.groupBy("key").applyInArrow(join, ddl))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -195,8 +210,8 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return encoded.withColumn("data", back("ids"))
 
 
-def digest(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens and the hashes of ids and decoded bytes."""
-    return decode(encoded, path, pattern).select(
+def digest(docs: DataFrame, path: str, pattern: str, **more) -> DataFrame:
+    """doc_id, n_tokens and the hashes of ids and decoded bytes of every text."""
+    return encode(docs, path, pattern, decoded=True, **more).select(
         "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))

@@ -59,12 +59,12 @@ def batches_of(records: Iterable[tuple], schema: pa.Schema, size: int = 2048, li
         held.append(record)
         weight += sum(len(v) for v in record if isinstance(v, (str, bytes)))
         if len(held) >= size or weight >= limit:
-            yield _batch(held, schema)
+            yield arrow_batch(held, schema)
             held, weight = [], 0
     if held:
-        yield _batch(held, schema)
+        yield arrow_batch(held, schema)
 
 
-def _batch(records: Sequence[tuple], schema: pa.Schema) -> pa.RecordBatch:
+def arrow_batch(records: Sequence[tuple], schema: pa.Schema) -> pa.RecordBatch:
     arrays = [pa.array(values, type=field.type) for values, field in zip(zip(*records), schema)]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)

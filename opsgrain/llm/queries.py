@@ -65,8 +65,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_byte_bpe")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return byte_bpe.digest(ids, path, public_tokenizers.PATTERN)
+    return byte_bpe.digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
 @query("op8_benchmark_containment", sql.CONTAINMENT)

@@ -146,8 +146,7 @@ def library():
 @pytest.mark.parametrize("chunk, overlap", [(1 << 15, 1 << 10), (64, 24), (16, 4)])
 def test_bpe_like_the_library(spark, library, chunk, overlap):
     docs = [d for d in documents() if chunk > 1000 or len(d[1] or "") < 20_000]
-    ids = byte_bpe.encode(frame(spark, docs), PATH, PATTERN, chunk=chunk, overlap=overlap)
-    got = byte_bpe.digest(ids, PATH, PATTERN).collect()
+    got = byte_bpe.digest(frame(spark, docs), PATH, PATTERN, chunk=chunk, overlap=overlap).collect()
     want = []
     for d in docs:
         i = library[1].encode_ordinary(d[1] or "")
@@ -166,5 +165,11 @@ def test_bpe_engines_agree(library):
         assert list(struct.unpack(f"<{len(words.encode(text)) // 4}I", words.encode(text))) == enc.encode_ordinary(text)
 
 
+def test_bpe_decode(spark):
+    ids = byte_bpe.encode(frame(spark), PATH, PATTERN)
+    back = byte_bpe.decode(ids, PATH, PATTERN).collect()
+    assert tidy((r.doc_id, bytes(r.data).decode()) for r in back) == tidy((d[0], d[1] or "") for d in documents())
+
+
 def test_bpe_empty(spark):
     assert byte_bpe.encode(frame(spark, []), PATH, PATTERN).collect() == []
