@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import kw, lit, np_round, py_round, query, sql_view
+from checks.registry import in_list, kw, lit, np_round, py_round, query, sql_view
 from checks.telemetry import sequences
 from checks.views import Q, pick, view
 from opsgrain import rules
@@ -25,7 +25,7 @@ sql_view("chat_calls", f"""select conv_id, pos, m, f, json_valid(f) as ok, case
 sql_view("chat_sigs", r"""select conv_id, system, case when json_valid(j) then j end as j from (select conv_id, system, regexp_extract(system, '(?s)\{.*\}', 0) as j from chats)""")
 _KEYWORDS = "list_filter([" + ", ".join(f"case when contains(lower(chat), {lit(k)}) then {lit(k)} end" for k in rules.ERROR_KEYWORDS) + "], lambda v: v is not null)"
 sql_view("chat_features", f"""with c as (select conv_id, count(*) as n, bool_or(not ok) as bad, first(arguments order by pos) as args,
-      '[' || string_agg(case when ok then f else '{{"__malformed__": ' || to_json(substr(m, 1, 100)) || '}}' end, ', ' order by pos) || ']' as texts,
+      '[' || string_agg(case when ok then f else '{{"__malformed__": ' || to_json(m) || '}}' end, ', ' order by pos) || ']' as texts,
       string_agg('{{"tool": ' || to_json(name) || ', "params": ' || arguments || '}}', ', ' order by pos) as steps from chat_calls group by 1),
     s as (select conv_id, case when j is not null then 1 else 0 end as fns, case when j is null then '{{}}' else '{{"' || json_extract_string(j, '$.name') || '":{{"description":' ||
       json_extract(j, '$.description') || ',"parameters":' || to_json(json_keys(j, '$.parameters.properties')) || ',"required":' || json_extract(j, '$.parameters.required') || '}}}}' end as sig,
@@ -43,7 +43,7 @@ def features(spark, sf):
     return chats.chat_features(view(spark, sf, "chats"))
 
 
-@query("F11_extract_function_calls", """select conv_id, pos, name, arguments, case when ok then f else substr(m, 1, 100) end as raw, not ok as malformed from chat_calls""")
+@query("F11_extract_function_calls", """select conv_id, pos, name, arguments, case when ok then f else m end as raw, not ok as malformed from chat_calls""")
 def _(spark, sf):
     c = view(spark, sf, "chats").select("conv_id", F.posexplode(ch.function_calls("chat")).alias("pos", "c"))
     return c.select("conv_id", "pos", "c.*")
@@ -92,18 +92,17 @@ def _(spark, sf):
     return f.select(*_COLS, F.array_join(F.from_json("error_keywords_found", "array<string>"), ",").alias("error_keywords_found"))
 
 
-@query("F25_functions_to_chat", f"""select conv_id, 'You are {rules.ASSISTANT_NAME}, an MLOps remediation engine. Convert user requests into valid JSON workflow definitions.' || chr(10) ||
-    'Available Tools: ' || function_signatures as system_turn,
-    case when contains(chat, 'USER:') then trim(regexp_extract(chat, {lit(rules.FIRST_USER)}, 1), ' ' || chr(10)) else substr(chat, 1, 200) end as user_turn,
+@query("F25_functions_to_chat", f"""select conv_id, {lit(f'{rules.ASSISTANT_NAME}: {rules.TOOL_PROMPT}')} || chr(10) || 'Tools: ' || function_signatures as system_turn,
+    case when contains(chat, 'USER:') then trim(regexp_extract(chat, {lit(rules.FIRST_USER)}, 1), ' ' || chr(10)) else chat end as user_turn,
     case when num_calls > 0 and not has_malformed then '{{"workflow": {{"steps": [' || steps || ']}}}}'
-    else '{{"workflow": {{"steps": []}}, "message": ' || to_json(substr(trim(regexp_extract(chat, {lit(rules.FIRST_REPLY)}, 1), ' ' || chr(10)), 1, 200)) || '}}' end as assistant_turn from chat_features""")
+    else '{{"workflow": {{"steps": []}}, "message": ' || to_json(trim(regexp_extract(chat, {lit(rules.FIRST_REPLY)}, 1), ' ' || chr(10))) || '}}' end as assistant_turn from chat_features""")
 def _(spark, sf):
     c = chats.functions_to_chat(features(spark, sf))
     return c.select("conv_id", *[F.col("messages")[i]["content"].alias(f"{r}_turn") for i, r in enumerate(generated.ROLES)])
 
 
 _TURNS = """case when num_turns > 0 and num_turns <= 1 then 'single' when num_turns > 1 and num_turns <= 3 then 'short' when num_turns > 3 and num_turns <= 5 then 'medium'
-    when num_turns > 5 and num_turns <= 100 then 'long' end"""
+    when num_turns > 5 then 'long' end"""
 _CALLS = """case num_calls when 0 then 'no_calls' when 1 then 'one_call' when 2 then 'two_calls' else 'many_calls' end"""
 
 
@@ -119,8 +118,8 @@ sql_view("chat_slices", f"""with l as ({' union all '.join(f"select '{k}' as sli
       count(*) filter (where has_error_handling) / count(*) as e, count(*) / (select count(*) from chat_features) as p from l where slice_value is not null group by 1, 2)
     select slice_column, slice_value, count, {np_round('t', 2)} as avg_turns, {np_round('c', 2)} as avg_calls, malformed_count, {np_round('e', 4)} as error_handling_pct,
     {py_round('p', 4)} as proportion, p < 0.05 as is_underrepresented from g""")
-# malformed chats thinned out, so that a rare slice exists at every size
-_RARE = "conv_id % 6 <> 4 or conv_id % 90 = 4"
+# most malformed chats are relabelled, so that a rare slice exists at every size; no chat is left out
+_TIER = "case when complexity_tier = 'malformed' and conv_id % 90 <> 4 then 'none' else complexity_tier end"
 
 
 @query("G26_representation", "select * from chat_slices")
@@ -128,13 +127,13 @@ def _(spark, sf):
     return slices.representation(features(spark, sf))
 
 
-sql_view("chat_rare", f"""with l as ({' union all '.join(f"select '{k}' as slice_column, cast({v} as varchar) as slice_value from chat_features where {_RARE}" for k, v in _DIMS.items())}),
-    g as (select slice_column, slice_value, count(*) as count, count(*) / (select count(*) from chat_features where {_RARE}) as p from l where slice_value is not null group by 1, 2)
+sql_view("chat_rare", f"""with l as ({' union all '.join(f"select '{k}' as slice_column, cast({v} as varchar) as slice_value from chat_features" for k, v in (_DIMS | {'complexity_tier': _TIER}).items())}),
+    g as (select slice_column, slice_value, count(*) as count, count(*) / (select count(*) from chat_features) as p from l where slice_value is not null group by 1, 2)
     select slice_column, slice_value, count, {py_round('p', 4)} as proportion from g where p < 0.05""")
 
 
 def _findings(spark, sf):
-    return slices.representation_findings(slices.representation(features(spark, sf).where(_RARE)))
+    return slices.representation_findings(slices.representation(features(spark, sf).withColumn("complexity_tier", F.expr(_TIER))))
 
 
 @query("G27_representation_findings", "select *, case when proportion < 0.01 then 'high' else 'medium' end as severity from chat_rare")
@@ -158,7 +157,7 @@ def _(spark, sf):
 
 @query("W7_take_sample", "select conv_id, system from chats order by conv_id limit 5000")
 def _(spark, sf):
-    return ordering.take_sample(view(spark, sf, "chats"), "conv_id").select("conv_id", "system")
+    return ordering.take_sample(view(spark, sf, "chats"), "conv_id", 5000).select("conv_id", "system")
 
 
 def _between(c, lo, hi):
@@ -201,11 +200,19 @@ def _(spark, sf):
     return quality.chat_thresholds(features(spark, sf))
 
 
-@query("D4_chat_suite", """select count(*) as checks, count(*) filter (where bad) as failed from (
-    select unnest([false, false, false, false, false, min(num_turns) < 0, max(num_turns) > 50, min(num_calls) < 0, max(num_calls) > 20, min(num_defined_functions) < 0,
-    max(num_defined_functions) > 20, min(length(chat)) < 10, count(*) < 4000, count(*) > 6000]) as bad from chat_features)""")
+_BROKEN = [
+    *[f"count(*) filter (where {c} is null) > 0" for c in ("chat", "num_turns", "num_calls", "complexity_tier")],
+    f"count(*) filter (where complexity_tier not in {in_list(rules.COMPLEXITY_TIERS)}) > 0",
+    "min(num_turns) < 0", "max(num_turns) > 50", "min(num_calls) < 0", "max(num_calls) > 20", "min(num_defined_functions) < 0",
+    "max(num_defined_functions) > 20", "min(length(chat)) < 10", "count(*) < 4000",
+    *[f"count(*) filter (where lower({c}::varchar) not in ('true', 'false')) > 0" for c in rules.CHAT_FLAGS],
+    "false",  # the required columns are there
+]
+
+
+@query("D4_chat_suite", f"select count(*) as checks, count(*) filter (where bad) as failed from (select unnest([{', '.join(_BROKEN)}]) as bad from chat_features)")
 def _(spark, sf):
-    return quality.check_suite(features(spark, sf), quality.chat_suite()).agg(
+    return quality.chat_checks(features(spark, sf)).agg(
         F.count("*").alias("checks"), F.count_if(F.col("status") == "failed").alias("failed"))
 
 
@@ -227,7 +234,7 @@ def _(spark, sf):
     return ledger.unprocessed(prompts, ledger.read_ledger(spark, path)).select("id")
 
 
-@query("F24_generated_to_chat", f"""select id, 'You are {rules.ASSISTANT_NAME}. Available Tools: ' || tool_context as system_turn, user_intent as user_turn,
+@query("F24_generated_to_chat", f"""select id, '{rules.ASSISTANT_NAME} can use these tools: ' || tool_context as system_turn, user_intent as user_turn,
     '{{"workflow": ' || workflow_json || '}}' as assistant_turn from prompts""")
 def _(spark, sf):
     c = generated.generated_to_chat(view(spark, sf, "prompts"))
@@ -239,9 +246,12 @@ def _(spark, sf):
     return view(spark, sf, "prompts").select("id", valid_workflow("workflow_json").alias("ok"))
 
 
-@query("G36_format_b_stats", """select count(*) as row_count, count(*) filter (where user_intent = '') as missing_user_intent, 0 as records_missing_valid_messages from prompts""")
+@query("G36_format_b_stats", """select count(*) as row_count, count(*) filter (where user_intent = '') as missing_user_intent, count(*) filter (where id % 8 in (0, 3)) as records_missing_valid_messages from prompts""")
 def _(spark, sf):
-    return generated.format_b_stats(generated.generated_to_chat(view(spark, sf, "prompts")), "user_intent")
+    # some records have lost their messages or a turn
+    rows, kind = generated.generated_to_chat(view(spark, sf, "prompts")), F.col("id") % 8
+    cut = F.when(kind == 3, F.slice("messages", 1, 2)).when(kind != 0, F.col("messages"))
+    return generated.format_b_stats(rows.withColumn("messages", cut), "user_intent")
 
 
 @query("G36_message_stats", """select count(*) as row_count, 0 as missing_user_intent, count(*) filter (where len(messages) < 3) as records_missing_valid_messages from messages""")
@@ -256,15 +266,15 @@ def _no(role):
     return f"len(list_filter(messages, lambda m: m.role = '{role}')) = 0"
 
 
-@query("D14_validate_chats", f"""select conv_id, '''messages'' must be array of at least 3 (system, user, assistant)' as error from messages where {_FEW}
-    union all select conv_id, 'messages must include system, user, assistant roles' from messages where not ({_FEW}) and ({_no('system')} or {_no('user')} or {_no('assistant')})""")
+@query("D14_validate_chats", f"""select conv_id, {lit(generated.TOO_SHORT)} as error from messages where {_FEW}
+    union all select conv_id, {lit(generated.NO_ROLES)} from messages where not ({_FEW}) and ({_no('system')} or {_no('user')} or {_no('assistant')})""")
 def _(spark, sf):
     return generated.validate_chats(view(spark, sf, "messages"), "conv_id")
 
 
-@query("D15_chat_anomalies", f"""select conv_id, 'missing messages (expected at least 3: system, user, assistant)' as error from messages where {_FEW}
-    {' '.join(f"union all select conv_id, 'missing role ''{r}''' from messages where not ({_FEW}) and {_no(r)}" for r in generated.ROLES)}
-    union all select conv_id, 'assistant content is not valid JSON' from messages where not ({_FEW}) and not ({_no('assistant')})
+@query("D15_chat_anomalies", f"""select conv_id, {lit(generated.TOO_SHORT)} as error from messages where {_FEW}
+    {' '.join(f"union all select conv_id, {lit(generated.NO_ROLE + r)} from messages where not ({_FEW}) and {_no(r)}" for r in generated.ROLES)}
+    union all select conv_id, {lit(generated.NOT_JSON)} from messages where not ({_FEW}) and not ({_no('assistant')})
     and not json_valid(list_filter(messages, lambda m: m.role = 'assistant')[-1].content)""")
 def _(spark, sf):
     return generated.chat_anomalies(view(spark, sf, "messages"), "conv_id")
@@ -302,6 +312,7 @@ _JSON_CASES = [
     "'{\"a\": \"' || md5(text) || '\"}'", "'[1, 2] x'", "'{\"a\": NaN}'", f"'{{' || {Q} || 'a' || {Q} || ': 1}}'", "'\"' || md5(text) || '\"'",
     "'{\"a\": 1'", "'  {\"b\": [1, {\"c\": null}]} '", "'{\"a\": 1}} x'", f"'{{\"it\": \"can' || {Q} || 't\"}}'", "'[1, 2]] x'", "'tru'",
     "'-1.5e3'", "'{\"a\": \"NaN, Infinity\"}'", "'{\"a\" 1}'", "text",
+    f"'{{\"a\": \"it' || {Q} || 's\", \"a\": 2}}'", "'{' || chr(10) || '\"a\": 1,' || chr(10) || '\"a\": 2}'", "'{\"a\": \"x' || chr(10) || 'y\"}'", "'{\"a\": \"x' || chr(92) || 'ny\"} '",
 ]
 
 
@@ -329,9 +340,20 @@ def _(spark, sf):
     return profile.combined_counts(combine.combine_chats({"conversations": _lines(spark, sf), "prompts": prompts}), "source_dataset")
 
 
-@query("G39_infer_record_schema")
+# records with a field of every kind; some fields change their kind or are absent
+_KINDS = """select conv_id, case when conv_id % 7 = 0 then '{"conv_id": ' || conv_id || ', "flag": true, "note": null, "size": "big", "tags": []}'
+    else '{"conv_id": ' || conv_id || ', "flag": false, "note": null, "size": 1.5, "meta": {"n": ' || len || '}, "text": "x"}' end as value
+    from (select conv_id, {size} as len from {t})"""
+sql_view("kind_lines", _KINDS.replace("{size}", "len(messages)").replace("{t}", "messages"))
+
+
+@query("G39_infer_record_schema", """with k as (select value, unnest(json_keys(value)) as field from kind_lines),
+    f as (select field, json_type(value, '$.' || field) as t from k),
+    g as (select field, min(case when t = 'ARRAY' then 0 when t = 'OBJECT' then 1 when t = 'VARCHAR' then 2 when t = 'NULL' then 4 else 3 end) as i from f group by 1)
+    select field, ['array', 'object', 'string', 'number', 'NoneType'][i + 1] as kind from g union all select 'record_count', count(*)::varchar from kind_lines""")
 def _(spark, sf):
-    return generated.infer_record_schema(_lines(spark, sf).where(json_valid("value")))
+    view(spark, sf, "messages").createOrReplaceTempView("_kind_messages")
+    return generated.infer_record_schema(spark.sql(_KINDS.replace("{size}", "size(messages)").replace("{t}", "_kind_messages")))
 
 
 _COMBINED = """select source || '_rows' as source_dataset, label, count(*) as count from sequences group by 1, 2"""
@@ -396,7 +418,7 @@ _FINDINGS = """select source as pipeline, case doc_id % 3 when 0 then 'anomaly'
       count(*) filter (where level = 'medium') as medium_severity, count(*) filter (where level = 'low') as low_severity from f group by 1, 2)
     select *, case when kind = 'validation' or (kind = 'anomaly' and findings > 10) or (kind = 'bias' and high_severity > 0) then 'error' else 'warning' end as severity from n""")
 def _(spark, sf):
-    return quality.alerts_from_findings(spark.sql(_FINDINGS.format(t=f"parquet.`{sf}/documents.parquet`")))
+    return quality.alerts_from_findings(spark.sql(_FINDINGS.format(t=f"parquet.`{sf}/documents.parquet`")), 5)
 
 
 @query("U3_training_tables", "select 'chats' as source_dataset, count(*) as count from chats union all select 'generated', count(*) from prompts where id % 5 <> 4")

@@ -39,8 +39,8 @@ PII = {"ipv4": rules.PII_IPV4, "api_key": rules.PII_API_KEY, "email": _EMAIL, "c
 
 
 def iac(x, terraform):
-    extra = f"when regexp_matches(substr({x}, 1, 2000), {lit(rules.TERRAFORM_PATTERN)}) then 'terraform'" if terraform else ""
-    return ("case " + " ".join(f"when regexp_matches(substr({x}, 1, 2000), {lit(p)}) then '{n}'" for n, p in rules.IAC_RULES) + f" {extra} else 'other' end")
+    extra = f"when regexp_matches({x}, {lit(rules.TERRAFORM_PATTERN)}) then 'terraform'" if terraform else ""
+    return ("case " + " ".join(f"when regexp_matches({x}, {lit(p)}) then '{n}'" for n, p in rules.IAC_RULES) + f" {extra} else 'other' end")
 
 
 def size_bucket(x):
@@ -257,7 +257,7 @@ _NULLS = " union all ".join(f"select 'null', '{c}', count(*) filter (where {c} i
     l as (select lower(v) as name, count(*) as count from (select unnest(max_stars_repo_licenses) as v from code_files) group by 1 order by 2 desc, 1 limit 15)
     select section, name, count, {py_round('p', 2)} as pct from d union all select 'license', name, count, null from l""")
 def _(spark, sf):
-    return code.code_corpus_profile(files(spark, sf))
+    return code.code_corpus_profile(files(spark, sf), 15)
 
 
 _HITS = " union all ".join(
@@ -267,7 +267,7 @@ _HITS = " union all ".join(
 
 @query("G33_keyword_hits", f"""with h as ({_HITS}) select "group", keyword, hits from h where hits > 0 qualify row_number() over (partition by "group" order by hits desc, keyword) <= 15""")
 def _(spark, sf):
-    return code.keyword_hits(files(spark, sf))
+    return code.keyword_hits(files(spark, sf), 15)
 
 
 @query("G34_pii_exposure", "\nunion all ".join(
@@ -284,7 +284,7 @@ def _(spark, sf):
 @query("G40_roundtrip_samples", """select path, prompt, replace(substr(clean, 1, 120), chr(10), '↵') as manifest_preview from code_records
     qualify row_number() over (order by hexsha) <= 3""")
 def _(spark, sf):
-    return code.roundtrip_samples(files(spark, sf))
+    return code.roundtrip_samples(files(spark, sf), 3, 120)
 
 
 @query("G35_length_stats", "with s as (" + "\nunion all ".join(
@@ -334,9 +334,9 @@ def _(spark, sf):
     return shares.select("iac_type", sampling.sampling_weight(F.col("class_pct")).alias("sampling_weight"))
 
 
-@query("W6_dedup_by_hash", "select min(doc_id) as doc_id, hexsha from code_files group by 2 order by 1 limit 20000")
+@query("W6_dedup_by_hash", "select doc_id, hexsha, size, md5(content) as content_md5 from code_files qualify row_number() over (partition by hexsha order by doc_id) = 1")
 def _(spark, sf):
-    return ordering.dedup_by_hash(files(spark, sf).select("doc_id", "hexsha", "size"), "hexsha", "doc_id").select("doc_id", "hexsha")
+    return ordering.dedup_by_hash(files(spark, sf), "hexsha", "doc_id").select("doc_id", "hexsha", "size", F.md5("content").alias("content_md5"))
 
 
 # --- record checks ----------------------------------------------------------------
@@ -388,7 +388,8 @@ _OWN = "('total', 'valid', 'invalid', 'pass_rate_pct')"
 
 @query("D19_record_thresholds", f"""select 'pass_rate' as "check", value, 80::double as threshold, value < 80 as is_anomaly from code_report where violation = 'pass_rate_pct'
     union all select 'pii_leakage', sum(value), 0, sum(value) > 0 from code_report where violation like 'pii_leaked%'
-    union all select 'violation_count', max(value), 50, max(value) > 50 from code_report where violation not in {_OWN}
+    union all select 'violation_share', max(value) / (select value from code_report where violation = 'total') * 100, 0.25,
+    max(value) / (select value from code_report where violation = 'total') * 100 > 0.25 from code_report where violation not in {_OWN}
     union all select 'minimum_records', value, 10, value < 10 from code_report where violation = 'total'""")
 def _(spark, sf):
     return quality.record_thresholds(quality.violation_counts(stage_table(judged(spark, sf))))
@@ -423,13 +424,14 @@ def _(spark, sf):
     return readers.read_telemetry_csv(spark, path, "event").select("time_stamp", "machine_id", "event_type", "plan_cpu", "plan_mem")
 
 
-@query("S2_read_string_csv", "select raw_id, severity, event_template from log_events where system = 'hpc'")
+@query("S2_read_string_csv", "select system, raw_id, severity, event_template from log_events")
 def _(spark, sf):
-    path = scratch_dir(spark)
-    raw = raw_logs(spark, sf)["hpc"].withColumn("LogId", F.trim("LogId"))
-    raw.write.option("header", True).option("emptyValue", "").csv(path)
-    read = readers.read_string_csv(spark, path, raw.columns)
-    return logs.normalize_hpc(read).select("raw_id", "severity", "event_template")
+    read = {}
+    for system, raw in raw_logs(spark, sf).items():
+        path = scratch_dir(spark)
+        raw.select(*[F.trim(c).alias(c) for c in raw.columns]).write.option("header", True).option("emptyValue", "").csv(path)
+        read[system] = readers.read_string_csv(spark, path, raw.columns)
+    return jobs.unified_events(read).select("system", "raw_id", "severity", "event_template")
 
 
 @query("S7_read_code_chunks", "select hexsha, size, array_to_string(max_stars_repo_licenses, ',') as licenses from code_files")

@@ -9,8 +9,9 @@ from checks.views import raw_logs, view
 from opsgrain import rules
 from opsgrain.functions import core
 from opsgrain.functions import logs as lg
-from opsgrain.operators import logs, profile, quality
+from opsgrain.operators import logs, ordering, profile, quality
 from opsgrain.plans import jobs
+from opsgrain.session import stage_table
 
 
 def events(spark, sf):
@@ -186,7 +187,7 @@ sql_view("log_windows", """select system, time_bucket('1 minute'::interval, ts,
     from log_timed group by 1, 2""")
 
 
-@query("W3_time_windows", """select system, strftime(w, '%Y-%m-%d %H:%M') as window_start, array_to_string(a, ',') as seq, label
+@query("W3_time_windows", """select system, strftime(w, '%Y-%m-%d %H:%M') as window_start, array_to_string(a[-512:], ',') as seq, label
     from log_windows""")
 def _(spark, sf):
     w = jobs.log_windows(events(spark, sf))
@@ -194,12 +195,24 @@ def _(spark, sf):
                     F.array_join("sequence_ids", ",").alias("seq"), "label")
 
 
-@query("W4_pad_or_truncate", """select array_to_string(list_concat(a, list_transform(range(0, 512 - len(a)), lambda x: 0)), ',') as seq,
+@query("W4_pad_or_truncate", """select array_to_string(list_concat(a[-512:], list_transform(range(0, 512 - len(a)), lambda x: 0)), ',') as seq,
     label from log_windows""")
 def _(spark, sf):
     return jobs.log_sequences(events(spark, sf)).select(F.array_join("sequence_ids", ",").alias("seq"), "label")
 
 
+@query("W3_time_windows_month", """with d as (select system, time_bucket('30 days'::interval, ts, timestamp '1970-01-01') as w,
+    list(event_int order by ts, try_cast(raw_id as bigint) nulls first, raw_id) as a, max(event_class) as label from log_timed group by 1, 2)
+    select system, strftime(w, '%Y-%m-%d') as window_start, len(a) > 512 as cut, md5(array_to_string(a[-512:], ',')) as seq, label from d""")
+def _(spark, sf):
+    # windows that hold more than the default length
+    e = stage_table(logs.with_sequence_columns(events(spark, sf)))
+    n = e.where("ts is not null").groupBy("system", F.window("ts", "30 days")["start"].alias("window_start")).agg((F.count("*") > 512).alias("cut"))
+    w = ordering.time_windows(e, "30 days", rules.MAX_SEQUENCE_LENGTH).join(n, ["system", "window_start"])
+    return w.select("system", F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "cut",
+                    F.md5(F.array_join("sequence_ids", ",")).alias("seq"), "label")
+
+
 @query("W4_truncate_to_last", """with d as (select system, time_bucket('1 day'::interval, ts, timestamp '1900-01-01') as w,
     list(event_int order by ts, try_cast(raw_id as bigint) nulls first, raw_id) as a, max(event_class) as label from log_timed group by 1, 2)
     select system, strftime(w, '%Y-%m-%d') as window_start, array_to_string(a[-50:], ',') as seq, label from d""")
@@ -306,15 +319,15 @@ def _(spark, sf):
     return quality.check_suite(events(spark, sf), checks).select("check", "column", "status", "value")
 
 
-@query("D3_expect_in_set", f"""select 'in_set' as "check", 'severity' as "column", 'passed' as status, 0::double as value
-    union all select 'in_set', 'event_type', case when count(*) = 0 then 'passed' else 'failed' end, count(*) from log_events
+@query("D3_expect_in_set", f"""select 'in_set' as "check", 'severity' as "column", case when count(*) = 0 then 'passed' else 'failed' end as status, count(*)::double as value
+    from log_events where severity not in {in_list(rules.SEVERITIES[:2])} union all select 'in_set', 'event_type', case when count(*) = 0 then 'passed' else 'failed' end, count(*) from log_events
     where event_type not in {in_list(rules.EVENT_TYPES[:6])}""")
 def _(spark, sf):
-    checks = [quality.expect_in_set("severity", rules.SEVERITIES), quality.expect_in_set("event_type", rules.EVENT_TYPES[:6])]
+    checks = [quality.expect_in_set("severity", rules.SEVERITIES[:2]), quality.expect_in_set("event_type", rules.EVENT_TYPES[:6])]
     return quality.check_suite(events(spark, sf), checks).select("check", "column", "status", "value")
 
 
-@query("D7_expect_regex", """select 'matches' as "check", 'event_id' as "column", 'passed' as status,
+@query("D7_expect_regex", """select 'matches' as "check", 'event_id' as "column", case when count(*) filter (where not regexp_matches(event_id, '^E[0-9]+$')) = 0 then 'passed' else 'failed' end as status,
     count(*) filter (where not regexp_matches(event_id, '^E[0-9]+$'))::double as value from log_events
     union all select 'matches', 'raw_id', case when count(*) filter (where not regexp_matches(raw_id, '^[0-9]+$')) = 0 then 'passed' else 'failed' end,
     count(*) filter (where not regexp_matches(raw_id, '^[0-9]+$')) from log_events""")
@@ -332,7 +345,24 @@ def _(spark, sf):
     return quality.expect_sample_ratio(logs.sample_events(e), e).select("check", "status", "value")
 
 
-@query("D20_verdict", """select 10::bigint as total_checks, 10::bigint as passed, 0::bigint as failed, 0::bigint as warnings,
-    1::double as success_rate, true as is_valid from (select count(*) as n from log_events) where n > 0""")
+@query("D20_verdict", f"""with f as (select count(*) filter (where system not in {in_list(rules.SYSTEMS)}) = 0 as a, count(*) filter (where event_type not in {in_list(rules.EVENT_TYPES[:6])}) = 0 as b,
+      count(*) filter (where event_id is null or event_id = '') = 0 as c, min(length(message)) >= 1000 as soft, count(*) filter (where trim(extras) = '') = 0 as w1,
+      count(*) filter (where trim(message) = '') = 0 as w2 from log_events),
+    n as (select a::int + b::int + c::int + soft::int + w1::int + w2::int as passed, 6 - (not w1)::int - (not w2)::int as total,
+      (not a)::int + (not b)::int + (not c)::int + (not soft)::int as failed, (not w1)::int + (not w2)::int as warnings, a and b and c as is_valid from f)
+    select total::bigint as total_checks, passed::bigint as passed, failed::bigint as failed, warnings::bigint as warnings, passed / total as success_rate, is_valid from n""")
+def _(spark, sf):
+    # a failing rule, a failing soft one and a warning beside rules that hold
+    checks = [quality.expect_in_set("system", rules.SYSTEMS), quality.expect_in_set("event_type", rules.EVENT_TYPES[:6]),
+              *quality.expect_not_null(["event_id"], or_empty=True), quality.expect_min_value("size", 1000), *quality.expect_not_blank(["extras", "message"])]
+    return quality.verdict(quality.check_suite(events(spark, sf).withColumn("size", F.length("message")), checks))
+
+
+@query("D20_log_gate", f"""with f as (select count(*) as n, {', '.join(f"count(*) filter (where {c} not in {in_list(v)}) = 0 as in_{c}" for c, v in (('system', rules.SYSTEMS), ('severity', rules.SEVERITIES), ('event_type', rules.EVENT_TYPES)))},
+      {', '.join(f"count(*) filter (where {c} is null or {c} = '') = 0 as has_{c}" for c in ('event_id', 'event_template', 'message', 'raw_id'))},
+      count(*) filter (where not regexp_matches(event_id, '^E[0-9]+$')) = 0 as matches from log_events),
+    p as (select [in_system, in_severity, in_event_type, has_event_id, has_event_template, has_message, has_raw_id, matches, n >= 1, true] as ok from f),
+    c as (select len(ok) as total, len(list_filter(ok, lambda x: x)) as passed from p)
+    select total as total_checks, passed, total - passed as failed, 0::bigint as warnings, passed / total as success_rate, passed = total as is_valid from c""")
 def _(spark, sf):
     return jobs.log_gate(events(spark, sf))

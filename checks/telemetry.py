@@ -132,12 +132,13 @@ def _(spark, sf):
     return profile.value_distribution(telemetry.fill_job_defaults(view(spark, sf, "batch_task")), "status")
 
 
-@query("G3_sequence_stats", f"""with t as (select cast(unnest(string_split(seq, ',')) as int) as t from sequences),
-    n as (select len(string_split(seq, ',')) as n, label from sequences)
+@query("G3_sequence_stats", f"""with t as (select cast(unnest(string_split(seq, ',')) as int) as t from sequences where row_id not like '%13' and row_id not like '%17'),
+    n as (select case when row_id like '%13' then 0 when row_id like '%17' then null else len(string_split(seq, ',')) end as n,
+      case when row_id like '%19' then null when row_id like '%23' then 9 else label end as label from sequences)
     select 'total_sequences' as metric, cast(count(*) as double) as value from n
-    union all select 'length_min', min(n) from n union all select 'length_max', max(n) from n
-    union all select 'length_mean', {py_round('a', 2)} from (select avg(n) as a from n)
-    union all select 'empty_sequences', 0 union all select 'missing_fields', 0
+    union all select 'length_min', min(coalesce(n, 0)) from n union all select 'length_max', max(n) from n
+    union all select 'length_mean', {py_round('a', 2)} from (select avg(coalesce(n, 0)) as a from n)
+    union all select 'empty_sequences', count(*) filter (where n = 0) from n union all select 'missing_fields', count(*) filter (where n is null or label is null) from n
     union all select 'invalid_labels', count(*) filter (where label not between 0 and 4) from n
     union all select 'label_Normal', count(*) filter (where label = 0) from n
     union all select 'label_Resource_Exhaustion', count(*) filter (where label = 1) from n
@@ -149,7 +150,11 @@ def _(spark, sf):
     union all select 'memory_tokens', count(*) filter (where t between 200 and 209) from t
     union all select 'unique_tokens', count(distinct t) from t""")
 def _(spark, sf):
-    return profile.sequence_stats(sequences(spark, sf))
+    # some sequences are empty or missing, some labels missing or unknown
+    s, row = sequences(spark, sf), F.col("row_id")
+    return profile.sequence_stats(s.withColumns({
+        "sequence_ids": F.when(row.endswith("13"), F.array().cast("array<int>")).when(~row.endswith("17"), F.col("sequence_ids")),
+        "label": F.when(row.endswith("23"), 9).when(~row.endswith("19"), F.col("label"))}))
 
 
 @query("G4_failure_rate_by", f"""select task_type, {np_round("count(*) filter (where status = 'Failed') / count(*) * 100", 2)} as failure_pct

@@ -280,7 +280,7 @@ def _prompts(d: Dialect) -> str:
     flow = pick("conv_id % 5", [f"'{w}'" for w in WORKFLOWS], "''")
     return f"""select conv_id as id, case when conv_id % 9 = 0 then '' else text end as user_intent,
         '["scale", "restart"]' as tool_context, {flow} as workflow_json
-        from {d.table('conversations')} where turn = 0 and role = 'user'"""
+        from (select *, row_number() over (partition by conv_id order by turn) as nth from {d.table('conversations')} where role = 'user') as u where nth = 1"""
 
 
 def _ledger(d: Dialect) -> str:

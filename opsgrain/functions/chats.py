@@ -9,11 +9,11 @@ from opsgrain import rules
 from opsgrain.functions.core import as_col, first_match, json_text, json_valid
 
 
-def function_calls(chat: Column | str) -> Column:
+def function_calls(chat: Column | str, raw_chars: int | None = None) -> Column:
     """array<struct<name, arguments, raw, malformed>>; ``arguments`` is JSON text.
 
     A single-quoted argument object is unquoted before parsing. A call that still does not
-    parse keeps the first 100 characters of its raw text.
+    parse keeps its raw text, or as many characters of it as ``raw_chars`` says.
     """
     found = F.regexp_extract_all(as_col(chat), F.lit("(?d)" + rules.CALL_PATTERN), F.lit(1))
     fixed = F.transform(found, lambda m: F.struct(
@@ -28,7 +28,8 @@ def function_calls(chat: Column | str) -> Column:
             F.when(c["ok"] & has_name, F.get_json_object(c["text"], "$.name")).alias("name"),
             F.when(c["ok"], F.when(json_valid(arguments), arguments).otherwise(
                 F.when(arguments.isNotNull(), json_text(arguments)))).alias("arguments"),
-            F.when(c["ok"], c["text"]).otherwise(F.substring(c["raw"], 1, 100)).alias("raw"),
+            F.when(c["ok"], c["text"]).otherwise(
+                c["raw"] if raw_chars is None else F.substring(c["raw"], 1, raw_chars)).alias("raw"),
             (~c["ok"]).alias("malformed"),
         )
 
@@ -96,13 +97,13 @@ def count_turns(chat: Column | str) -> Column:
 
 
 def turn_bucket(n: Column | str) -> Column:
-    """Right-closed cuts; outside (0, 100] there is no bucket."""
+    """Right-closed cuts with an open end; without a turn there is no bucket."""
     n = as_col(n)
     return F.when((n > 0) & (n <= 1), "single").when((n > 1) & (n <= 3), "short") \
-        .when((n > 3) & (n <= 5), "medium").when((n > 5) & (n <= 100), "long")
+        .when((n > 3) & (n <= 5), "medium").when(n > 5, "long")
 
 
 def call_bucket(n: Column | str) -> Column:
     n = as_col(n)
     return F.when((n > -1) & (n <= 0), "no_calls").when((n > 0) & (n <= 1), "one_call") \
-        .when((n > 1) & (n <= 2), "two_calls").when((n > 2) & (n <= 100), "many_calls")
+        .when((n > 1) & (n <= 2), "two_calls").when(n > 2, "many_calls")

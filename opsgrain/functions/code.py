@@ -18,17 +18,9 @@ def size_bucket(n: Column | str) -> Column:
     return first_match([(n < 1_000, "<1KB"), (n < 10_000, "1-10KB"), (n < 100_000, "10-100KB")], ">100KB")
 
 
-def iac_head(content: Column | str) -> Column:
-    return F.substring(as_col(content), 1, 2000)
-
-
-def iac_type(content: Column | str, with_terraform: bool = True) -> Column:
-    """Kind of manifest, judged by its first 2000 characters."""
-    return iac_type_of_head(iac_head(content), with_terraform)
-
-
-def iac_type_of_head(head: Column | str, with_terraform: bool = True) -> Column:
-    head = as_col(head)
+def iac_type(content: Column | str, with_terraform: bool = True, head: int | None = None) -> Column:
+    """Kind of manifest, judged by the whole text or by as many characters as ``head`` says."""
+    head = as_col(content) if head is None else F.substring(as_col(content), 1, head)
     branches = [(head.rlike(p), name) for name, p in rules.IAC_RULES]
     if with_terraform:
         branches.append((head.rlike(rules.TERRAFORM_PATTERN), "terraform"))

@@ -97,20 +97,19 @@ def json_object(**fields: Column | str) -> Column:
 
 
 def json_valid(col: Column | str) -> Column:
-    """Strict whole-string JSON.
+    """Strict whole-string JSON, as Python's parser sees it: ``NaN`` and ``Infinity`` are numbers, keys may repeat.
 
     Spark's JSON readers stop at the end of the first value and so accept trailing
     text. Parsing the text once inside ``[...]`` and once inside ``{"k":...}`` closes
     that gap: trailing text that satisfies one wrapper breaks the other. The readers
-    also take single-quoted strings and raw control characters in strings, which the
-    variant parser refuses, so texts with an apostrophe or a control character are parsed
-    by it as well (it refuses repeated keys, too). ``NaN`` and ``Infinity`` are numbers.
+    also take single-quoted strings and raw control characters in strings. One possessive
+    pattern removes the well-formed string literals; no quote of either kind may be left.
     """
     s = as_col(col)
     number = F.regexp_replace(s, r"(?<=^|[\[,:\s])(?:-?Infinity|NaN)(?=$|[\],}\s])", "0")
     in_array = F.json_array_length(F.concat(F.lit("["), number, F.lit("]"))) == 1
     in_object = F.size(F.json_object_keys(F.concat(F.lit('{"k":'), number, F.lit("}")))) == 1
-    plain = ~s.rlike(r"['\x00-\x1f]") | F.try_parse_json(number).isNotNull()
+    plain = ~F.regexp_replace(s, rules.JAVA_JSON_STRING, "0").rlike("[\"']")
     return F.coalesce(in_array & in_object & plain, F.lit(False))
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsgrain import rules
 from opsgrain.functions import code as cd
 from opsgrain.functions.core import as_col, first_match, json_valid, occurrences, py_round
 from opsgrain.operators.ordering import top_n_per_group
-from opsgrain.operators.profile import unpivot, upper_median_stats, value_distributions, with_share
+from opsgrain.operators.profile import unpivot, upper_median_stats, with_share
 from opsgrain.session import attach_row, stage_table
 
 
@@ -129,14 +129,14 @@ def roundtrip_counts(files: DataFrame, cfg: GateConfig = GateConfig()) -> DataFr
     return judged.agg(F.count_if(good).alias("wrap_ok"), F.count_if(~good).alias("wrap_fail"))
 
 
-def roundtrip_samples(files: DataFrame, cfg: GateConfig = GateConfig(), n: int = 3) -> DataFrame:
+def roundtrip_samples(files: DataFrame, n: int, chars: int, cfg: GateConfig = GateConfig()) -> DataFrame:
     manifest = F.get_json_object(F.col("messages")[1]["content"], "$.params.manifest_content")
     return code_records(files, cfg).orderBy("_meta.hexsha").limit(n).select(
         F.col("_meta.path").alias("path"), F.col("messages")[0]["content"].alias("prompt"),
-        F.replace(F.substring(manifest, 1, 120), F.lit("\n"), F.lit("↵")).alias("manifest_preview"))
+        F.replace(F.substring(manifest, 1, chars), F.lit("\n"), F.lit("↵")).alias("manifest_preview"))
 
 
-def keyword_hits(files: DataFrame, groups: dict[str, tuple[str, ...]] | None = None, top: int = 15) -> DataFrame:
+def keyword_hits(files: DataFrame, top: int, groups: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Occurrences per (group, keyword), all keywords summed in one aggregation."""
     groups = groups or rules.CODE_KEYWORDS
     low = files.select(F.lower(F.coalesce(F.col("content"), F.lit(""))).alias("_low"))
@@ -154,33 +154,35 @@ def pii_exposure(files: DataFrame) -> DataFrame:
     return unpivot(counts, {n: n for n in found}, "pattern", "files").withColumn("files", F.col("files").cast("bigint"))
 
 
-def code_corpus_profile(files: DataFrame, top_licenses: int = 15) -> DataFrame:
-    """(section, name, count, pct): classes, null fields, files with personal data, licences."""
+def code_corpus_profile(files: DataFrame, top_licenses: int) -> DataFrame:
+    """(section, name, count, pct): classes, null fields, files with personal data, the most frequent licences.
+
+    One scan: every file says what it counts for, and one aggregation adds it up.
+    """
     content = F.coalesce(F.col("content"), F.lit(""))
-    # head and score are columns of their own, so the rules on them do not repeat the text work
-    classes = files.select(
-        cd.iac_head(content).alias("_head"), cd.escape_score(content).alias("_score"),
-        F.coalesce("size", F.lit(0)).alias("_size")).select(
-        cd.iac_type_of_head("_head").alias("iac_type"), cd.escape_difficulty("_score").alias("escape_difficulty"),
-        cd.size_bucket("_size").alias("size_distribution"))
-    dist = value_distributions(classes, classes.columns).select(
-        F.col("column").alias("section"), F.col("value").alias("name"), "count", "pct")
     present = [c for c in rules.CODE_COLUMNS if c in files.columns]
-    totals = files.agg(
-        F.count("*").alias("_n"), F.count_if(cd.has_pii(content)).alias("_pii"),
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in present])
-
-    def row(section: str, name: str, col: str) -> Column:
-        return F.struct(F.lit(section).alias("section"), F.lit(name).alias("name"), F.col(col).alias("count"))
-
-    listed = totals.select("_n", F.inline(F.array(
-        row("total", "rows", "_n"), row("pii", "files", "_pii"), *[row("null", c, c) for c in present])))
-    counts = listed.withColumn("_share", F.col("count") / F.col("_n") * 100) \
-        .select("section", "name", "count", py_round("_share", 2).alias("pct"))
-    names = files.select(F.explode("max_stars_repo_licenses").alias("l")).groupBy(F.lower("l").alias("name")) \
-        .agg(F.count("*").alias("count")).orderBy(F.desc("count"), F.asc("name")).limit(top_licenses)
-    licenses = names.select(F.lit("license").alias("section"), "name", "count", F.lit(None).cast("double").alias("pct"))
-    return dist.unionByName(counts).unionByName(licenses)
+    # the costly columns get a projection of their own, so that no rule on them repeats the text work
+    told = files.select(
+        cd.iac_type(content).alias("_iac"), cd.escape_score(content).alias("_score"), F.coalesce("size", F.lit(0)).alias("_size"),
+        cd.has_pii(content).alias("_pii"), F.col("max_stars_repo_licenses").alias("_licenses"),
+        *[F.col(c).isNull().alias(f"_null_{c}") for c in present])
+
+    def item(section: str, name: Column, n: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), name.alias("name"), n.cast("bigint").alias("n"))
+
+    one = F.lit(1)
+    items = [item("iac_type", F.col("_iac"), one), item("escape_difficulty", cd.escape_difficulty("_score"), one),
+             item("size_distribution", cd.size_bucket("_size"), one), item("total", F.lit("rows"), one), item("pii", F.lit("files"), F.col("_pii")),
+             *[item("null", F.lit(c), F.col(f"_null_{c}")) for c in present]]
+    licenses = F.transform(F.coalesce("_licenses", F.array().cast("array<string>")), lambda name: item("license", F.lower(name), one))
+    counted = told.select(F.inline(F.concat(F.array(*items), licenses))).groupBy("section", "name").agg(F.sum("n").alias("count"))
+    licensed = F.col("section") == "license"
+    # one row per distinct name; the window over them needs the total of all files only
+    placed = counted.withColumn("_n", F.max(F.when(F.col("section") == "total", F.col("count"))).over(Window.partitionBy())) \
+        .withColumn("_place", F.when(licensed, F.row_number().over(Window.partitionBy("section").orderBy(F.desc("count"), F.asc("name"))))) \
+        .withColumn("_share", F.col("count") / F.col("_n") * 100)
+    return placed.where(~licensed | (F.col("_place") <= top_licenses)).select(
+        "section", "name", "count", F.when(~licensed, py_round("_share", 2)).alias("pct"))
 
 
 def record_slices(records: DataFrame) -> DataFrame:

@@ -9,6 +9,11 @@ from opsgrain import rules
 from opsgrain.functions.core import explode_rows, json_valid
 
 ROLES = ("system", "user", "assistant")
+KINDS = ("array", "object", "string", "number", "NoneType")
+TOO_SHORT = "short_record: fewer than three messages"
+NO_ROLES = "roles_incomplete: a system, user or assistant turn is absent"
+NO_ROLE = "role_absent: "
+NOT_JSON = "answer_not_json: the assistant turn does not parse"
 
 
 def generated_to_chat(raw: DataFrame, assistant_name: str = rules.ASSISTANT_NAME) -> DataFrame:
@@ -17,7 +22,7 @@ def generated_to_chat(raw: DataFrame, assistant_name: str = rules.ASSISTANT_NAME
     def turn(role: str, content: Column) -> Column:
         return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
-    tools = F.concat(F.lit(f"You are {assistant_name}. Available Tools: "), F.coalesce("tool_context", F.lit("")))
+    tools = F.concat(F.lit(f"{assistant_name} can use these tools: "), F.coalesce("tool_context", F.lit("")))
     answer = F.concat(F.lit('{"workflow": '), F.col("workflow_json"), F.lit("}"))
     return raw.withColumn("messages", F.array(
         turn("system", tools), turn("user", F.col("user_intent")), turn("assistant", answer)))
@@ -33,18 +38,18 @@ def format_b_stats(records: DataFrame, intent: str | None = None) -> DataFrame:
 def infer_record_schema(lines: DataFrame, col: str = "value") -> DataFrame:
     """(field, kind) over all records, plus ``record_count``.
 
-    Every record contributes its keys (a superset of looking at the first one); the kind of a
-    field is that of its smallest record text, so the result does not depend on row order.
+    Every record contributes its keys. A field with several kinds has the first of ``KINDS`` that occurs, so the
+    result does not depend on row order. A record's field and kind are projected before anything is grouped.
     """
     doc = F.try_parse_json(col)
-    keys = lines.select(F.col(col).alias("line"), F.explode(F.json_object_keys(col)).alias("field"), doc.alias("d"))
+    keys = lines.select(F.explode(F.json_object_keys(col)).alias("field"), doc.alias("d"))
     kind_text = F.schema_of_variant(F.try_variant_get("d", F.concat(F.lit('$["'), F.col("field"), F.lit('"]')), "variant"))
     kind = F.when(kind_text.startswith("ARRAY"), "array").when(kind_text.startswith("OBJECT"), "object") \
-        .when(kind_text == "STRING", "string").when(kind_text == "BOOLEAN", "bool") \
-        .when(kind_text == "VOID", "NoneType").otherwise("number")
-    fields = keys.select("field", "line", kind.alias("kind")).groupBy("field").agg(F.min_by("kind", "line").alias("kind"))
+        .when(kind_text == "STRING", "string").when(kind_text == "VOID", "NoneType").otherwise("number")
+    seen = keys.select("field", kind.alias("kind")).groupBy("field").agg(*[F.count_if(F.col("kind") == k).alias(k) for k in KINDS])
+    named = seen.select("field", F.coalesce(*[F.when(F.col(k) > 0, k) for k in KINDS]).alias("kind"))
     count = lines.agg(F.lit("record_count").alias("field"), F.count("*").cast("string").alias("kind"))
-    return fields.unionByName(count)
+    return named.unionByName(count)
 
 
 def _role_content(role: str) -> Column:
@@ -81,8 +86,8 @@ def validate_chats(chats: DataFrame, key: str) -> DataFrame:
     for r in ROLES:
         roles = roles & _has_role(r)
     return _errors(chats, key, [
-        (few, "'messages' must be array of at least 3 (system, user, assistant)"),
-        (~few & ~roles, "messages must include system, user, assistant roles"),
+        (few, TOO_SHORT),
+        (~few & ~roles, NO_ROLES),
     ])
 
 
@@ -91,7 +96,7 @@ def chat_anomalies(chats: DataFrame, key: str) -> DataFrame:
     few = F.coalesce(F.size("messages"), F.lit(0)) < 3
     answer = _role_content("assistant")
     return _errors(chats, key, [
-        (few, "missing messages (expected at least 3: system, user, assistant)"),
-        *[(~few & ~_has_role(r), f"missing role '{r}'") for r in ROLES],
-        (~few & (F.coalesce(answer, F.lit("")) != "") & ~json_valid(answer), "assistant content is not valid JSON"),
+        (few, TOO_SHORT),
+        *[(~few & ~_has_role(r), NO_ROLE + r) for r in ROLES],
+        (~few & (F.coalesce(answer, F.lit("")) != "") & ~json_valid(answer), NOT_JSON),
     ])

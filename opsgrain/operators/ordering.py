@@ -69,21 +69,34 @@ def pad_or_truncate(arr: Column | str, length: int = rules.MAX_SEQUENCE_LENGTH)
         F.concat(a, F.array_repeat(F.lit(0), missing)))
 
 
-def time_windows(events: DataFrame, width: str = "1 minute", length: int = rules.MAX_SEQUENCE_LENGTH) -> DataFrame:
-    """Per system and window the event numbers in time order, and the highest class.
+def _first_ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+    """First n rows per key with their ``_rank``; a hot key is cut to a bounded number of rows before one task sees it.
+
+    Spark applies the limit of a rank before the shuffle only up to a threshold; for a larger n the
+    rows are first cut inside salted parts of their key.
+    """
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if n > threshold:
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(256)).alias("_salt")
+        salted = df.select("*", salt)
+        inside = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        df = salted.withColumn("_rank", F.row_number().over(inside)).where(F.col("_rank") <= n).drop("_rank", "_salt")
+    return df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_rank") <= n)
+
+
+def time_windows(events: DataFrame, width: str, length: int) -> DataFrame:
+    """Per system and window the last ``length`` event numbers in time order, and the highest class.
 
     ``events`` has system, ts, raw_id, event_int and event_class; rows without a time drop out.
-    Only the last ``length`` events of a window can survive the cut that follows, so they are
-    chosen by rank; Spark applies that limit before the shuffle, which keeps a hot window
-    small. The class is the maximum over all rows.
+    The kept events are chosen by rank, which is limited before the shuffle and so keeps a hot
+    window small. The class is the maximum over all rows of the window.
     """
     timed = events.where(F.col("ts").isNotNull()).select(
         "system", F.window("ts", width)["start"].alias("window_start"), "ts",
         F.col("raw_id").try_cast("bigint").alias("_pos"), "raw_id", "event_int", "event_class")
     keys = ["system", "window_start"]
     labels = timed.groupBy(*keys).agg(F.max("event_class").alias("label"))
-    newest = Window.partitionBy(*keys).orderBy(F.desc("ts"), F.desc("_pos"), F.desc("raw_id"))
-    kept = timed.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= length)
+    kept = _first_ranked(timed, keys, [F.desc("ts"), F.desc("_pos"), F.desc("raw_id")], length)
     lists = kept.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(F.negative("_rank").alias("r"), "event_int"))).alias("_seq"))
     return lists.join(labels, keys).select(
@@ -92,8 +105,7 @@ def time_windows(events: DataFrame, width: str = "1 minute", length: int = rules
 
 def top_n_per_group(counted: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """First n rows per key in the given order; the limit is applied before the shuffle."""
-    ranked = counted.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where(F.col("_rank") <= n).drop("_rank")
+    return _first_ranked(counted, keys, order, n).drop("_rank")
 
 
 def top_k_values(df: DataFrame, col: str, k: int) -> DataFrame:
@@ -103,8 +115,8 @@ def top_k_values(df: DataFrame, col: str, k: int) -> DataFrame:
 
 
 def top_values_only(df: DataFrame, col: str, k: int = 5) -> DataFrame:
-    """Rows whose value is among the k most frequent; the k rows are the broadcast side."""
-    return df.join(F.broadcast(top_k_values(df, col, k).select(col)), col, "left_semi")
+    """Rows whose value is among the k most frequent."""
+    return df.join(top_k_values(df, col, k).select(col), col, "left_semi")
 
 
 def minmax_weight(df: DataFrame, col: str, name: str = "sample_weight") -> DataFrame:
@@ -115,18 +127,20 @@ def minmax_weight(df: DataFrame, col: str, name: str = "sample_weight") -> DataF
     return attach_row(df, bounds, "_b").withColumn(name, weight).drop("_b")
 
 
-def dedup_by_hash(df: DataFrame, key: str, order: str, limit: int | None = rules.SAMPLE_SIZE) -> DataFrame:
+def dedup_by_hash(df: DataFrame, key: str, order: str, limit: int | None = None) -> DataFrame:
     """First row per key by ``order``; with a limit the first ``limit`` keys in that order.
 
-    ``min_by`` combines map-side, so a key with very many copies sends one row per task.
+    ``order`` tells the rows of a key apart. Its minimum is a hash aggregation of two narrow columns that
+    combines map-side; the rows are then fetched by key and order, so a key with very many copies is spread.
+    Null is a key like any other.
     """
-    rest = [c for c in df.columns if c != key]
-    first = df.groupBy(key).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_row"))
-    out = first.select(key, "_row.*").select(*df.columns)
-    return out if limit is None else out.orderBy(order).limit(limit)
+    first = df.groupBy(F.col(key).alias("_first_key")).agg(F.min(order).alias("_first_order"))
+    if limit is not None:
+        first = first.orderBy("_first_order").limit(limit)
+    return df.join(first, F.col(key).eqNullSafe(F.col("_first_key")) & (F.col(order) == F.col("_first_order")), "left_semi")
 
 
-def take_sample(df: DataFrame, order: str, n: int = 5000) -> DataFrame:
+def take_sample(df: DataFrame, order: str, n: int) -> DataFrame:
     return df.orderBy(order).limit(n)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from opsgrain import rules
 from opsgrain.functions import telemetry as tok
 from opsgrain.functions.core import np_round, py_round
-from opsgrain.operators.ordering import top_n_per_group
+from opsgrain.operators.ordering import top_k_values
 from opsgrain.operators.quantiles import exact_quantiles, quantile, upper_median
 from opsgrain.session import attach_row
 
@@ -29,19 +29,25 @@ def with_share(counted: DataFrame, total: DataFrame, name: str = "pct", digits:
     return raw.withColumn(name, py_round("_share", digits)).drop("_t", "_share")
 
 
+def _counted(df: DataFrame, *keys: Column) -> DataFrame:
+    """Counts per key; ``known`` is 0 for the null value. Filters on it stay above the aggregation, so that the
+    counts and their total share one scan."""
+    return df.groupBy(*keys).agg(F.count("*").alias("count"), F.count(keys[-1]).alias("known"))
+
+
 def value_distribution(df: DataFrame, col: str) -> DataFrame:
     """value, count, share in percent of all rows (null values count in the total only)."""
-    counted = df.groupBy(F.col(col).alias("value")).agg(F.count("*").alias("count"))
-    total = counted.agg(F.sum("count").alias("n"))
-    return with_share(counted, total).where(F.col("value").isNotNull())
+    counted = _counted(df, F.col(col).alias("value"))
+    total = counted.agg(F.sum(F.when(F.col("known") >= 0, F.col("count"))).alias("n"))
+    return with_share(counted, total).where("known > 0").drop("known")
 
 
 def value_distributions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Several distributions of one frame in one scan: (column, value, count, pct)."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
-    counted = df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("*").alias("count"))
-    total = counted.where(F.col("column") == cols[0]).agg(F.sum("count").alias("n"))
-    return with_share(counted, total).where(F.col("value").isNotNull())
+    counted = _counted(df.select(F.inline(pairs)), F.col("column"), F.col("value"))
+    total = counted.agg(F.sum(F.when((F.col("known") >= 0) & (F.concat("column", F.lit("")) == cols[0]), F.col("count"))).alias("n"))
+    return with_share(counted, total).where("known > 0").drop("known")
 
 
 def dominant_values(df: DataFrame, col: str, pct: float = 80.0) -> DataFrame:
@@ -102,20 +108,26 @@ def null_rates(df: DataFrame) -> DataFrame:
 
 
 def profile_events(events: DataFrame) -> DataFrame:
-    """(section, name, value) of the unified table: two scans, one for counts, one for values."""
+    """(section, name, value) of the unified table: one narrow aggregation for rows and nulls, one grouping
+    of five columns for their values and how many different ones there are."""
     summary = events.agg(
         F.count("*").alias("total_rows"), F.lit(len(events.columns)).alias("total_columns"),
-        F.count_distinct("event_id").alias("unique_event_ids"),
-        F.count_distinct("event_template").alias("unique_event_templates"),
         *[np_round(F.count_if(F.col(c).isNull()) / F.count("*") * 100, 2).alias(f"null_{c}") for c in events.columns])
-    table = [("table", c, c) for c in ("total_rows", "total_columns", "unique_event_ids", "unique_event_templates")]
+    table = [("table", c, c) for c in ("total_rows", "total_columns")]
     table += [("null_rates_pct", c, f"null_{c}") for c in events.columns]
     rows = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(n).alias("name"),
                               F.col(c).cast("double").alias("value")) for s, n, c in table])
-    values = value_distributions(events, ["system", "severity", "event_type"])
-    return summary.select(F.inline(rows)).unionByName(
-        values.select(F.col("column").alias("section"), F.col("value").alias("name"),
-                      F.col("count").cast("double").alias("value")))
+    listed, unique = ["system", "severity", "event_type"], {"event_id": "unique_event_ids", "event_template": "unique_event_templates"}
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in (*listed, *unique)])
+    counted = _counted(events.select(F.inline(pairs)), F.col("column"), F.col("value")).where("known > 0")
+    one = F.col("column").isin(*listed)
+    named = F.when(one, F.col("column")).otherwise("table").alias("section")
+    label = F.when(one, F.col("value"))
+    for c, name in unique.items():
+        label = label.when(F.col("column") == c, name)
+    found = counted.select(named, label.alias("name"), F.when(one, F.col("count")).otherwise(1).alias("n")) \
+        .groupBy("section", "name").agg(F.sum("n").cast("double").alias("value"))
+    return summary.select(F.inline(rows)).unionByName(found)
 
 
 def _long(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
@@ -152,13 +164,11 @@ def describe_text(df: DataFrame, cols: Sequence[str], short: dict[str, int] | No
     return basic.join(exact_quantiles(long, "value", {"median_length": quantile(0.5)}, ["column"]), "column")
 
 
-def column_statistics(df: DataFrame, cols: Sequence[str] | None = None, top: int = 5,
-                      top_below: int = 100) -> DataFrame:
+def column_statistics(df: DataFrame, cols: Sequence[str] | None = None, top_columns: Sequence[str] = (), top: int = 5) -> DataFrame:
     """(column, statistic, value) for every numeric, text and boolean column.
 
-    Numeric columns get moments and quartiles, text columns lengths and distinct counts;
-    columns with fewer than ``top_below`` distinct texts also list their most frequent values
-    as ``top:<value>``.
+    Numeric columns get moments and quartiles, text columns lengths and distinct counts. The ``top`` most
+    frequent values of the columns in ``top_columns`` are listed as ``top:<value>``.
     """
     fields = [f for f in df.schema.fields if cols is None or f.name in cols]
     numeric = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
@@ -179,23 +189,27 @@ def column_statistics(df: DataFrame, cols: Sequence[str] | None = None, top: int
         pairs = F.array(*[F.struct(F.lit(s).alias("statistic"), F.col(s).cast("double").alias("value")) for s in stats])
         out = out.unionByName(described.select("column", F.inline(pairs)))
     if texts:
-        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("text")) for c in texts])
-        counted = df.select(F.inline(pairs)).where(F.col("text").isNotNull()) \
-            .groupBy("column", "text").agg(F.count("*").alias("n"))
-        distinct = counted.groupBy("column").agg(F.count("*").alias("d"))
+        # different texts are told apart by 128 bits, so no text is shuffled
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.unhex(F.md5(c)).alias("text")) for c in texts])
+        distinct = df.select(F.inline(pairs)).where(F.col("text").isNotNull()).distinct().groupBy("column").agg(F.count("*").alias("d"))
         out = out.unionByName(distinct.select("column", F.lit("unique_count").alias("statistic"),
                                               F.col("d").cast("double").alias("value")))
-        # one row per text column on the broadcast side
-        small = counted.join(F.broadcast(distinct.where(F.col("d") < top_below).select("column")), "column")
-        best = top_n_per_group(small, ["column"], [F.desc("n"), F.asc("text")], top)
-        out = out.unionByName(best.select("column", F.concat(F.lit("top:"), F.col("text")).alias("statistic"),
+    for c in top_columns:
+        best = top_k_values(df, c, top)
+        out = out.unionByName(best.select(F.lit(c).alias("column"), F.concat(F.lit("top:"), F.col(c).cast("string")).alias("statistic"),
                                           F.col("n").cast("double").alias("value")))
     return out
 
 
+def _row_hash(cols: Sequence[str]) -> list[Column]:
+    """128 bits of the values and of where they are null."""
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
+    return [F.xxhash64(F.lit(i), nulls, *cols).alias(f"_h{i}") for i in (1, 2)]
+
+
 def dataset_info(df: DataFrame) -> DataFrame:
-    """Rows, columns and rows that repeat an earlier row in full."""
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
+    """Rows, columns and rows that repeat an earlier row in full; rows are compared by 128 bits of their values."""
+    groups = df.select(*_row_hash(df.columns)).groupBy("_h1", "_h2").agg(F.count("*").alias("_n"))
     return groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
                       F.lit(len(df.columns)).alias("column_count"),
                       F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"))
@@ -231,8 +245,8 @@ def outlier_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def duplicate_ratio(df: DataFrame, key: str, limit: float = rules.MAX_DUPLICATE_RATIO) -> DataFrame:
-    """Rows beyond the first of their key; null is one key."""
-    per_key = df.groupBy(key).agg(F.count("*").alias("n"))
+    """Rows beyond the first of their key; null is one key. Keys are compared by 128 bits, so no text is shuffled."""
+    per_key = df.select(*_row_hash([key])).groupBy("_h1", "_h2").agg(F.count("*").alias("n"))
     extra, rows = F.sum(F.col("n") - 1), F.sum("n")
     return per_key.agg(extra.alias("duplicates"), (extra / rows).alias("duplicate_ratio"),
                        F.when(extra / rows > limit, "failed").when(extra > 0, "warning")

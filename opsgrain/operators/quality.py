@@ -169,9 +169,10 @@ def log_suite() -> list[Check]:
     ]
 
 
-def qa_suite() -> list[Check]:
+def qa_suite(most_rows: int | None = None) -> list[Check]:
+    """A table is not wrong for being large: there is an upper row bound only where one is given."""
     return [
-        *expect_row_count(lo=rules.MIN_QA_ROWS, hi=rules.MAX_QA_ROWS),
+        *expect_row_count(lo=rules.MIN_QA_ROWS, hi=most_rows),
         *expect_not_null(["question_id", "title", "question_body", "answer_body", "tags", "score", "quality_score"]),
         expect_unique("question_id"), expect_min_value("question_id", 1), expect_min_value("score", 0),
         expect_min_value("answer_score", 0), expect_min_value("quality_score", 0),
@@ -180,8 +181,14 @@ def qa_suite() -> list[Check]:
     ]
 
 
-def chat_suite(lo: int = 4000, hi: int = 6000) -> list[Check]:
+def expect_flag(col: str) -> Check:
+    """True or false, in a boolean column or as text."""
+    return Check("is_flag", col, F.count_if(~F.lower(F.col(col).cast("string")).isin("true", "false")), _zero, 0.0)
+
+
+def chat_suite(lo: int = 4000, hi: int | None = None) -> list[Check]:
     return [
+        *[expect_flag(c) for c in rules.CHAT_FLAGS],
         *expect_not_null(["chat", "num_turns", "num_calls", "complexity_tier"]),
         expect_in_set("complexity_tier", rules.COMPLEXITY_TIERS),
         *expect_between("num_turns", 0, 50), *expect_between("num_calls", 0, 20),
@@ -189,6 +196,11 @@ def chat_suite(lo: int = 4000, hi: int = 6000) -> list[Check]:
     ]
 
 
+def chat_checks(features: DataFrame) -> DataFrame:
+    """The chat suite and the check of its required columns."""
+    return check_suite(features, chat_suite()).unionByName(expect_columns(features, rules.CHAT_REQUIRED_COLUMNS))
+
+
 def chat_thresholds(features: DataFrame) -> DataFrame:
     """Six limits on a chat table: (check, value, threshold, is_anomaly)."""
     n = F.count("*")
@@ -257,7 +269,8 @@ def violation_counts(judged: DataFrame) -> DataFrame:
 
 
 def record_thresholds(report: DataFrame) -> DataFrame:
-    """Alert rows from a violation report: (check, value, threshold, is_anomaly).
+    """Alert rows from a violation report: (check, value, threshold, is_anomaly). All limits but the
+    smallest number of records are shares or zero, so they mean the same at every size.
 
     The report has one row per kind of violation, so one aggregation sees it whole.
     """
@@ -271,12 +284,13 @@ def record_thresholds(report: DataFrame) -> DataFrame:
     facts = report.agg(
         pick("pass_rate_pct").alias("pass_rate"),
         F.coalesce(F.sum(F.when(name.startswith("pii_leaked"), value)), F.lit(0.0)).alias("pii_leakage"),
-        F.coalesce(F.max(F.when(~own, value)), F.lit(0.0)).alias("violation_count"),
+        F.when(pick("total") > 0, F.coalesce(F.max(F.when(~own, value)), F.lit(0.0)) / pick("total") * 100).otherwise(0.0)
+        .alias("violation_share"),
         pick("total").alias("minimum_records"))
     judged = [
         ("pass_rate", t["min_pass_rate_pct"], F.col("pass_rate") < t["min_pass_rate_pct"]),
         ("pii_leakage", t["max_pii_leak_count"], F.col("pii_leakage") > t["max_pii_leak_count"]),
-        ("violation_count", t["max_violation_count"], F.col("violation_count") > t["max_violation_count"]),
+        ("violation_share", t["max_violation_pct"], F.col("violation_share") > t["max_violation_pct"]),
         ("minimum_records", t["min_total_records"], F.col("minimum_records") < t["min_total_records"]),
     ]
     return facts.select(F.inline(F.array(*[
@@ -296,14 +310,14 @@ def verdict(checks: DataFrame) -> DataFrame:
         (F.count_if((F.col("status") == "failed") & (F.col("severity") == "error")) == 0).alias("is_valid"))
 
 
-def alerts_from_findings(findings: DataFrame) -> DataFrame:
+def alerts_from_findings(findings: DataFrame, names_shown: int) -> DataFrame:
     """Alert rows from (pipeline, kind, name, level) findings; kind is anomaly, bias or validation.
 
-    The listed names are the first five in order. They come from a ranked, limited list, so
+    The listed names are the first ``names_shown`` in order. They come from a ranked, limited list, so
     a source with very many findings does not collect them.
     """
     keys = ["pipeline", "kind"]
-    names = top_n_per_group(findings.select(*keys, "name").distinct(), keys, [F.asc("name")], 5)
+    names = top_n_per_group(findings.select(*keys, "name").distinct(), keys, [F.asc("name")], names_shown)
     shown = names.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_list("name")), ", ").alias("names"))
     sizes = findings.groupBy(*keys).agg(
         F.count("*").alias("findings"),

@@ -148,11 +148,11 @@ def capped_downsample(df: DataFrame, col: str, key: Sequence[str], cap: float =
     """Thin every class above ``cap`` percent to about that share; adds ``sampling_weight``.
 
     A row stays when its seeded hash, as a number in 0..1, does not exceed the keep ratio.
-    ``col`` is a classifier with a fixed list of values, so the ratios are a small table.
+    The ratios are one row per value; Spark broadcasts them while they are small.
     """
     shares = _class_shares(df, col, cap)
     draw = seeded_int(seed, *key) / F.lit(float(16 ** 15))
-    kept = df.join(F.broadcast(shares), col).where(draw <= F.col("keep_ratio"))
+    kept = df.join(shares, col).where(draw <= F.col("keep_ratio"))
     return kept.withColumn("sampling_weight", sampling_weight(F.col("class_pct"))).select(
         *df.columns, "sampling_weight")
 
@@ -163,9 +163,9 @@ def slice_pairs(dimension: str, values: Column) -> Column:
     return F.transform(known, lambda v: F.struct(F.lit(dimension).alias("dimension"), v.alias("value")))
 
 
-def oversample_slices(df: DataFrame, suggestions: DataFrame, key: Sequence[str], max_slices: int = 3,
-                      small: int = rules.SLICE_MIN_ROWS, seed: int = rules.SEED) -> DataFrame:
-    """Add min(2 n, 100) drawn rows for the first slices that ask for augmentation.
+def oversample_slices(df: DataFrame, suggestions: DataFrame, key: Sequence[str], max_slices: int | None = None,
+                      small: int = rules.SLICE_MIN_ROWS, seed: int = rules.SEED, most_draws: int | None = None) -> DataFrame:
+    """Add 2 n drawn rows, at most ``most_draws``, for the slices that ask for augmentation, or the first ``max_slices`` of them.
 
     ``suggestions`` has dimension, value, strategy, priority, position; only multi-valued
     dimensions (tags, error_signatures, infra_components) can be augmented and only slices with
@@ -173,14 +173,17 @@ def oversample_slices(df: DataFrame, suggestions: DataFrame, key: Sequence[str],
     """
     dims = {"tags": "tag_", "error_signatures": "error_", "infra_components": "infra_"}
     chosen = suggestions.where((F.col("strategy") == "data_augmentation") & (F.col("priority") == "high")) \
-        .orderBy("position").limit(max_slices).where(F.col("dimension").isin(*dims))
+        .where(F.col("dimension").isin(*dims) if max_slices is None else F.lit(True))
+    if max_slices is not None:
+        chosen = chosen.orderBy("position").limit(max_slices).where(F.col("dimension").isin(*dims))
     pairs = F.concat(*[slice_pairs(d, F.col(d)) for d in dims])
     members = df.withColumn("_s", F.explode(pairs)).withColumn("dimension", F.col("_s.dimension")) \
         .withColumn("value", F.col("_s.value")).drop("_s") \
-        .join(F.broadcast(chosen.select("dimension", "value")), ["dimension", "value"])
+        .join(chosen.select("dimension", "value").distinct(), ["dimension", "value"])
     tagged = members.withColumn("drawn_for", F.concat_ws("=", "dimension", "value")).drop("dimension", "value")
     sizes = tagged.groupBy("drawn_for").agg(F.count("*").alias("size")).where(F.col("size") < small)
-    plan = sizes.withColumn("draws", F.least(F.col("size") * 2, F.lit(100)).cast("bigint"))
+    draws = F.col("size") * 2 if most_draws is None else F.least(F.col("size") * 2, F.lit(most_draws))
+    plan = sizes.withColumn("draws", draws.cast("bigint"))
     indexed = with_class_index(tagged, "drawn_for", key, seed)
     drawn = draw_with_replacement(indexed, "drawn_for", plan, seed)
     cols = [*df.columns, "drawn_for", "copy"]

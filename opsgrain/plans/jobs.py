@@ -57,7 +57,7 @@ def log_gate(events: DataFrame) -> DataFrame:
 
 
 def qa_training_table(pairs: DataFrame, *, mitigate: bool = True, test_ratio: float = 0.2, seed: int = rules.SEED,
-                      min_rows: int = rules.SLICE_MIN_ROWS, system_prompt: str | None = rules.QA_SYSTEM_PROMPT,
+                      min_rows: int = 1, system_prompt: str | None = rules.QA_SYSTEM_PROMPT,
                       layout: str = "chat") -> DataFrame:
     """Features, optional oversampling, weights, exact split, chat or completion records.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opsgrain.session import drop_table, stage_table
+
 
 def unprocessed(prompts: DataFrame, ledger: DataFrame, key: str = "id") -> DataFrame:
     return prompts.join(ledger.select(key).distinct(), key, "left_anti")
@@ -13,11 +15,11 @@ def unprocessed(prompts: DataFrame, ledger: DataFrame, key: str = "id") -> DataF
 def mark_processed(ledger_path: str, done: DataFrame, prompts: DataFrame, ledger: DataFrame, key: str = "id") -> int:
     """Append the ids of existing prompts that were asked to be marked; the number of prompts
     touched comes back. An empty list writes nothing."""
-    touched = prompts.select(key).join(done.select(key).distinct(), key, "left_semi")
-    fresh = touched.join(ledger.select(key).distinct(), key, "left_anti")
+    touched = stage_table(prompts.select(key).join(done.select(key).distinct(), key, "left_semi"))  # counted and written alike
     count = touched.count()
     if count:
-        fresh.write.mode("append").parquet(ledger_path)
+        touched.join(ledger.select(key).distinct(), key, "left_anti").write.mode("append").parquet(ledger_path)
+    drop_table(touched)
     return count
 
 

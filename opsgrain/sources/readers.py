@@ -60,11 +60,13 @@ def read_string_csv(spark: SparkSession, path: str, columns: Iterable[str], mult
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, on_bad: str = "skip") -> DataFrame:
     """One JSON object per line; blank lines are ignored.
 
-    ``on_bad="skip"`` drops malformed lines (``count_bad_lines`` reports them), ``"fail"``
-    makes the first one an error when the rows are computed.
+    ``on_bad="skip"`` drops malformed lines (``line_report`` counts and ``bad_lines`` returns them), ``"keep"`` adds
+    them as rows with the line in ``_bad_line``, ``"fail"`` makes the first one an error when the rows are computed.
     """
     lines = spark.read.text(path).where(strip("value") != "")
     ok = json_valid("value")
+    if on_bad == "keep":
+        return lines.select(F.when(ok, F.from_json("value", schema)).alias("r"), F.when(~ok, F.col("value")).alias("_bad_line")).select("r.*", "_bad_line")
     if on_bad == "skip":
         lines = lines.where(ok)
     else:
@@ -73,6 +75,11 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str, on_ba
     return lines.select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
+def bad_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """The lines that are neither blank nor valid."""
+    return lines.where((strip(col) != "") & ~json_valid(col))
+
+
 def line_report(lines: DataFrame, col: str = "value") -> DataFrame:
     """(line_status, count) over blank, valid and malformed lines."""
     status = F.when(strip(col) == "", "blank").when(json_valid(col), "valid").otherwise("malformed")

@@ -26,9 +26,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
-def write_report(rows: DataFrame, path: str, key: str, value: str, mode: str = "errorifexists") -> None:
-    """A tidy (key, value) report of tens of rows as one JSON document."""
-    doc = rows.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(
+def write_report(rows: DataFrame, path: str, key: str, value: str, mode: str = "errorifexists", most_rows: int = 10_000) -> None:
+    """A tidy (key, value) report as one JSON document; more than ``most_rows`` rows are an error, not a report."""
+    few = rows.limit(most_rows + 1)
+    if few.count() > most_rows:
+        raise ValueError(f"a report has at most {most_rows} rows; write a table instead")
+    doc = few.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(
         F.struct(F.col(key).cast("string").alias("k"), F.col(value).alias("v")))))).alias("value"))
     doc.coalesce(1).write.mode(mode).text(path)
 
