@@ -21,6 +21,7 @@ from opsgrain.session import stage_table
 BITS = 12  # probes per round and bracket: 2 ** BITS
 HASH_BITS = 60  # of the md5 of the text: the first 15 hexadecimal digits
 CELL_ROWS = 200_000  # rows that one task numbers at most, about
+CELL_LEAST = 256  # smaller cells are never parted
 LEVELS = ("h", "id", "n")
 
 
@@ -141,8 +142,11 @@ def shard(docs: DataFrame, shards: int, *, doc_id: str = "doc_id", text: str = "
     prefix, part = names["prefix"], names["part"]
     placed = staged.withColumns({
         "shard": shard_of(splitters(keys, shards, tolerance), levels), prefix: F.shiftright(names["h"], HASH_BITS - BITS)})
-    # cells that one task could not number are parted; 2 ** BITS cells plus one per splitter, so the broadcast is bounded
-    parts = placed.groupBy(F.col("shard").alias("s"), F.col(prefix).alias("p")).agg(F.ceil(F.count("*") / cell_rows).alias("parts"))
+    # cells with far more rows than the others, or more than one task should number, are parted;
+    # there are 2 ** BITS cells plus one per splitter, so the broadcast is bounded
+    rows = placed.groupBy(F.col("shard").alias("s"), F.col(prefix).alias("p")).agg(F.count("*").alias("rows"))
+    usual = F.greatest(F.lit(CELL_LEAST), F.ceil(2 * F.avg("rows").over(Window.partitionBy())))
+    parts = rows.select("s", "p", F.ceil(F.col("rows") / F.least(F.lit(cell_rows), usual)).alias("parts"))
     placed = (placed.join(F.broadcast(parts), (F.col("shard") == F.col("s")) & (F.col(prefix) == F.col("p")))
               .withColumn(part, F.pmod(F.xxhash64(names["id"], names["n"]), F.col("parts"))).drop("s", "p", "parts"))
     counts = placed.groupBy("shard", prefix, part).agg(F.count("*").alias("rows"))
