@@ -1,8 +1,10 @@
-"""Exact quantiles that never bring a whole group into one task.
+"""Exact quantiles by descent through histograms of bounded size.
 
-Spark's exact ``percentile`` keeps every distinct value of a group in one aggregation buffer.
-Here the values are first counted (map-side, so a hot value collapses before the shuffle), a
-coarse histogram finds the bucket of every wanted rank, and only these buckets are ordered.
+Spark's exact ``percentile`` keeps every distinct value of a group in one aggregation buffer. Here the
+values are first counted (map-side, so a hot value collapses before the shuffle). A logarithmic histogram
+finds the bucket of every wanted rank, whatever the values' magnitude; two linear ones of 65,536 cells each
+narrow it to a cell. A bucket spans a sixteenth of an octave, so a last cell holds at most about 2^17
+different doubles, and nearly always one: only those few are ordered.
 """
 
 from __future__ import annotations
@@ -12,8 +14,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# buckets are about 0.1 % wide in relative terms: at most about 20,000 of them up to 1e9
-_BUCKETS_PER_E = 1024
+_PER_OCTAVE = 16
+_LOWEST = -1100  # below the exponent of the smallest double
+_CELLS = 65_536
 
 
 def quantile(q: float) -> Callable[[Column], Column]:
@@ -26,6 +29,21 @@ def upper_median(n: Column) -> Column:
     return F.floor(n / 2).cast("double")
 
 
+def _bucket(v: Column) -> Column:
+    """Order-preserving logarithmic bucket: 0 for zero, negative for negative values."""
+    size = F.floor((F.least(F.log2(F.abs(v)), F.lit(1025.0)) - _LOWEST) * _PER_OCTAVE) + 1
+    return F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size).cast("bigint")
+
+
+def _narrowed(ranks: DataFrame, cells: DataFrame, within: Sequence[str], cell: str) -> DataFrame:
+    """``ranks`` with the range (_lo, _hi) of the cell that holds each, and the rank left inside it."""
+    before = Window.partitionBy(*within).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    placed = (cells.groupBy(*within, cell).agg(F.sum("_n").alias("_cn"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+              .withColumn("_start", F.coalesce(F.sum("_cn").over(before), F.lit(0))))
+    return ranks.join(placed, list(within)).where((F.col("_left") >= F.col("_start")) & (F.col("_left") < F.col("_start") + F.col("_cn"))) \
+        .withColumn("_left", F.col("_left") - F.col("_start")).drop("_cn", "_start")
+
+
 def exact_quantiles(
     df: DataFrame, value: str, positions: Mapping[str, Callable[[Column], Column]],
     groups: Sequence[str] = (),
@@ -36,38 +54,27 @@ def exact_quantiles(
     v = F.col(value).cast("double")
     hist = (
         base.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-        .groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
-        .withColumn("_b", (F.signum("_v") * F.floor(F.log1p(F.abs("_v")) * _BUCKETS_PER_E)).cast("bigint"))
-    )
-    ordered = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    coarse = (
-        hist.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
-        .withColumn("_end", F.sum("_bn").over(ordered))
-        .withColumn("_total", F.sum("_bn").over(Window.partitionBy(*keys)))
-        .withColumn("_start", F.col("_end") - F.col("_bn"))
-    )
-    spots = {name: at(F.col("_total").cast("double")) for name, at in positions.items()}
-
-    def holds(rank: Column, start: str = "_start", end: str = "_end") -> Column:
-        return (rank >= F.col(start)) & (rank < F.col(end))
-
-    wanted = F.lit(False)
-    for pos in spots.values():
-        wanted = wanted | holds(F.floor(pos)) | holds(F.ceil(pos))
-    near = coarse.where(wanted).select(*keys, "_b", "_start", "_total")
-    within = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fine = (
-        hist.join(near, [*keys, "_b"])
-        .withColumn("_to", F.col("_start") + F.sum("_n").over(within))
-        .withColumn("_from", F.col("_to") - F.col("_n"))
+        .groupBy(*keys, "_v").agg(F.count("*").alias("_n")).withColumn("_b", _bucket(F.col("_v")))
     )
-    aggs = [F.max("_total").alias("_total")]
-    for name, pos in spots.items():
-        aggs.append(F.max(F.when(holds(F.floor(pos), "_from", "_to"), F.col("_v"))).alias(f"_lo_{name}"))
-        aggs.append(F.max(F.when(holds(F.ceil(pos), "_from", "_to"), F.col("_v"))).alias(f"_hi_{name}"))
-    picked = fine.groupBy(*keys).agg(*aggs)
-    out = [
-        (F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * (pos - F.floor(pos))).alias(name)
-        for name, pos in spots.items()
-    ]
-    return picked.select(*groups, *out)
+    totals = hist.groupBy(*keys).agg(F.sum("_n").alias("_total"))
+    spots = [at(F.col("_total").cast("double")) for at in positions.values()]
+    wanted = F.array_distinct(F.concat(*[F.array(F.floor(p).cast("bigint"), F.ceil(p).cast("bigint")) for p in spots]))
+    ranks = totals.select(*keys, F.explode(wanted).alias("_rank")).withColumn("_left", F.col("_rank"))
+    found = _narrowed(ranks, hist, keys, "_b")
+    inside = [*keys, "_b", "_from", "_to"]
+    for _ in range(2):
+        found = found.withColumnsRenamed({"_lo": "_from", "_hi": "_to"})
+        members = hist.join(found.select(*inside).distinct(), [*keys, "_b"]).where(F.col("_v").between(F.col("_from"), F.col("_to")))
+        width = F.col("_to") - F.col("_from")
+        cell = F.when(width > 0, F.floor((F.col("_v") - F.col("_from")) / width * (_CELLS - 1))).otherwise(0)
+        found = _narrowed(found, members.withColumn("_cell", cell), inside, "_cell").drop("_cell", "_from", "_to")
+    # what is left of a cell: its few values in order
+    last = found.withColumnsRenamed({"_lo": "_from", "_hi": "_to"})
+    few = hist.join(last.select(*inside).distinct(), [*keys, "_b"]).where(F.col("_v").between(F.col("_from"), F.col("_to")))
+    exact = _narrowed(last, few.withColumn("_cell", F.col("_v")), inside, "_cell")
+    by_rank = exact.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_lo"))).alias("_at")).join(totals, keys)  # two ranks per position
+    out = []
+    for name, p in zip(positions, spots):
+        low, high = F.col("_at")[F.floor(p).cast("bigint")], F.col("_at")[F.ceil(p).cast("bigint")]
+        out.append((low + (high - low) * (p - F.floor(p))).alias(name))
+    return by_rank.select(*groups, *out)

@@ -78,20 +78,29 @@ def class_plan(df: DataFrame, class_col: str = "label") -> DataFrame:
 def balance_classes(df: DataFrame, key: Sequence[str], seed: int = rules.SEED, class_col: str = "label") -> DataFrame:
     """Normal rows cut without replacement, small failure classes drawn with replacement.
 
-    Row order is not part of the result; ``copy`` numbers the copies of a drawn row.
+    Row order is not part of the result; ``copy`` numbers the copies of a drawn row. The plan, five rows at
+    most, is read first. Classes that stay whole pass a filter, the one that is cut is compared with its cut
+    key, and only the small classes that are drawn get an index.
     """
-    plan = class_plan(df, class_col)
-    indexed = with_class_index(df, class_col, key, seed)
-    # the plan has one row per label, five at most
-    once = indexed.join(F.broadcast(plan.where("keep > 0").select(class_col, "keep")), class_col) \
-        .where(F.col("class_index") < F.col("keep")).withColumn("copy", F.lit(0).cast("bigint"))
-    drawn = draw_with_replacement(indexed, class_col, plan, seed)
-    cols = [*df.columns, "copy"]
-    return once.select(*cols).unionByName(drawn.select(*cols))
-
-
-def _hash_cut(df: DataFrame, key: Sequence[str], seed: int, share: float) -> DataFrame:
-    """One row with the largest row key that still belongs to the first int(n * share) rows.
+    plan = {r[class_col]: r for r in class_plan(df, class_col).collect()}
+    whole = [c for c, r in plan.items() if not r.draws and r.keep == r["size"]]
+    drawn = [c for c, r in plan.items() if r.draws]
+    label, copy = F.col(class_col), F.lit(0).cast("bigint").alias("copy")
+    stays = label.isin(whole)
+    for c, r in plan.items():
+        if not r.draws and 0 < r.keep < r["size"]:
+            cut = _hash_cut(df.where(label == c), key, seed, F.lit(r.keep)).first().cut
+            stays = stays | ((label == c) & (seeded_key(seed, *key) <= F.lit(cut)))
+    out = df.where(stays).select("*", copy)
+    if drawn:
+        wanted = df.sparkSession.createDataFrame([(c, plan[c]["size"], plan[c].draws) for c in drawn], f"{class_col} {dict(df.dtypes)[class_col]}, size bigint, draws bigint")
+        indexed = with_class_index(df.where(label.isin(drawn)), class_col, key, seed)
+        out = out.unionByName(draw_with_replacement(indexed, class_col, wanted, seed).select(*df.columns, "copy"))
+    return out
+
+
+def _hash_cut(df: DataFrame, key: Sequence[str], seed: int, first_rows: Column) -> DataFrame:
+    """One row with the largest row key that still belongs to the first rows; their number may use ``_all``, that of all rows.
 
     Radix descent: count 65,536 buckets by the first four hex digits, then the same inside the
     bucket that holds the cut, then order the few keys that are left. No row is sorted.
@@ -107,15 +116,16 @@ def _hash_cut(df: DataFrame, key: Sequence[str], seed: int, share: float) -> Dat
             .where((F.col("_end") >= F.col("_want")) & (F.col("_end") - F.col("_n") < F.col("_want"))) \
             .select("_p", (F.col("_want") - (F.col("_end") - F.col("_n"))).alias("_left"))
 
-    first = level(keys, 1, F.floor(F.col("_all") * F.lit(share)), [])
+    first = level(keys, 1, first_rows, [])
     second_keys = attach_row(keys, first, "_c1").where(F.substring("_key", 1, _PREFIX) == F.col("_c1._p"))
     second = level(second_keys.select("_key", F.col("_c1._left").alias("_need")), 1 + _PREFIX, F.col("_need"), ["_need"])
     both = attach_row(attach_row(keys, first, "_c1"), second, "_c2")
     final = both.where((F.substring("_key", 1, _PREFIX) == F.col("_c1._p"))
                        & (F.substring("_key", 1 + _PREFIX, _PREFIX) == F.col("_c2._p")))
-    # about n / 2^32 keys share eight hex digits
-    return final.groupBy().agg(F.sort_array(F.collect_list("_key")).alias("_keys"), F.max("_c2._left").alias("_left")) \
-        .select(F.get("_keys", (F.col("_left") - 1).cast("int")).alias("cut"))
+    # about n / 2^32 different keys share eight hex digits; a key that repeats is counted, not collected
+    run = Window.orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = final.groupBy("_key", "_c2._left").agg(F.count("*").alias("_n")).withColumn("_end", F.sum("_n").over(run))
+    return counted.where((F.col("_end") >= F.col("_left")) & (F.col("_end") - F.col("_n") < F.col("_left"))).select(F.col("_key").alias("cut"))
 
 
 def train_test_split(df: DataFrame, key: Sequence[str], test_ratio: float = 0.2, seed: int = rules.SEED) -> DataFrame:
@@ -124,7 +134,7 @@ def train_test_split(df: DataFrame, key: Sequence[str], test_ratio: float = 0.2,
     ``key`` has to identify a row. The rows are not shuffled: each one is compared with the
     cut key, which three counting passes find.
     """
-    cut = _hash_cut(df, key, seed, 1 - test_ratio)
+    cut = _hash_cut(df, key, seed, F.floor(F.col("_all") * F.lit(1 - test_ratio)))
     mine = seeded_key(seed, *key)
     return attach_row(df, cut, "_cut").withColumn(
         "split", F.when(mine <= F.col("_cut.cut"), "train").otherwise("test")).drop("_cut")

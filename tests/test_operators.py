@@ -40,6 +40,21 @@ def test_exact_quantiles(spark, parts):
         assert got[g].u == values[len(values) // 2]
 
 
+def test_exact_quantiles_of_narrow_ranges(spark):
+    """Many different values in a small range, large or tiny: the last step still orders only a few of them."""
+    rng = random.Random(4)
+    day = sorted({1_700_000_000 + rng.random() * 86_400 for _ in range(20_000)})
+    tiny = sorted({rng.random() ** 40 * 1e-3 for _ in range(20_000)})
+    rows = [("day", v) for v in day] + [("tiny", v) for v in tiny] + [("signs", v) for v in (-1e300, -2.0, -1e-300, 0.0, 1e-300, 2.0, float("inf"))]
+    df = spark.createDataFrame(rows, "g string, v double")
+    spots = {"q1": quantile(0.25), "m": quantile(0.5), "q9": quantile(0.9), "u": upper_median}
+    got = {r.g: r for r in exact_quantiles(df, "v", spots, ["g"]).collect()}
+    for g, values in (("day", day), ("tiny", tiny)):
+        assert np.allclose([got[g].q1, got[g].m, got[g].q9], np.quantile(values, [0.25, 0.5, 0.9]), rtol=1e-15)
+        assert got[g].u == values[len(values) // 2]
+    assert (got["signs"].m, got["signs"].q1) == (0.0, -1.0)
+
+
 def test_exact_quantiles_ignores_missing(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (3.0,)], "v double")
     assert exact_quantiles(df, "v", {"m": quantile(0.5)}).first().m == 2.0
