@@ -419,11 +419,3 @@ _FINDINGS = """select source as pipeline, case doc_id % 3 when 0 then 'anomaly'
     select *, case when kind = 'validation' or (kind = 'anomaly' and findings > 10) or (kind = 'bias' and high_severity > 0) then 'error' else 'warning' end as severity from n""")
 def _(spark, sf):
     return quality.alerts_from_findings(spark.sql(_FINDINGS.format(t=f"parquet.`{sf}/documents.parquet`")), 5)
-
-
-@query("U3_training_tables", "select 'chats' as source_dataset, count(*) as count from chats union all select 'generated', count(*) from prompts where id % 5 <> 4")
-def _(spark, sf):
-    prompts = view(spark, sf, "prompts").where(json_valid("workflow_json"))
-    lines = jobs.combined_chat_lines({"chats": jobs.chat_training_table(view(spark, sf, "chats")),
-                                      "generated": jobs.generated_training_table(prompts)})
-    return profile.combined_counts(lines, "source_dataset")

@@ -8,8 +8,8 @@ from checks.registry import in_list, kw, lit, py_round, query, sql_view
 from checks.views import raw_logs, view
 from opsgrain import rules
 from opsgrain.functions import code as cd
-from opsgrain.functions.core import explode_rows
-from opsgrain.operators import code, logs, ordering, quality, sampling
+from opsgrain.functions.core import explode_rows, json_valid
+from opsgrain.operators import code, logs, ordering, profile, quality, sampling
 from opsgrain.plans import jobs
 from opsgrain.session import scratch_dir, stage_table
 from opsgrain.sources import readers, sinks
@@ -304,13 +304,13 @@ sql_view("code_slices", f"""with l as ({' union all '.join(f"select '{d}' as dim
 
 @query("G29_slice_summary", "select * from code_slices")
 def _(spark, sf):
-    return code.slice_summary(staged_records(spark, sf))
+    return code.slice_summary(records(spark, sf))
 
 
 @query("G30_imbalance_messages", """select dimension, 'Underrepresented (<5.0%)' as kind, string_agg(value, ',' order by value) as "values" from code_slices where underrepresented group by 1
     union all select dimension, 'Overrepresented (>40.0%)', string_agg(value, ',' order by value) from code_slices where overrepresented group by 1""")
 def _(spark, sf):
-    return code.imbalance_messages(code.slice_summary(staged_records(spark, sf))).withColumn("values", F.array_join("values", ","))
+    return code.imbalance_messages(code.slice_summary(records(spark, sf))).withColumn("values", F.array_join("values", ","))
 
 
 # --- sampling ---------------------------------------------------------------------
@@ -464,3 +464,14 @@ def _(spark, sf):
     found = readers.optional_inputs(spark, {"events": f"{sf}/events.parquet", "gone": f"{sf}/gone.parquet"})
     parts = [spark.read.parquet(p) for p in found.values()]
     return parts[0].agg(F.count("*").alias("n"))
+
+
+@query("U3_training_tables", """select 'chats' as source_dataset, count(*) as count from chats union all select 'generated', count(*) from prompts where id % 5 <> 4
+    union all select 'qa', count(*) from qa union all select 'code', count(*) from code_records""")
+def _(spark, sf):
+    prompts = view(spark, sf, "prompts").where(json_valid("workflow_json"))
+    lines = jobs.combined_chat_lines({"chats": jobs.chat_training_table(view(spark, sf, "chats")),
+                                      "generated": jobs.generated_training_table(prompts),
+                                      "qa": jobs.qa_training_table(view(spark, sf, "qa_pairs"), mitigate=False),
+                                      "code": jobs.code_training_table(view(spark, sf, "code_files"))})
+    return profile.combined_counts(lines, "source_dataset")

@@ -10,6 +10,7 @@ from opsgrain import rules
 from opsgrain.functions import text as tx
 from opsgrain.functions.core import normalize_whitespace
 from opsgrain.operators import ordering, profile, qa, quality, sampling, slices
+from opsgrain.plans import jobs
 from opsgrain.session import stage_table
 
 # --- SQL snippets -------------------------------------------------------------
@@ -501,6 +502,16 @@ def _(spark, sf):
         "question_id", "drawn_for", "copy")
 
 
+@query("B5_qa_training_job", """with d as (select coalesce(sum(2 * count), 0) as extra from (select distinct dimension, value, count from qa_judged
+      where rf and dimension in ('tags', 'error_signatures', 'infra_components'))),
+    n as (select count(*) + (select extra from d) as n from qa)
+    select split, records::bigint as records from (select 'train' as split, floor(n * 0.8) as records from n union all select 'test', n - floor(n * 0.8) from n) where records > 0""")
+def _(spark, sf):
+    # the whole job: features, bias report, oversampling of rare slices, weights, split, chat records
+    records = jobs.qa_training_table(view(spark, sf, "qa_pairs"), mitigate=True)
+    return records.where(F.size("messages") >= 2).groupBy("split").agg(F.count("*").alias("records"))
+
+
 # --- checks ---------------------------------------------------------------------
 
 

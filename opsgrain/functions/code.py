@@ -119,7 +119,12 @@ def prompt_slug(path: Column | str) -> Column:
 
 def synthesize_prompt(path: Column | str) -> Column:
     """An instruction from the file name: first rule whose word occurs in it."""
-    slug = prompt_slug(path)
+    return prompt_of_slug(prompt_slug(path))
+
+
+def prompt_of_slug(slug: Column | str) -> Column:
+    """The same from a slug that already is a column, so that the rules do not repeat its patterns."""
+    slug = as_col(slug)
     low = F.lower(slug)
 
     def fill(template: str) -> Column:

@@ -99,8 +99,9 @@ def process_code(files: DataFrame, cfg: GateConfig = GateConfig()) -> DataFrame:
         .withColumn("_again", cd.yaml_valid("_clean")) \
         .withColumn("status", F.when(ok & ~F.col("_again"), "invalid_yaml_post_redaction").otherwise(F.col("status")))
     path = row_path()
+    clean = clean.withColumn("_slug", cd.prompt_slug(path)).withColumn("_prompt", cd.prompt_of_slug("_slug"))
     messages = F.array(
-        F.struct(F.lit("user").alias("role"), cd.synthesize_prompt(path).alias("content")),
+        F.struct(F.lit("user").alias("role"), F.col("_prompt").alias("content")),
         F.struct(F.lit("assistant").alias("role"), cd.wrap_tool_call("_clean").alias("content")))
     meta = F.struct(F.col("hexsha"), path.alias("path"), F.col("size"), row_licenses().alias("licenses"))
     good = F.col("status") == "ok"
@@ -198,6 +199,9 @@ def record_slices(records: DataFrame) -> DataFrame:
 
 
 def slice_summary(records: DataFrame) -> DataFrame:
+    """(dimension, value, count, mean size, share) of four classifications. The records are staged: the rules on
+    their answers would otherwise be pushed into the gates that make them."""
+    records = stage_table(records)
     dims = ("iac_type", "license", "size_bucket", "prompt_type")
     pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value")) for d in dims])
     grouped = record_slices(records).select("manifest_chars", F.inline(pairs)).groupBy("dimension", "value").agg(

@@ -73,7 +73,8 @@ def qa_training_table(pairs: DataFrame, *, mitigate: bool = True, test_ratio: fl
             "position", F.concat_ws(":", "dimension", "value", F.col("position").cast("string")))
         # the report is a table of its own, a few rows per slice
         advice = stage_table(advice)
-        rows = oversample_slices(base, advice, ["question_id"], small=rules.SLICE_MIN_ROWS, seed=seed)
+        # read again by the weights and by the split
+        rows = stage_table(oversample_slices(base, advice, ["question_id"], small=rules.SLICE_MIN_ROWS, seed=seed))
     weighted = minmax_weight(rows, "quality_score")
     row = F.concat_ws("|", F.coalesce("drawn_for", F.lit("")), F.col("question_id").cast("string"),
                       F.col("copy").cast("string"))
