@@ -277,7 +277,10 @@ def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     segments = _segments(texts, minimizers, length)
     often = stage_table(minimizers.where(F.col("times") > gathered).select("m"))
     spans = _matched(segments.join(often, "m", "left_anti"), length)
-    return spans if often.isEmpty() else spans.unionByName(_counted(segments.join(often, "m", "left_semi"), length))
+    if often.isEmpty():
+        return spans
+    # counted and then looked up, so they are cut from the texts once
+    return spans.unionByName(_counted(stage_table(segments.join(often, "m", "left_semi")), length))
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gathered: int = GATHERED) -> DataFrame:
