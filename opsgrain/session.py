@@ -37,10 +37,20 @@ def scratch_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = _local_folder()
-    return f"{named.rstrip('/')}/opsgrain/{uuid.uuid4().hex}"
+    mine = f"{named.rstrip('/')}/opsgrain-{spark.sparkContext.applicationId}"
+    target, files = _hadoop_path(spark, mine)
+    if not files.exists(target):
+        files.mkdirs(target)
+        files.deleteOnExit(target)  # with all that was put there, when the application ends
+    return f"{mine}/{uuid.uuid4().hex}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 @functools.cache
@@ -56,8 +66,6 @@ def stage_table(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark)
     df.write.parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     staged = spark.read.schema(df.schema).parquet(path)
     staged._staged_at = path
     return staged
@@ -66,9 +74,8 @@ def stage_table(df: DataFrame) -> DataFrame:
 def drop_table(*staged: DataFrame) -> None:
     """Delete tables of ``stage_table`` whose consumers have run."""
     for df in staged:
-        spark = df.sparkSession
-        target = spark._jvm.org.apache.hadoop.fs.Path(df._staged_at)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        target, files = _hadoop_path(df.sparkSession, df._staged_at)
+        files.delete(target, True)
 
 
 def attach_row(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:

@@ -286,6 +286,26 @@ def test_jsonl_and_arrays(spark):
     assert sorted(r.a for r in readers.read_json_array(spark, folder, "a int").collect()) == [1, 2]
 
 
+def test_staging(spark, monkeypatch):
+    from opsgrain import session
+
+    table = session.stage_table(spark.range(5))
+    assert table.count() == 5
+    session.drop_table(table)
+    with pytest.raises(Exception):
+        table.count()
+
+    class Cluster:  # what a session on a cluster without a shared folder says
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Cluster)
+
+
 def test_inputs(spark, tmp_path):
     (tmp_path / "x").write_text("1")
     readers.require_inputs(spark, [str(tmp_path / "x")])
