@@ -32,7 +32,7 @@ _SHAPES = re.compile(
     r"|(?P<iso>(?<![\w-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-]))"
     r"|(?P<dmy>(?<![\w/.])[0-9]{1,2}(?P<cut>[/.])[0-9]{1,2}(?P=cut)[0-9]{4}(?![0-9]))"
     r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
-    r"|(?P<card>(?<![\w+-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]))"
+    r"|(?P<card>(?<![\w+-])(?:[0-9]{13,19}|[0-9]{4}(?P<sep>[ -])[0-9]{4}(?P=sep)[0-9]{4}(?P=sep)[0-9]{1,4}(?:(?P=sep)[0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9]))"
     r"|(?P<phone>(?<![\w+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[.-])[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
     r"|(?<![\w+])\+[0-9](?:[ .-]?[0-9]){8,13}(?![0-9]))")
 _DIGIT = re.compile(r"[0-9]")
@@ -79,7 +79,7 @@ def _spread(shape: str, digits: str) -> str:
 
 def _card(key: bytes, text: str) -> str | None:
     d = "".join(_DIGIT.findall(text))
-    if luhn_digit(d[:-1]) != int(d[-1]) or d[0] == "0":
+    if len(d) < 13 or luhn_digit(d[:-1]) != int(d[-1]) or d[0] == "0":
         return None
     size = 10 ** (len(d) - 1)
     body = permute(key, f"card{len(d)}", int(d[:-1]), size, lambda v: v >= size // 10)
@@ -209,14 +209,18 @@ def replace_values(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str
     if _DIGIT.search(text):
         while m := _SHAPES.search(text, at):
             shape = m.lastgroup if m.lastgroup != "cut" else "dmy"
-            image = _image(key, shape, m[0])
+            value = m[0]
+            image = _image(key, shape, value)
+            while image is None and shape == "card" and (cut := max(value.rfind(" "), value.rfind("-"))) > 0:
+                value = value[:cut]  # the last group may be another number
+                image = _image(key, shape, value)
             if image is None:
                 at = m.start() + 1
                 while at < m.end() and (text[at].isdigit() and text[at - 1].isdigit()):
                     at += 1  # a new value can't start inside a run of digits
                 continue
-            found.append((m.start(), m.end(), *image))
-            at = m.end()
+            at = m.start() + len(value)
+            found.append((m.start(), at, *image))
     found.sort()
     out, done, spans = [], 0, []
     for start, end, kind, image in found:

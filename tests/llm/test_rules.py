@@ -142,6 +142,13 @@ def test_values_are_replaced_in_their_format():
         assert pseudonyms.replace_values(text, b"key") == (text, [])
 
 
+def test_values_side_by_side():
+    text = "4041894974608795 70.123.182.155 +1 (988) 555-2485 4041894974608795 2024-05-06 4041 8949 7460 8795 12"
+    new, spans = pseudonyms.replace_values(text, b"key")
+    assert [k for _, _, k in spans] == ["card", "ipv4", "phone", "card", "date", "card"]
+    assert new.split()[0] == new.split()[5] != "4041894974608795" and new.endswith(" 12")
+
+
 def test_equal_values_stay_linked(spark):
     rows = [(i, f"doc {i} card 4041894974608795 of bob.1@x.org", "en", "s", 0, "x", 1, "y", 2, b"z", "w", 3, 4) for i in range(20)]
     got = pseudonyms.pseudonymise(frame(spark, rows + documents())).collect()
