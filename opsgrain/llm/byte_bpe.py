@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsgrain.llm.common import arrow_batch, batches_of, col, rows, row_key, text_or_empty
+from opsgrain.llm.common import arrow_batch, batches_of, col, row_key, rows, small_batches, text_or_empty
 
 CHUNK = 1 << 15  # characters a chunk stands for
 OVERLAP = 1 << 10  # characters it reads beyond that
 LOOK = 4  # the pattern's decisions need less than this many characters to the right
-CACHE = 300_000  # pieces a worker remembers; a speed-up only
+CACHE = 200_000  # pieces a worker remembers; a speed-up only
 
 
 # Characters on which the standard library's classes mean what \p{L}, \p{N} and \s mean: Latin letters without
@@ -158,7 +158,7 @@ def encode(docs: DataFrame, path: str, pattern: str, *, doc_id: str = "doc_id",
     name = _ship(docs.sparkSession, path)
     schema = pa.schema(list(_CODED)[:3 if decoded else 2])
     ddl = "doc_id long, ids binary" + ", data binary" * decoded
-    source = docs.select(col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
+    source = small_batches(docs).select(col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
 
     def record(words: Vocabulary, i: int | None, ids: bytes) -> tuple:
         return (i, ids, words.decode(ids)) if decoded else (i, ids)

@@ -13,6 +13,19 @@ SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Arrow batches of rows with texts, in bytes: two workers with long texts have to fit beside a small heap
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_DEFAULT, BATCH_SMALL = "67108864b", "8m"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same frame; Spark's default size of the batches for Python is lowered in its session, a size that was set stays."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_BYTES) == BATCH_DEFAULT:
+        conf.set(BATCH_BYTES, BATCH_SMALL)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsgrain.llm.common import batches_of, col, rows, text_or_empty
+from opsgrain.llm.common import batches_of, col, rows, small_batches, text_or_empty
 from opsgrain.session import stage_table
 
 END = b"\n"  # the end of a text; white space can't be a word
@@ -302,7 +302,7 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", states
     A null text is empty: one end, nothing else. Null ids train; repeated rows are scored, and learnt from, each.
     An empty input gives no rows; without training texts every count is zero and the model is its seeded start.
     """
-    texts = docs.select(col(doc_id).cast("long").alias("doc_id"), held_out(doc_id).alias("held_out"), text_or_empty(text).cast("binary").alias("t"))
+    texts = small_batches(docs).select(col(doc_id).cast("long").alias("doc_id"), held_out(doc_id).alias("held_out"), text_or_empty(text).cast("binary").alias("t"))
     counts = stage_table(word_counts(texts.where("not held_out").select("t")))
     held = tables(counts)
     staged = stage_table(classified(texts, held).withColumn("uid", F.monotonically_increasing_id()))  # numbered once, then read back

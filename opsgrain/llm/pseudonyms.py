@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opsgrain.llm.common import col, text_or_empty
+from opsgrain.llm.common import col, small_batches
 
 ROUNDS = 10
 DEMO_KEY = b"demonstration key, replace in production"
@@ -253,5 +253,5 @@ def pseudonymise(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         arrays = [pa.array(news, pa.string()), pa.array(totals, pa.int64()), *[pa.array(kinds[k], pa.int64()) for k in KINDS], pa.array(spans, pa.string())]
         return pa.StructArray.from_arrays(arrays, names=["text", "n_values", *[f"n_{k}" for k in KINDS], "spans"])
 
-    found = docs.select(col(doc_id).alias("doc_id"), replaced(col(text)).alias("found"))
+    found = small_batches(docs).select(col(doc_id).alias("doc_id"), replaced(col(text)).alias("found"))
     return found.select("doc_id", "found.n_values", *[f"found.n_{k}" for k in KINDS], "found.spans", "found.text")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsgrain.llm.common import col, fresh, text_or_empty
+from opsgrain.llm.common import col, fresh, small_batches, text_or_empty
 from opsgrain.session import stage_table
 
 # fixed values
@@ -165,7 +165,7 @@ def assess(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text:
     A stratum with too few labelled documents for the bound gets no cutoff, so it loses only base failures.
     Texts are read once: the measures are staged, a few numbers per document.
     """
-    narrow = stage_table(docs.select(col(doc_id).alias("doc_id"), col(stratum).alias("stratum"), measures(text).alias("m")))
+    narrow = stage_table(small_batches(docs).select(col(doc_id).alias("doc_id"), col(stratum).alias("stratum"), measures(text).alias("m")))
     cuts = stage_table(cutoffs(narrow, labels, "stratum", m="m", risk=risk, delta=delta))
     out = judged(narrow, cuts, "stratum", m="m", verdict="kept")
     return out.select("doc_id", *[F.col(f"m.{c}").alias(c) for c in MEASURES], base_failed("m").alias("base_failed"), "kept")
@@ -177,7 +177,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", tex
     labelled documents, then each document is measured where it is read, so no text is shuffled."""
     m, verdict = fresh(docs.columns, "_measures"), fresh(docs.columns, "_kept")
     marked = labels.select(col("doc_id").alias("_id")).distinct()
-    narrow = docs.select(col(doc_id).alias("doc_id"), col(stratum).alias("stratum"), measures(text).alias("m"))
+    narrow = small_batches(docs).select(col(doc_id).alias("doc_id"), col(stratum).alias("stratum"), measures(text).alias("m"))
     narrow = stage_table(narrow.join(marked, F.col("doc_id") == F.col("_id"), "left_semi"))
     cuts = stage_table(cutoffs(narrow, labels, "stratum", m="m", risk=risk, delta=delta))
     measured = docs.withColumn(m, measures(text))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsgrain.llm.common import col, text_or_empty
+from opsgrain.llm.common import col, small_batches, text_or_empty
 
 # fixed values: the base patterns and the shortest match that counts
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -151,5 +151,5 @@ def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Data
 
     A null text is empty; null ids and repeated rows pass through; one narrow pass without a shuffle.
     """
-    found = docs.select(col(doc_id).alias("doc_id"), _scan(text_or_empty(text)).alias("found"))
+    found = small_batches(docs).select(col(doc_id).alias("doc_id"), _scan(text_or_empty(text)).alias("found"))
     return found.select("doc_id", "found.*")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsgrain.llm import components
-from opsgrain.llm.common import batches_of, col, fresh, row_key, rows, text_or_empty
+from opsgrain.llm.common import batches_of, col, fresh, row_key, rows, small_batches, text_or_empty
 from opsgrain.session import stage_table
 
 WIDTH = 4  # words of a shingle
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches_of(((i, k, fingerprint(t)) for i, k, t in rows(batches)), schema)
 
-    source = docs.select(col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("key"), text_or_empty(text).cast("binary").alias("t"))
+    source = small_batches(docs).select(col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("key"), text_or_empty(text).cast("binary").alias("t"))
     return source.mapInArrow(hashed, "doc_id long, key binary, fp long")
 
 

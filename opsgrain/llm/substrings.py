@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opsgrain.llm.common import batches_of, col, row_key, rows, text_or_empty
+from opsgrain.llm.common import batches_of, col, row_key, rows, small_batches, text_or_empty
 from opsgrain.session import stage_table
 
 LENGTH = 35  # words of a window
@@ -272,7 +272,7 @@ def _counted(segments: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, gathered: int = GATHERED) -> DataFrame:
     """(key, first, stop): word ranges of the rows, told apart by id and text, that repeated windows cover."""
-    texts = docs.select(row_key(doc_id, text).alias("key"), text_or_empty(text).cast("binary").alias("t"))
+    texts = small_batches(docs).select(row_key(doc_id, text).alias("key"), text_or_empty(text).cast("binary").alias("t"))
     minimizers = stage_table(_minimizers(texts.select("t"), length))
     segments = _segments(texts, minimizers, length)
     often = stage_table(minimizers.where(F.col("times") > gathered).select("m"))
