@@ -99,8 +99,9 @@ def tables(counts: DataFrame) -> Tables:
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     short = counts.where(F.octet_length("word") <= LONGEST)
     frequent = [(bytes(w), c) for w, c in short.where(F.col("c") >= _frequent(short, KNOWN)).collect()]  # at most KNOWN words
-    if not any(w == END for w, _ in frequent):
-        frequent.append((END, 0))
+    if not any(w == END for w, _ in frequent):  # the end has a class of its own, however few texts there are
+        ends = counts.where(F.col("word") == F.lit(END)).collect()
+        frequent.append((END, ends[0].c if ends else 0))
     frequent.sort(key=lambda wc: (wc[0] != END, -wc[1], wc[0]))
     own = min(OWN, len(frequent))
     # sizes of the shared classes: all words, less those that are alone

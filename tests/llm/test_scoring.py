@@ -53,6 +53,16 @@ def test_bounded_dictionary_changes_nothing(spark, monkeypatch):
     assert all(math.isclose(r.base_score, before[tuple(r[:5])], rel_tol=1e-9) for r in after)
 
 
+def test_rare_end(spark, monkeypatch):
+    """With fewer texts than the frequent words have occurrences the end's count is right, too."""
+    monkeypatch.setattr(hidden_markov, "KNOWN", 3)
+    text = "a a a a a b b b b c c c d"
+    some = [(i, text, None, None, 0, "x", 1, "y", 2, b"z", "w", 3, 4) for i in range(3) if not is_held(i)]
+    n, counts = len(some), {"a": 5, "b": 4, "c": 3, "d": 1}
+    want = sum(c * math.log10((c * n + 1) / (14 * n + 6)) for c in counts.values()) + math.log10((n + 1) / (14 * n + 6))
+    assert all(math.isclose(r.base_score, want) and r.n_known == 14 for r in hidden_markov.score(frame(spark, some), rounds=1).collect())
+
+
 def test_forward_is_exact():
     rng = np.random.default_rng(1)
     start, move, emit = rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(6), 3).T
