@@ -127,7 +127,8 @@ def joined(spans: list[tuple[int, int, str]]) -> str:
 
 def scan_text(text: str) -> tuple[int, int, int, str, str]:
     base = base_spans(text)
-    more = [(a, b, "literal") for a, b in dict.fromkeys(literal_spans(text)) if all(b <= s or a >= e for s, e, _ in base)]
+    # a base pattern may end inside a literal; only one that covers the literal whole makes it superfluous
+    more = [(a, b, "literal") for a, b in dict.fromkeys(literal_spans(text)) if not any(s <= a and b <= e for s, e, _ in base)]
     every = sorted(base + more, key=lambda s: (s[0], KINDS.index(s[2]), s[1])) if more else base
     count = Counter(kind for _, _, kind in base)
     plain = joined(base)

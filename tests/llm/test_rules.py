@@ -206,3 +206,16 @@ def test_scan(spark):
     assert secret_scan.scan(frame(spark, [])).collect() == []
 
 
+
+
+def test_every_character_of_a_secret_is_in_a_span(spark):
+    values = ["Tr0ub4dor&3xYz!9Qw", "aX9$kk22LLpq", "b7db7aa4a5fcc78305"]
+    texts = [f'password = "{v}"' for v in values] + [f"secret: {v}" for v in values]
+    rows = [(i, t, "en", "s", 0, "x", 1, "y", 2, b"z", "w", 3, 4) for i, t in enumerate(texts)]
+    for r in secret_scan.scan(frame(spark, rows)).collect():
+        text, value = texts[r.doc_id], values[r.doc_id % 3]
+        spans = [(int(a), int(b), k) for k, a, b in (s.split(":") for s in r.spans.split(","))]
+        at = text.index(value)
+        assert set(range(at, at + len(value))) <= {i for a, b, _ in spans for i in range(a, b)}, text
+        assert set(slow_base(text)) <= set(spans)
+        assert (r.doc_id % 3 == 2) == all(k != "literal" for _, _, k in spans)  # one base span covers it whole
