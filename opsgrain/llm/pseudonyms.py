@@ -211,8 +211,8 @@ def replace_values(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str
             shape = m.lastgroup if m.lastgroup != "cut" else "dmy"
             value = m[0]
             image = _image(key, shape, value)
-            while image is None and shape == "card" and (cut := max(value.rfind(" "), value.rfind("-"))) > 0:
-                value = value[:cut]  # the last group may be another number
+            while image is None and shape in ("card", "iban") and (cut := max(value.rfind(" "), value.rfind("-"))) > 0:
+                value = value[:cut]  # the last group may be another number, or a word in capitals
                 image = _image(key, shape, value)
             if image is None:
                 at = m.start() + 1

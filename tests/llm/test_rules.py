@@ -219,3 +219,13 @@ def test_every_character_of_a_secret_is_in_a_span(spark):
         assert set(range(at, at + len(value))) <= {i for a, b, _ in spans for i in range(a, b)}, text
         assert set(slow_base(text)) <= set(spans)
         assert (r.doc_id % 3 == 2) == all(k != "literal" for _, _, k in spans)  # one base span covers it whole
+
+
+def test_iban_before_a_word_in_capitals():
+    for plain in ("AT611904300234573201", "BE68539007547034", "DE89370400440532013000"):
+        spaced = " ".join(plain[i:i + 4] for i in range(0, len(plain), 4))
+        for iban in (plain, spaced):
+            alone, _ = pseudonyms.replace_values(iban, b"key")
+            for word in ("BIC", "EUR", "IBAN", "AMOUNT", "BIC EUR"):
+                new, spans = pseudonyms.replace_values(f"to {iban} {word} x", b"key")
+                assert (new, spans) == (f"to {alone} {word} x", [(3, 3 + len(iban), "iban")]) and alone != iban, (iban, word)
