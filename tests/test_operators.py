@@ -186,6 +186,20 @@ def test_dedup_and_topk(spark):
     assert ordering.top_values_only(df, "k", 1).count() == 100
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_dedup_of_ties_and_null_order(spark, parts):
+    rows = [(1, "a", "x")] * 3 + [(2, "a", "w"), (5, "b", "x"), (5, "b", "y"), (None, "c", "x"), (None, "c", "x"), (None, "c", None), (4, "d", "x"),
+            (None, "d", "x"), (3, None, "x"), (3, None, "x"), (None, None, "y")]
+    df = spark.createDataFrame(rows, "id int, k string, v string").repartition(parts)
+    out = ordering.dedup_by_hash(df, "k", "id")
+    got = {r.k: (r.id, r.v) for r in out.collect()}
+    assert out.columns == df.columns and out.count() == 5
+    assert {k: i for k, (i, _) in got.items()} == {"a": 1, "b": 5, "c": None, "d": 4, None: 3}
+    assert all((i, k, v) in rows for k, (i, v) in got.items())
+    assert got == {r.k: (r.id, r.v) for r in ordering.dedup_by_hash(df.repartition(3), "k", "id").collect()}
+    assert sorted(r.id for r in ordering.dedup_by_hash(df, "k", "id", 4).collect()) == [1, 3, 4, 5]  # null is last
+
+
 def test_minmax_weight(spark):
     df = spark.createDataFrame([(1.0,), (3.0,), (2.0,)], "v double")
     assert sorted(r.sample_weight for r in ordering.minmax_weight(df, "v").collect()) == [0.5, 1.0, 1.5]
