@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsgrain.llm import byte_bpe, decontaminate, line_dedup, quality, simhash
-from opsgrain.llm.common import col, table
+from opsgrain.llm.common import table
 from opsgrain.session import stage_table
 
 
@@ -21,9 +21,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that many sources share go; n_chars follows the text."""
-    stripped = line_dedup.strip_lines(docs).select(*[col(c) for c in docs.columns])
-    return stripped.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    """Lines that many sources share go, except from copies of whole documents; n_chars follows the text."""
+    return line_dedup.strip_pages(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

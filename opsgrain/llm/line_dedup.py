@@ -2,8 +2,9 @@
 
 A line's spread is the number of distinct sites that hold it. Partial sketches are merged per line hash; the
 sketch's error is known, so only lines whose estimate lies near the threshold are counted exactly. Lines that
-are widespread are boilerplate and are removed, except from documents that consist mostly of widespread lines:
-those are copies of a whole document, which is the near-duplicate stage's matter.
+are widespread are boilerplate and are removed. A copy of a whole document is the near-duplicate stage's matter:
+``strip_lines`` takes documents that consist mostly of widespread lines for copies, ``strip_pages`` asks of them
+that they have near copies on other sites.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opsgrain.llm import simhash
 from opsgrain.llm.common import SPACES, col, fresh, row_key, text_or_empty
 from opsgrain.session import stage_table
 
@@ -20,6 +22,7 @@ MIN_SITES = 10
 SKETCH_BITS = 12  # 2 ** 12 registers: a relative standard error of 1.04 / 64
 SIGMAS = 4.0  # the band in which lines are counted exactly, in standard errors
 MAX_SHARE = 0.5  # of a document's characters on widespread lines, beyond which it is a copy
+NAMES = ("key", "bad", "flags", "lines", "kept")  # columns beside those of the documents
 
 
 def line_key(line: Column | str) -> Column:
@@ -51,19 +54,13 @@ def widespread(docs: DataFrame, *, text: str = "text", site: str = "source", min
     return likely.where(F.col("sites") >= high).unionByName(exact)
 
 
-def strip_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES,
-                max_share: float = MAX_SHARE) -> DataFrame:
-    """All columns of ``docs`` with the shortened text, plus ``n_lines``, ``n_widespread`` and ``n_removed``.
-
-    Lines end at a line feed; blank lines stay, are never widespread and do not count in ``n_lines``. A null text
-    stays null. Null ids and sites, repeated rows and empty inputs are fine. Two joins move data: widespread
-    lines to the rows that hold them (keys only), and the rows' sets of such lines back to the texts.
-    """
-    names = {n: fresh(docs.columns, f"_{n}") for n in ("key", "bad", "flags", "lines")}
+def _marked(docs: DataFrame, names: dict[str, str], doc_id: str, text: str, site: str, min_sites: int, max_share: float) -> DataFrame:
+    """``docs`` with ``n_lines``, ``n_widespread``, the set of widespread lines (null without any), whether they are few
+    enough to go at once, and the text without them."""
     found = stage_table(widespread(docs, text=text, site=site, min_sites=min_sites).select("line"))
     held = _lines(docs, text, row_key(doc_id, text).alias("key")).join(found, "line")
     sets = held.groupBy("key").agg(F.collect_set("line").alias("set"))  # at most the lines of one text
-    key, bad, flags, lines = (F.col(names[n]) for n in ("key", "bad", "flags", "lines"))
+    bad, lines = F.col(names["bad"]), F.col(names["lines"])
     joined = docs.withColumn(names["key"], row_key(doc_id, text)).join(
         sets.select(F.col("key").alias(names["key"]), F.col("set").alias(names["bad"])), names["key"], "left")
     split = joined.withColumn(names["lines"], F.split(text_or_empty(text), "\n"))
@@ -75,5 +72,51 @@ def strip_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         "n_lines": F.size(F.filter(lines, lambda l: line_key(l).isNotNull())).cast("long"), "n_widespread": n_widespread.cast("long"),
         names["flags"]: F.when(bad.isNull(), False).otherwise(gone_length <= max_share * length)})
     kept = F.array_join(F.filter(lines, lambda l: ~F.coalesce(F.array_contains(bad, line_key(l)), F.lit(False))), "\n")
-    out = counted.withColumn("n_removed", F.when(flags, F.col("n_widespread")).otherwise(0)).withColumn(text, F.when(flags, kept).otherwise(col(text)))
+    return counted.withColumn(names["kept"], kept)
+
+
+def strip_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES,
+                max_share: float = MAX_SHARE) -> DataFrame:
+    """All columns of ``docs`` with the shortened text, plus ``n_lines``, ``n_widespread`` and ``n_removed``.
+
+    Lines end at a line feed; blank lines stay, are never widespread and do not count in ``n_lines``. A null text
+    stays null. Null ids and sites, repeated rows and empty inputs are fine. Two joins move data: widespread
+    lines to the rows that hold them (keys only), and the rows' sets of such lines back to the texts.
+    """
+    names = {n: fresh(docs.columns, f"_{n}") for n in NAMES}
+    flags = F.col(names["flags"])
+    counted = _marked(docs, names, doc_id, text, site, min_sites, max_share)
+    out = counted.withColumn("n_removed", F.when(flags, F.col("n_widespread")).otherwise(0)).withColumn(
+        text, F.when(flags, F.col(names["kept"])).otherwise(col(text)))
     return out.select(*[col(c) for c in docs.columns], "n_lines", "n_widespread", "n_removed")
+
+
+def strip_pages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+    """``docs`` without widespread lines, also where they are most or all of a document.
+
+    Left whole is only what is a copy by evidence: a document mostly of widespread lines that the near-duplicate
+    search links to one on another site. That stage keeps one of each such group, boilerplate alone earns nothing.
+    Beyond ``strip_lines`` the texts are written once; only documents mostly of widespread lines are searched.
+    """
+    names = {n: fresh(docs.columns, f"_{n}") for n in (*NAMES, "copy")}
+    flags, kept, copy = (F.col(names[n]) for n in ("flags", "kept", "copy"))
+    marked = _marked(docs, names, doc_id, text, site, min_sites, MAX_SHARE)
+    mostly = F.col(names["bad"]).isNotNull() & ~flags  # kept stays beside the text of these alone
+    marked = stage_table(marked.select(
+        *[F.when(flags, kept).otherwise(col(c)).alias(c) if c == text else col(c) for c in docs.columns], F.when(mostly, kept).alias(names["kept"])))
+    pages = marked.where(kept.isNotNull())
+    copies = _copies(pages, doc_id, text, site).select(F.col("key").alias(names["key"]), F.lit(True).alias(names["copy"]))
+    judged = pages.withColumn(names["key"], row_key(doc_id, text)).join(copies, names["key"], "left")
+    bare = judged.withColumn(text, F.when(copy, col(text)).otherwise(kept))
+    columns = [col(c) for c in docs.columns]
+    return marked.where(kept.isNull()).select(*columns).unionByName(bare.select(*columns))
+
+
+def _copies(docs: DataFrame, doc_id: str, text: str, site: str) -> DataFrame:
+    """Row keys of the documents whose group of near copies spans several sites; null sites are none."""
+    groups = simhash.near_duplicates(docs.select(*{c: col(c) for c in (doc_id, text)}.values()), doc_id=doc_id, text=text)
+    # a component without any id has no name; there equal fingerprints are the group
+    named = stage_table(groups.select("key", F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp"))).alias("g")).distinct())
+    sites = docs.select(row_key(doc_id, text).alias("key"), col(site).cast("string").alias("site")).distinct()
+    spread = named.join(sites, "key").groupBy("g").agg(F.min("site").alias("low"), F.max("site").alias("high")).where("low <> high")
+    return named.join(spread, "g", "left_semi").select("key")

@@ -47,6 +47,21 @@ def test_line_band_is_counted_exactly(spark):
     assert found == {hashlib.md5(b"line a").digest(): 400}
 
 
+def test_pages_of_boilerplate(spark):
+    """Widespread lines go however much of a document they are; only copies on several sites stay whole."""
+    more = (0, "x", 1, "y", 2, b"z", "w", 3, 4)
+    nav, foot = " ".join(f"nav{i}" for i in range(30)), " ".join(f"foot{i}" for i in range(30))
+    story = "\n".join(" ".join(f"story{i}x{j}" for j in range(20)) for i in range(5))
+    rows = [(i, f"{nav}\n" + " ".join(f"own{i}w{j}" for j in range(25)) + f"\n{foot}", "en", f"s{i}", *more) for i in range(12)]
+    rows += [(100 + i, story, "en", f"s{i}", *more) for i in range(12)] + [(100, story, "en", "s0", *more)]
+    rows += [(200, f"{foot}\n\n{nav}", "en", "s1", *more), (201, f"{foot}\n\n{nav}", "en", "s1", *more), (202, None, None, None, *more)]
+    want = [(d[0], d[1] if d[0] in (*range(100, 112), 202) else "" if d[0] in (200, 201) else d[1].split("\n")[1]) for d in rows]
+    got = line_dedup.strip_pages(frame(spark, rows))
+    assert got.columns == frame(spark, rows).columns
+    assert tidy(got.select("doc_id", "text").collect()) == tidy(want)
+    assert line_dedup.strip_pages(frame(spark, [])).collect() == []
+
+
 def test_lines_empty(spark):
     assert line_dedup.strip_lines(frame(spark, [])).collect() == []
 
