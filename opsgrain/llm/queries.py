@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from opsgrain.llm import byte_bpe, decontaminate, hidden_markov, line_dedup, pseudonyms, quality, secret_scan, sharding, simhash, sql, substrings
+from opsgrain.llm import (byte_bpe, decontaminate, filter_audit, hard_negatives, hidden_markov, line_dedup, lsh_forest, pseudonyms, quality, secret_scan,
+                          sharding, simhash, sql, substrings)
 from opsgrain.llm.common import table, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,6 +84,23 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@query("op11_hard_negatives", sql.NEGATIVES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    noisy = F.when(F.col("vec_id") % hard_negatives.NOISY == 0, (F.col("label") + 1) % hard_negatives.LABELS).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", noisy), F.col("vec_id") % hard_negatives.EVERY == 0)
+
+
+@query("op12_filter_audit", sql.AUDIT)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_lsh_forest")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opsgrain.llm import decontaminate, line_dedup, quality, substrings
+from opsgrain.llm import decontaminate, filter_audit, hard_negatives, line_dedup, quality, substrings
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
@@ -94,3 +94,42 @@ ds as (select distinct doc_id, text, w[i : i + width - 1] as s
 c as (select ds.doc_id, ds.text as dt, its.item_id, its.text as it, count(*) as n_shared from ds join its on ds.s = its.s group by all)
 select distinct doc_id, c.item_id, n.n as n_shingles, n_shared, n_shared / n.n as containment
 from c join n on n.item_id is not distinct from c.item_id and n.text = c.it where n_shared * 100 >= n.n * {decontaminate.PERCENT}"""
+
+
+NEGATIVES = f"""with v as (select vec_id, case when vec_id % {hard_negatives.NOISY} = 0 then (label + 1) % {hard_negatives.LABELS} else label end as label,
+  list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::double)) as e from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, v.vec_id, a.label = v.label as same, list_inner_product(a.e, v.e)::bigint as score
+      from v as a, v where a.vec_id % {hard_negatives.EVERY} = 0 and a.vec_id <> v.vec_id),
+p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+      qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= {hard_negatives.POSITIVES}),
+n as (select p.*, s.vec_id as negative_id, s.score as negative_score, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as rank
+      from p join s using (anchor_id) where not same and {hard_negatives.LOW} * positive_score <= 100 * s.score and 100 * s.score <= {hard_negatives.HIGH} * positive_score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score from n where rank <= {hard_negatives.NEGATIVES}"""
+
+_BITS = ", ".join(f"('{name}', {1 << i})" for i, name in enumerate(filter_audit.FILTERS))
+
+AUDIT = rf"""with t as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+                   min(doc_id) over (partition by coalesce(text, '')) as first_id from documents),
+w as (select *, regexp_extract_all(text, {_WORD}) as words from t),
+marks as (select doc_id, max((quality is not null and quality = 1)::int) as good, max((toxic is not null and toxic = 1)::int) as toxic
+          from labels where doc_id is not null group by doc_id),
+f as (select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+             (len(words) < {filter_audit.MIN_WORDS})::int + 2 * (100 * len(list_distinct(words)) < {filter_audit.MIN_DISTINCT_PERCENT} * len(words))::int
+             + 4 * (100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > {filter_audit.MAX_UPPER_PERCENT} * length(text))::int
+             + 8 * regexp_matches(text, '[#$%&*|]')::int + 16 * (doc_id is not null and first_id < doc_id)::int as fails
+      from w left join marks using (doc_id)),
+g as (select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by all),
+b(name, bit) as (values {_BITS}),
+o as (select a.name || b2.name || c.name || d.name || e.name as filter_order from b a, b b2, b c, b d, b e
+      where a.bit + b2.bit + c.bit + d.bit + e.bit = 31 and a.bit | b2.bit | c.bit | d.bit | e.bit = 31),
+st as (select filter_order, step::int as step, bit, (select coalesce(sum(x.bit), 0) from b x where contains(substr(filter_order, 1, step - 1), x.name)) as before
+       from o, range(1, 6) as r(step), b where b.name = substr(filter_order, step, 1)),
+r as (select part, filter_order, step, bit,
+             sum(n) filter (fails & (before | bit)::int = 0) as kept, sum(n) filter (fails & before::int = 0 and fails & bit <> 0) as removed,
+             sum(n) filter (fails & before::int <> 0 and fails & bit <> 0) as redundant, sum(n) filter (fails = bit) as unique_fails,
+             sum(good) filter (fails & before::int = 0 and fails & bit <> 0) as good_lost, sum(toxic) filter (fails & before::int = 0 and fails & bit <> 0) as toxic_lost
+      from g, st group by all)
+select part, filter_order, step, substr(filter_order, step, 1) as filter, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed,
+       coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost,
+       coalesce(toxic_lost, 0)::bigint as toxic_lost, (sum(coalesce(removed, 0)) over (partition by part, bit))::bigint as shapley from r"""

@@ -17,7 +17,7 @@ def con():
 
 
 def test_one_query_per_operator():
-    assert [n.split("_")[0] for n in queries.QUERIES if n.startswith("op")] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES if n.startswith("op")] == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in queries.QUERIES and None not in queries.ORACLES.values()
 
 
