@@ -403,6 +403,24 @@ def _(spark, sf):
     return spark.read.parquet(path).agg(F.count("*").alias("written"))
 
 
+@query("K6_write_validated", """select 'row_count' as what, 'passed' as status, count(*)::double as value from messages
+union all select 'repeated', 'passed', (count(*) - count(distinct conv_id))::double from messages
+union all select 'no_messages', 'passed', count(*) filter (where messages is null)::double from messages
+union all select 'written', 'promoted', count(*)::double from messages
+union all select 'refused', 'failed', count(*)::double from messages""")
+def _(spark, sf):
+    path = scratch_dir(spark)
+    m = view(spark, sf, "messages")
+    suite = [*quality.expect_row_count(lo=1), quality.expect_unique("conv_id"), *quality.expect_not_null(["messages"])]
+    ok, rows = sinks.write_validated(m, suite, path)
+    refused, why = sinks.write_validated(m, quality.expect_row_count(hi=0), path, mode="overwrite")
+    names = F.create_map(*[F.lit(x) for x in ("min_row_count", "row_count", "unique", "repeated", "not_null", "no_messages")])
+    out = rows.select(names[F.col("check")].alias("what"), "status", "value")
+    kept = spark.read.schema(m.schema).parquet(path).agg(F.count("*").cast("double").alias("value"))
+    out = out.unionByName(kept.select(F.lit("written").alias("what"), F.lit("promoted" if ok else "refused").alias("status"), "value"))
+    return out.unionByName(why.select(F.lit("refused").alias("what"), F.when(F.lit(refused), "promoted").otherwise(F.col("status")).alias("status"), "value"))
+
+
 @query("K7_append_alerts", "select event_id, user_id, event_type from events order by ts desc, event_id desc limit 1000")
 def _(spark, sf):
     e = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "user_id", "event_type", "ts")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opsgrain import rules
 from opsgrain.functions import telemetry as tok
+from opsgrain.operators.winners import first_rows
 from opsgrain.session import attach_row, stage_table
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
@@ -130,17 +131,10 @@ def minmax_weight(df: DataFrame, col: str, name: str = "sample_weight") -> DataF
 def dedup_by_hash(df: DataFrame, key: str, order: str, limit: int | None = None) -> DataFrame:
     """First row per key by ``order``; with a limit the first ``limit`` keys in that order.
 
-    The minimum of ``order`` is a hash aggregation of two narrow columns that combines map-side; the rows are then
-    fetched by key and order, so a key with very many copies is spread. Of rows that tie on both, the one with the
-    smallest hash of all columns stays. Null is a key like any other, and the last in order.
+    Winners are chosen on key, order and place, then fetched by place. Of rows that tie on both, the one with the
+    smallest hash of its content stays. Null is a key like any other, and the last in order.
     """
-    first = df.groupBy(F.col(key).alias("_first_key")).agg(F.min(order).alias("_first_order"))
-    if limit is not None:
-        first = first.orderBy(F.asc_nulls_last("_first_order")).limit(limit)
-    tied = df.join(first, F.col(key).eqNullSafe(F.col("_first_key")) & F.col(order).eqNullSafe(F.col("_first_order")), "left_semi")
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    one = F.min_by(row, F.md5(F.to_json(row, {"ignoreNullFields": "false"})))
-    return tied.groupBy(F.col(key).alias("_first_key")).agg(one.alias("_row")).select("_row.*")
+    return first_rows(df, [key], order, limit)
 
 
 def take_sample(df: DataFrame, order: str, n: int) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from opsgrain import rules
 from opsgrain.functions import text as tx
 from opsgrain.functions.core import as_col, py_round, strip
+from opsgrain.operators.winners import first_rows
 
 
 def _count_or_zero(col: str) -> Column:
@@ -42,17 +43,15 @@ def read_questions(posts: DataFrame, min_score: int = rules.MIN_POST_SCORE, enti
 
 
 def read_answers(posts: DataFrame, order: str = "AnswerId", entities: str = "all") -> DataFrame:
-    """One answer per question: the last by ``order`` (numeric). The winner is chosen by a
-    map-side ``max_by``; only winners are cleaned."""
+    """One answer per question: the last by ``order`` (numeric). Winners are chosen without their
+    bodies, which are read and cleaned for winners only."""
     numbered = posts.select(_count_or_zero("AnswerId").alias("answer_id"),
                             _count_or_zero("QuestionId").alias("question_id"),
                             _count_or_zero("AnswerScore").alias("score"),
                             _whole(F.col(order).cast("string")).alias("_order"), "AnswerBody") \
         .where((F.col("answer_id") != 0) & (F.col("question_id") != 0) & F.col("score").isNotNull())
-    last = numbered.groupBy("question_id").agg(
-        F.max_by(F.struct("answer_id", "score", "AnswerBody"), F.struct("_order", "AnswerBody")).alias("a"))
-    return last.select("question_id", F.col("a.answer_id").alias("answer_id"),
-                       tx.clean_html("a.AnswerBody", entities).alias("body"), F.col("a.score").alias("score"))
+    last = first_rows(numbered, ["question_id"], "_order", last=True)
+    return last.select("question_id", "answer_id", tx.clean_html("AnswerBody", entities).alias("body"), "score")
 
 
 def pair_questions_answers(questions: DataFrame, answers: DataFrame) -> DataFrame:
@@ -65,9 +64,7 @@ def pair_questions_answers(questions: DataFrame, answers: DataFrame) -> DataFram
 
 def pair_by_accepted(questions: DataFrame, answers: DataFrame) -> DataFrame:
     """Inner join on the accepted answer; a question listed under several tags counts once."""
-    rest = [c for c in questions.columns if c != "question_id"]
-    once = questions.groupBy("question_id").agg(F.min_by(F.struct(*rest), F.col("accepted_answer_id")).alias("q")) \
-        .select("question_id", "q.*")
+    once = first_rows(questions, ["question_id"], "accepted_answer_id")
     a = answers.select(F.col("answer_id").alias("accepted_answer_id"), F.col("body").alias("answer_body"),
                        F.col("score").alias("answer_score"))
     return once.join(a, "accepted_answer_id").select(

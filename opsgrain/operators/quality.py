@@ -24,7 +24,8 @@ class Check:
     """An aggregate value and the rule that judges it.
 
     ``severity`` error decides validity; ``warning`` marks the row as a warning; ``soft``
-    counts as a failure in the summary without making the dataset invalid.
+    counts as a failure in the summary without making the dataset invalid. ``needs_all``
+    marks values that rows passing by cannot give, such as distinct counts.
     """
 
     name: str
@@ -33,6 +34,7 @@ class Check:
     passes: Callable[[Column], Column]
     threshold: float | None = None
     severity: str = "error"
+    needs_all: bool = False
 
 
 def _zero(v: Column) -> Column:
@@ -66,7 +68,7 @@ def expect_row_count(lo: float | None = None, hi: float | None = None) -> list[C
 def expect_unique(*cols: str) -> Check:
     """Rows beyond the first per key; null is a key of its own."""
     key = F.struct(*[F.col(c) for c in cols])
-    return Check("unique", ",".join(cols), F.count("*") - F.count_distinct(key), _zero, 0.0)
+    return Check("unique", ",".join(cols), F.count("*") - F.count_distinct(key), _zero, 0.0, needs_all=True)
 
 
 def expect_regex(col: str, pattern: str) -> Check:
@@ -95,7 +97,11 @@ def expect_score_variation(col: str) -> Check:
 
 def check_suite(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """All checks in one aggregation; null values (an empty table) do not fail a bound."""
-    values = df.agg(*[c.value.cast("double").alias(f"c{i}") for i, c in enumerate(checks)])
+    return judged(df.agg(*[c.value.cast("double").alias(f"c{i}") for i, c in enumerate(checks)]), checks)
+
+
+def judged(values: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row per check from the one row of their values (c0, c1, ...)."""
     rows = []
     for i, c in enumerate(checks):
         v = F.col(f"c{i}")

@@ -41,14 +41,15 @@ def scratch_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = _local_folder()
     mine = f"{named.rstrip('/')}/opsgrain-{spark.sparkContext.applicationId}"
-    target, files = _hadoop_path(spark, mine)
+    target, files = hadoop_path(spark, mine)
     if not files.exists(target):
         files.mkdirs(target)
         files.deleteOnExit(target)  # with all that was put there, when the application ends
     return f"{mine}/{uuid.uuid4().hex}"
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system, whatever store it is in."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -74,7 +75,7 @@ def stage_table(df: DataFrame) -> DataFrame:
 def drop_table(*staged: DataFrame) -> None:
     """Delete tables of ``stage_table`` whose consumers have run."""
     for df in staged:
-        target, files = _hadoop_path(df.sparkSession, df._staged_at)
+        target, files = hadoop_path(df.sparkSession, df._staged_at)
         files.delete(target, True)
 
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from opsgrain import rules
+from opsgrain.operators.quality import Check, judged
+from opsgrain.session import hadoop_path
 
 
 def write_sequences(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -48,6 +53,61 @@ def promote_if_valid(df: DataFrame, verdict: DataFrame, path: str, mode: str = "
     return valid
 
 
+def write_validated(df: DataFrame, checks: Sequence[Check], path: str, mode: str = "errorifexists") -> tuple[bool, DataFrame]:
+    """Validate while writing: whether the rows were promoted to ``path``, and the rows of the suite.
+
+    The rows are written once, to a folder beside ``path``, and the suite's values are observed as they pass; the input is never
+    read again. Distinct counts cannot be observed: they read their own columns of what was written. If a check of severity error fails the
+    folder is deleted and ``path`` stays as it was, else it is renamed to ``path``; with mode ``overwrite`` what was
+    there gives way only then, and comes back if the renaming fails. A failed write leaves nothing behind either.
+    """
+    if mode not in ("errorifexists", "overwrite"):
+        raise ValueError(f"mode {mode} cannot be promoted as a whole")
+    spark, tag = df.sparkSession, uuid.uuid4().hex
+    target, files = hadoop_path(spark, path)
+    if mode == "errorifexists" and files.exists(target):
+        raise FileExistsError(path)
+    parent, name = path.rstrip("/").rpartition("/")[::2]
+    beside = f"{parent}/_{name}-{tag}"  # names with an underscore are hidden from readers of the folder above
+    waiting, _ = hadoop_path(spark, beside)
+    try:
+        values = _write_observed(df, checks, beside)
+        rows = spark.createDataFrame([values], ", ".join(f"c{i} double" for i in range(len(checks))))
+        suite = judged(rows, checks)
+        valid = suite.where("status = 'failed' and severity = 'error'").isEmpty()
+        if valid:
+            _promote(spark, files, waiting, target, f"{parent}/_{name}-{tag}-old")
+        return valid, suite
+    finally:
+        files.delete(waiting, True)
+
+
+def _write_observed(df: DataFrame, checks: Sequence[Check], path: str) -> tuple[float | None, ...]:
+    seen = Observation()
+    passing = {i: c for i, c in enumerate(checks) if not c.needs_all}
+    observed = df.observe(seen, F.count("*").alias("rows"), *[c.value.cast("double").alias(f"c{i}") for i, c in passing.items()])
+    observed.write.parquet(path)
+    values = dict(seen.get)
+    later = {i: c for i, c in enumerate(checks) if c.needs_all}
+    if later:
+        written = df.sparkSession.read.schema(df.schema).parquet(path)
+        values |= written.agg(*[c.value.cast("double").alias(f"c{i}") for i, c in later.items()]).first().asDict()
+    return tuple(values[f"c{i}"] for i in range(len(checks)))
+
+
+def _promote(spark, files, waiting, target, aside: str) -> None:
+    old, _ = hadoop_path(spark, aside)
+    replaces = files.exists(target)
+    if replaces and not files.rename(target, old):
+        raise OSError(f"cannot move {target.toString()} aside")
+    if not files.rename(waiting, target):
+        if replaces:
+            files.rename(old, target)
+        raise OSError(f"cannot promote to {target.toString()}")
+    if replaces:
+        files.delete(old, True)
+
+
 def latest_alerts(history: DataFrame, new: DataFrame, ts: str = "ts", keep: int = rules.ALERT_HISTORY) -> DataFrame:
     """The last ``keep`` alerts of both; ties in time are ordered by all columns."""
     both = history.unionByName(new, allowMissingColumns=True)
