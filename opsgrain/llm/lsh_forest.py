@@ -5,7 +5,7 @@ long common prefix there are neighbours. A region of a tree is a prefix, and its
 grows only where a prefix is shared by more sets than one task should compare. Neighbours whose signatures agree often
 enough are candidates. Where a region had to be split, sets that its parts have not brought together yet are compared across
 the parts as well, in blocks, so no depth costs a link. Candidates form clusters, and within a cluster links are decided
-by exact intersections of full sets. Both times only a spanning forest of a block's links leaves a task.
+by exact intersections of full sets. Both times a block's links leave a task as stars, one per component.
 """
 
 from __future__ import annotations
@@ -85,21 +85,28 @@ def prints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
 
 
 class Forest:
-    """Union-find over a few nodes that keeps the edges that joined two trees."""
+    """Union-find over a few nodes; every tree is told by its smallest node, so that forests of many blocks share their edges."""
 
-    def __init__(self, n: int):
-        self.root, self.edges = np.arange(n), []
+    def __init__(self, node: np.ndarray):
+        self.node, self.root = node, np.arange(len(node))
 
     def join(self, a: np.ndarray, b: np.ndarray) -> None:
         for i, j in zip(a.tolist(), b.tolist()):
             p, q = self.root[i], self.root[j]
             if p != q:
-                self.edges.append((i, j))
-                self.root[self.root == max(p, q)] = min(p, q)
+                low, high = (p, q) if self.node[p] <= self.node[q] else (q, p)
+                self.root[self.root == high] = low
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        low = self.node[self.root]
+        hung = low != self.node
+        return low[hung], self.node[hung]
 
 
 def agreeing(a: np.ndarray, b: np.ndarray, least: int = AGREE) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of signatures of two blocks with at least ``least`` equal minhashes. Half of them rule out most pairs."""
+    if len(a) * len(b) <= 64:  # most regions hold a few sets
+        return np.nonzero((a[:, None] == b).sum(2) >= least)
     half = HASHES // 2
     same = np.zeros((len(a), len(b)), np.uint8)
     for k in range(half):
@@ -150,15 +157,15 @@ def _sets(column: pa.ChunkedArray) -> list[np.ndarray]:
     return [np.frombuffer(s, "<u8") for s in column.to_pylist()]
 
 
-def _links(payload: Callable, linked: Callable, tile: int, order: Callable | None = None) -> Callable[[pa.Table], pa.Table]:
-    """Spanning edges of one block, or between the two sides of one: rows are (node, side, payload)."""
+def _links(payload: Callable, linked: Callable, tile: int) -> Callable[[pa.Table], pa.Table]:
+    """Star edges of one block, or between the two sides of one: rows are (node, side, payload)."""
 
     def find(block: pa.Table) -> pa.Table:
         node = block["node"].to_numpy()
         side = block["side"].to_numpy()
         values = payload(block["payload"])
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)  # side 2 is on both
-        forest = Forest(len(node))
+        forest = Forest(node)
         inside = (side == 2).all()
         for x in range(0, len(left), tile):
             for y in range(x if inside else 0, len(right), tile):
@@ -166,9 +173,8 @@ def _links(payload: Callable, linked: Callable, tile: int, order: Callable | Non
                 i, j = linked(*([values[k] for k in s] if isinstance(values, list) else values[s] for s in (p, q)))
                 apart = node[p[i]] != node[q[j]]
                 forest.join(p[i[apart]], q[j[apart]])
-        edges = np.array(forest.edges, np.int64).reshape(-1, 2)
-        a, b = node[edges[:, 0]], node[edges[:, 1]]
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+        a, b = forest.edges()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return find
 
