@@ -23,6 +23,7 @@ SKETCH_BITS = 12  # 2 ** 12 registers: a relative standard error of 1.04 / 64
 SIGMAS = 4.0  # the band in which lines are counted exactly, in standard errors
 MAX_SHARE = 0.5  # of a document's characters on widespread lines, beyond which it is a copy
 NAMES = ("key", "bad", "flags", "lines", "kept")  # columns beside those of the documents
+COUNTS = ("n_lines", "n_widespread", "n_removed")  # columns of the result
 
 
 def line_key(line: Column | str) -> Column:
@@ -54,6 +55,10 @@ def widespread(docs: DataFrame, *, text: str = "text", site: str = "source", min
     return likely.where(F.col("sites") >= high).unionByName(exact)
 
 
+def _names(docs: DataFrame) -> dict[str, str]:
+    return {n: fresh(docs.columns, f"_{n}") for n in (*NAMES, "copy")} | {n: fresh(docs.columns, n) for n in COUNTS}
+
+
 def _marked(docs: DataFrame, names: dict[str, str], doc_id: str, text: str, site: str, min_sites: int, max_share: float) -> DataFrame:
     """``docs`` with ``n_lines``, ``n_widespread``, the set of widespread lines (null without any), whether they are few
     enough to go at once, and the text without them."""
@@ -69,7 +74,7 @@ def _marked(docs: DataFrame, names: dict[str, str], doc_id: str, text: str, site
     gone_length = F.aggregate(gone, F.lit(0), lambda n, l: n + F.char_length(F.btrim(l, F.lit(SPACES))))
     n_widespread = F.when(bad.isNull(), 0).otherwise(F.size(gone))
     counted = split.withColumns({
-        "n_lines": F.size(F.filter(lines, lambda l: line_key(l).isNotNull())).cast("long"), "n_widespread": n_widespread.cast("long"),
+        names["n_lines"]: F.size(F.filter(lines, lambda l: line_key(l).isNotNull())).cast("long"), names["n_widespread"]: n_widespread.cast("long"),
         names["flags"]: F.when(bad.isNull(), False).otherwise(gone_length <= max_share * length)})
     kept = F.array_join(F.filter(lines, lambda l: ~F.coalesce(F.array_contains(bad, line_key(l)), F.lit(False))), "\n")
     return counted.withColumn(names["kept"], kept)
@@ -77,18 +82,19 @@ def _marked(docs: DataFrame, names: dict[str, str], doc_id: str, text: str, site
 
 def strip_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES,
                 max_share: float = MAX_SHARE) -> DataFrame:
-    """All columns of ``docs`` with the shortened text, plus ``n_lines``, ``n_widespread`` and ``n_removed``.
+    """All columns of ``docs`` with the shortened text, plus ``n_lines``, ``n_widespread`` and ``n_removed``; where the input
+    has one of these names its column stays and the new one gets an underscore in front.
 
     Lines end at a line feed; blank lines stay, are never widespread and do not count in ``n_lines``. A null text
     stays null. Null ids and sites, repeated rows and empty inputs are fine. Two joins move data: widespread
     lines to the rows that hold them (keys only), and the rows' sets of such lines back to the texts.
     """
-    names = {n: fresh(docs.columns, f"_{n}") for n in NAMES}
+    names = _names(docs)
     flags = F.col(names["flags"])
     counted = _marked(docs, names, doc_id, text, site, min_sites, max_share)
-    out = counted.withColumn("n_removed", F.when(flags, F.col("n_widespread")).otherwise(0)).withColumn(
+    out = counted.withColumn(names["n_removed"], F.when(flags, F.col(names["n_widespread"])).otherwise(0)).withColumn(
         text, F.when(flags, F.col(names["kept"])).otherwise(col(text)))
-    return out.select(*[col(c) for c in docs.columns], "n_lines", "n_widespread", "n_removed")
+    return out.select(*[col(c) for c in docs.columns], *[names[c] for c in COUNTS])
 
 
 def strip_pages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
@@ -98,7 +104,7 @@ def strip_pages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     search links to one on another site. That stage keeps one of each such group, boilerplate alone earns nothing.
     Beyond ``strip_lines`` the texts are written once; only documents mostly of widespread lines are searched.
     """
-    names = {n: fresh(docs.columns, f"_{n}") for n in (*NAMES, "copy")}
+    names = _names(docs)
     flags, kept, copy = (F.col(names[n]) for n in ("flags", "kept", "copy"))
     marked = _marked(docs, names, doc_id, text, site, min_sites, MAX_SHARE)
     mostly = F.col(names["bad"]).isNotNull() & ~flags  # kept stays beside the text of these alone

@@ -124,35 +124,33 @@ def shard_of(cuts: list[tuple[int, ...]], levels: tuple[str, ...] = LEVELS) -> C
 
 def shard(docs: DataFrame, shards: int, *, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None,
           tolerance: int = 0, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """The columns of ``docs`` (or those in ``keep``) plus ``size``, ``shard`` and ``slot``; law ``bytes``.
+    """The columns of ``docs`` (or those in ``keep``) plus ``size``, ``shard`` and ``slot``; law ``bytes``. A column of the
+    input with one of these names stays, the new one then has an underscore in front; ids are numbers or texts of numbers.
 
     Sizes per shard differ by one row at most when the tolerance is 0. Slots are gapless from 0 in each shard.
     A null text has no bytes; every row weighs a byte more than its text. Null ids, repeated rows and empty
     inputs are fine. Copies of a text are neighbours and share a shard unless a splitter falls among them.
     What is kept is staged once with its keys; the rounds then read four numbers per row.
     """
-    names = {k: fresh(docs.columns, f"_{k}") for k in (*LEVELS, "prefix", "part")}
     keep = docs.columns if keep is None else keep
+    out_names = [fresh(keep, name) for name in ("size", "shard", "slot")]
     staged = stage_table(docs.select(
-        *[col(c) for c in keep if c != "size"], (F.octet_length(text_or_empty(text)) + 1).cast("long").alias("size"),
-        text_hash(text).alias(names["h"]), F.coalesce(col(doc_id).cast("long"), F.lit(-(1 << 62))).alias(names["id"]),
-        F.monotonically_increasing_id().alias(names["n"])))
-    keys = staged.select(*[F.col(names[k]).alias(k) for k in LEVELS], "size")
-    levels = tuple(names[k] for k in LEVELS)
-    prefix, part = names["prefix"], names["part"]
-    placed = staged.withColumns({
-        "shard": shard_of(splitters(keys, shards, tolerance), levels), prefix: F.shiftright(names["h"], HASH_BITS - BITS)})
+        *[col(c).alias(f"kept{i}") for i, c in enumerate(keep)], (F.octet_length(text_or_empty(text)) + 1).cast("long").alias("size"),
+        text_hash(text).alias("h"), F.coalesce(col(doc_id).cast("long"), F.lit(-(1 << 62))).alias("id"), F.monotonically_increasing_id().alias("n")))
+    keys = staged.select(*LEVELS, "size")
+    prefix, part = "prefix", "part"
+    placed = staged.withColumns({"shard": shard_of(splitters(keys, shards, tolerance)), prefix: F.shiftright("h", HASH_BITS - BITS)})
     # cells with far more rows than the others, or more than one task should number, are parted;
     # there are 2 ** BITS cells plus one per splitter, so the broadcast is bounded
     rows = placed.groupBy(F.col("shard").alias("s"), F.col(prefix).alias("p")).agg(F.count("*").alias("rows"))
     usual = F.greatest(F.lit(CELL_LEAST), F.ceil(2 * F.avg("rows").over(Window.partitionBy())))
     parts = rows.select("s", "p", F.ceil(F.col("rows") / F.least(F.lit(cell_rows), usual)).alias("parts"))
     placed = (placed.join(F.broadcast(parts), (F.col("shard") == F.col("s")) & (F.col(prefix) == F.col("p")))
-              .withColumn(part, F.pmod(F.xxhash64(names["id"], names["n"]), F.col("parts"))).drop("s", "p", "parts"))
+              .withColumn(part, F.pmod(F.xxhash64("id", "n"), F.col("parts"))).drop("s", "p", "parts"))
     counts = placed.groupBy("shard", prefix, part).agg(F.count("*").alias("rows"))
     before = Window.partitionBy("shard").orderBy(prefix, part).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("shard", prefix, part, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    cell = Window.partitionBy("shard", prefix, part).orderBy(*levels)
+    cell = Window.partitionBy("shard", prefix, part).orderBy(*LEVELS)
     numbered = placed.withColumn("slot", F.row_number().over(cell).cast("long") - 1)  # the one exchange of the rows
     out = numbered.join(starts, ["shard", prefix, part]).withColumn("slot", F.col("slot") + F.col("start"))
-    return out.select(*[col(c) for c in keep if c not in ("size", "shard", "slot")], "size", "shard", "slot")
+    return out.select(*[F.col(f"kept{i}").alias(c) for i, c in enumerate(keep)], *[F.col(c).alias(n) for c, n in zip(("size", "shard", "slot"), out_names)])
