@@ -303,6 +303,17 @@ def _(spark, sf):
     return readers.read_jsonl(spark, path, schema).select("conv_id", F.size("messages").alias("n"), F.col("messages")[0]["content"].alias("first_text"))
 
 
+@query("S6_read_json_array", "select conv_id, len(messages) as n, messages[1].content as first_text from messages")
+def _(spark, sf):
+    path = scratch_dir(spark)
+    # one array of at most 500 conversations per file
+    lines = view(spark, sf, "messages").select(F.expr("conv_id div 500").alias("file"), F.to_json(F.struct("conv_id", "messages")).alias("line"))
+    arrays = lines.groupBy("file").agg(F.concat(F.lit("["), F.array_join(F.collect_list("line"), ",\n"), F.lit("]")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    schema = "conv_id bigint, messages array<struct<role: string, content: string>>"
+    return readers.read_json_array(spark, path, schema).select("conv_id", F.size("messages").alias("n"), F.col("messages")[0]["content"].alias("first_text"))
+
+
 @query("S5_line_report", """select case when conv_id % 10 = 5 then 'blank' when conv_id % 10 in (3, 4) then 'malformed' else 'valid' end as line_status, count(*) as count from messages group by 1""")
 def _(spark, sf):
     return readers.line_report(_lines(spark, sf))

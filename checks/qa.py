@@ -246,6 +246,15 @@ def _(spark, sf):
     return ordering.rank_by_quality(ranked).select("question_id", "quality_score", "row_index")
 
 
+@query("B3_weighted_sample", """with b as (select min(quality_score) as lo, max(quality_score) as hi from qa),
+    w as (select question_id, quality_score, 0.5 + (quality_score - lo) / (hi - lo) as weight from qa, b),
+    t as (select *, -ln((('0x' || substr(md5('42:' || question_id), 1, 15))::bigint + 1) / 1152921504606846977::double) / weight as race from w)
+    select question_id, round(quality_score, 6) as quality_score from t qualify row_number() over (order by race) <= floor(0.3 * count(*) over ())""")
+def _(spark, sf):
+    weighted = ordering.minmax_weight(staged(spark, sf).select("question_id", "quality_score"), "quality_score")
+    return sampling.weighted_sample(weighted, "sample_weight", 0.3, ["question_id"]).select("question_id", F.round("quality_score", 6).alias("quality_score"))
+
+
 @query("W5_minmax_weight", """with b as (select min(quality_score) as lo, max(quality_score) as hi from qa)
     select question_id, round(0.5 + (quality_score - lo) / (hi - lo), 9) as sample_weight from qa, b""")
 def _(spark, sf):

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsgrain import rules
-from opsgrain.functions.core import py_round, seeded_int, seeded_key
+from opsgrain.functions.core import as_col, py_round, seeded_int, seeded_key
+from opsgrain.operators.quantiles import exact_quantiles
 from opsgrain.session import attach_row
 
 _PREFIX = 4  # hex digits of a hash bucket: 65,536 buckets per class
@@ -167,6 +168,30 @@ def capped_downsample(df: DataFrame, col: str, key: Sequence[str], cap: float =
         *df.columns, "sampling_weight")
 
 
+def _race_time(weight: Column, seed: int, key: Sequence[str]) -> Column:
+    """Exponential with rate ``weight``, seeded by the row key; null where the weight gives no chance at all."""
+    w = weight.cast("double")
+    drawn = (seeded_int(seed, *key) + 1) / F.lit(float(16 ** 15 + 1))  # in (0, 1)
+    return F.when((w > 0) & ~F.isnan(w) & (w < float("inf")), -F.log(drawn) / w)
+
+
+def weighted_sample(df: DataFrame, weight: Column | str, size: int | float, key: Sequence[str], seed: int = rules.SEED) -> DataFrame:
+    """Exactly ``size`` rows (a float: that share of the rows that can be drawn) without replacement, each draw in proportion to weight.
+
+    Every row gets an exponential time whose rate is its weight; the rows with the earliest times are what drawing one
+    row after another would give. The time of the last of them is an exact quantile, so no row is sorted or moved: each
+    is compared with that one time. ``key`` has to identify a row. Rows with a null, non-positive or non-finite
+    weight are never drawn; with fewer rows than asked for all others come back.
+    """
+    time = _race_time(as_col(weight), seed, key)
+    wanted = (lambda n: F.least(F.lit(float(size)), n)) if isinstance(size, int) else (lambda n: F.floor(n * F.lit(size)))
+    timed = df.select(time.alias("_time"))
+    cut = exact_quantiles(timed, "_time", {"cut": lambda n: F.greatest(wanted(n) - 1, F.lit(0)).cast("double")})
+    none = timed.agg((wanted(F.count("_time").cast("double")) < 1).alias("none"))
+    judged = attach_row(attach_row(df.withColumn("_time", time), cut, "_cut"), none, "_none")
+    return judged.where(~F.col("_none.none") & (F.col("_time") <= F.col("_cut.cut"))).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def slice_pairs(dimension: str, values: Column) -> Column:
     """array<struct<dimension, value>> of the distinct values of one row; null is no value."""
     known = F.array_distinct(F.array_compact(F.coalesce(values, F.array().cast("array<string>"))))
