@@ -6,6 +6,7 @@ partitioning, cluster size or run.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -184,12 +185,13 @@ def weighted_sample(df: DataFrame, weight: Column | str, size: int | float, key:
     weight are never drawn; with fewer rows than asked for all others come back.
     """
     time = _race_time(as_col(weight), seed, key)
-    wanted = (lambda n: F.least(F.lit(float(size)), n)) if isinstance(size, int) else (lambda n: F.floor(n * F.lit(size)))
     timed = df.select(time.alias("_time"))
-    cut = exact_quantiles(timed, "_time", {"cut": lambda n: F.greatest(wanted(n) - 1, F.lit(0)).cast("double")})
-    none = timed.agg((wanted(F.count("_time").cast("double")) < 1).alias("none"))
-    judged = attach_row(attach_row(df.withColumn("_time", time), cut, "_cut"), none, "_none")
-    return judged.where(~F.col("_none.none") & (F.col("_time") <= F.col("_cut.cut"))).select(*[F.col(f"`{c}`") for c in df.columns])
+    can = timed.agg(F.count("_time")).first()[0]
+    wanted = min(size, can) if isinstance(size, int) else math.floor(can * size)
+    if wanted < 1:
+        return df.limit(0)
+    cut = exact_quantiles(timed, "_time", {"cut": lambda n: F.lit(float(wanted - 1))}).first().cut
+    return df.where(time <= F.lit(cut))
 
 
 def slice_pairs(dimension: str, values: Column) -> Column:
