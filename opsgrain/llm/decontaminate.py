@@ -68,11 +68,12 @@ def held_items(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id",
     if not bounds:
         bounds = [(WIDTH, -(1 << 63))]
     sketch = shingles.where("place < sketch").select("width", "h", "item")
-    source = docs.select(col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("key"), words(text).alias("w"))
+    source = docs.select(col(doc_id).alias("doc_id"), row_key(doc_id, text).alias("key"), col(text).alias("text"))
     seen = F.concat(*[_probes("w", width, top) for width, top in bounds])
-    met = source.select("key", F.inline(seen))
+    met = source.select("key", words("text").alias("w")).select("key", F.inline(seen))
     candidates = stage_table(met.join(sketch, ["width", "h"]).select("key", "item").distinct())
-    suspects = source.join(candidates.select("key").distinct(), "key", "left_semi")
+    few = source.join(candidates.select("key").distinct(), "key", "left_semi")  # whole texts first: only suspects are cut into words again
+    suspects = few.select("doc_id", "key", words("text").alias("w"))
     grams = F.concat(*[F.coalesce(_grams("w", k), F.array().cast("array<array<string>>")) for k, _ in bounds])
     theirs = suspects.select("doc_id", "key", F.explode(F.array_distinct(grams)).alias("shingle")).withColumn("h", F.xxhash64("shingle"))
     shared = theirs.join(shingles.select("item_id", "item", "n", "h", "shingle"), ["h", "shingle"]).join(candidates, ["key", "item"])

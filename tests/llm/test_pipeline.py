@@ -7,7 +7,8 @@ from collections import Counter
 import corpus_pipeline
 import pytest
 from cases import SCHEMA, documents, frame, tidy
-from test_duplicates import brute_components, brute_holders, brute_lines, items
+from test_duplicates import brute_holders, brute_lines, items
+from test_near_texts import brute_one
 from test_rules import slow_measure
 from test_scoring import PATH, PATTERN
 
@@ -38,16 +39,6 @@ def brute_quality(docs, labels):
     return [d for d, k in zip(docs, kept) if k]
 
 
-def brute_one(docs):
-    order = lambda d: (d[0] is None, d[0] or 0, hashlib.md5((("-" if d[0] is None else str(d[0])) + "\x01" + (d[1] or "")).encode()).digest())
-    best = {}
-    for (_, p, c), d in zip(brute_components(docs), docs):
-        name = p if c is None else c
-        if name not in best or order(d) < order(best[name]):
-            best[name] = d
-    return list(best.values())
-
-
 @pytest.fixture(scope="module")
 def tables():
     docs = [d for d in documents(n=90) if len(d[1] or "") < 10_000]
