@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsgrain.llm import byte_bpe, decontaminate, line_dedup, quality, simhash
+from opsgrain.llm import byte_bpe, decontaminate, line_dedup, near_texts, quality
 from opsgrain.llm.common import table
 from opsgrain.session import stage_table
 
@@ -26,8 +26,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies stays: five-word sets with a similarity of 0.8 or more."""
+    return near_texts.keep_one(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
