@@ -75,7 +75,8 @@ def held_items(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id",
     few = source.join(candidates.select("key").distinct(), "key", "left_semi")  # whole texts first: only suspects are cut into words again
     suspects = few.select("doc_id", "key", words("text").alias("w"))
     grams = F.concat(*[F.coalesce(_grams("w", k), F.array().cast("array<array<string>>")) for k, _ in bounds])
-    theirs = suspects.select("doc_id", "key", F.explode(F.array_distinct(grams)).alias("shingle")).withColumn("h", F.xxhash64("shingle"))
+    # outer: from a plain explode a filter on the words is derived, and pushed below the semi join to all texts
+    theirs = suspects.select("doc_id", "key", F.explode_outer(F.array_distinct(grams)).alias("shingle")).withColumn("h", F.xxhash64("shingle"))
     shared = theirs.join(shingles.select("item_id", "item", "n", "h", "shingle"), ["h", "shingle"]).join(candidates, ["key", "item"])
     counted = shared.groupBy("doc_id", "key", "item_id", "item", "n").agg(F.count_distinct("shingle").alias("n_shared"))
     return (counted.where(F.col("n_shared") * 100 >= F.col("n") * percent)
