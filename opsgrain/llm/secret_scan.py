@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns, plus literals that are assigned to sensitively named targets.
 
-The lexer reads ``name = literal`` in source code and configuration (``=``, ``:``, ``:=``, ``=>``; quoted
-keys and values; string concatenation), follows constants through aliases (``A = "x"``; ``password = A``),
-and scores each literal by the names it reaches and by its own shape.
+A lexer reads the assignments of source code and configuration (see ``assignments``), follows constants through
+names, concatenations and calls (``A = "x"``; ``password = PREFIX + A``) back from the sensitive targets, and scores
+each literal by the most sensitive name that it reaches and by its own shape. Time is linear in the text.
 """
 
 from __future__ import annotations
@@ -10,7 +10,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,11 +35,25 @@ SENSITIVE = {"password": 3, "passwd": 3, "passphrase": 3, "pwd": 3, "secret": 3,
 HARMLESS = {"none", "null", "true", "false", "changeme", "example", "test", "todo", "undefined", "string", "password", "secret", "token"}
 MIN_SCORE = 6
 
-_NAME = re.compile(r"""(?<![\w.$-])([A-Za-z_$][\w.$-]*)["'`]?[ \t]*(?::=|=>|=(?![=>])|:(?![:/]))[ \t]*""")
-_QUOTED = re.compile(r'''"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\\\n]*)`''')
-_PLUS = re.compile(r"[ \t]*\+[ \t]*")
-_BARE = re.compile(r"[^\s\"'`,;(){}\[\]<>]+")
+# the lexer: every pattern is anchored or ends at the line, and what a token consumed is not read again
+_BODY = r"""(?P<{0}>[rRbBuUfF]{{0,2}}(?:\"\"\".*?\"\"\"|\'\'\'.*?\'\'\'|"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|`(?:[^`\\\n]|\\.)*+`))"""
+_STRING = re.compile(_BODY.format("s"), re.S)
+_TOKEN = re.compile(r"(?P<escape>\\.)|(?<!\w)" + _BODY.format("string") + r"|<(?P<tag>[A-Za-z_][\w.:-]*)(?:[ \t][^<>]*)?>(?P<inside>[^<]*)</(?P=tag)[ \t]*>"
+                    r"|(?<![\w.$-])(?P<name>[A-Za-z_$][\w.$-]*+)(?=[ \t]*[:=?|+\[])", re.S)
+_SUBSCRIPT = re.compile(r"""\[[ \t]*:?(?:"([\w.$ -]+)"|'([\w.$ -]+)'|([A-Za-z_]\w*))[ \t]*\]""")
+_TYPE = r"""(?::[ \t]*[A-Za-z_][\w.]*(?:\[[^\[\]\n=]*\]|<[^<>\n=]*>)?(?:[ \t]*\|[ \t]*\w+)*[ \t]*(?==(?![=>~])))?"""
+_BECOMES = re.compile(r"[ \t]*" + _TYPE + r"(?::=|=>|\|\|=|\?\?=|\?=|\+=|=(?![=>~])|:(?![:/]))[ \t]*")
+_CHAIN = re.compile(r"([A-Za-z_$][\w.$-]*)(?=(?:[ \t]+:?=[ \t]+|:?=)[^\s=>&]|:[ \t]+\S)")
+_BLOCK = re.compile(r"[|>][+-]?[1-9]?[+-]?[ \t]*(?:#[^\n]*)?\n")
+_LINE = re.compile(r"([ \t]*)([^\n]*)(?:\n|\Z)")
+_JOIN = re.compile(r"[ \t]*(?:\+|\.\.|\.|\\?\n[ \t]*\+)?\s*")  # pieces of one literal; a line may end inside brackets
+_OTHER = re.compile(r"[ \t]*(?:\?\?|\|\||&&|\?:|\?|:|or\b|and\b|if\b|else\b|,)[ \t]*")  # alternatives
+_BARE = re.compile(r"(?:[^\s\"'`,;(){}\[\]<>\\]|\\.)+")
 _IDENT = re.compile(r"[A-Za-z_$][\w.$-]*\Z")
+_ALONE = re.compile(r"[A-Za-z_$][\w$-]*(?=[\r\n;,]|\Z)")  # a value that is one name
+_WORD = re.compile(r"[A-Za-z_$][\w.$]*")
+_KEY = re.compile(r"[A-Za-z_$][\w.$ -]*\Z")
+_INNER = re.compile(r"(?<![\w.$-])([A-Za-z_$][\w.$-]*)=((?:[^\s\"'`;=&\\]|&(?!\w+=)|=(?![\w]))+)")  # name=value inside a string
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 
@@ -49,32 +66,169 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def assignments(text: str) -> list[tuple[str, list[tuple[int, int]], str]]:
-    """(name, spans of the literal pieces, alias): a pair has literal pieces or the name it copies."""
-    pairs = []
-    for m in _NAME.finditer(text):
-        at, pieces, alias = m.end(), [], ""
-        while q := _QUOTED.match(text, at):
-            pieces.append(q.span(q.lastindex))
-            plus = _PLUS.match(text, q.end())
-            if not plus:
-                break
-            at = plus.end()
-        if not pieces and (bare := _BARE.match(text, at)):
+@dataclass(slots=True)
+class Pair:
+    """What one assignment says: its target, the literals (spans of their pieces) and the names that flow into it."""
+
+    name: str
+    literals: list[list[tuple[int, int]]]
+    sources: list[str]
+    bare: str = ""  # the text of a value that may be a name or an unquoted literal
+
+
+def _inside(m: re.Match) -> tuple[int, int]:
+    """The span of a string's content, without its prefix and quotes."""
+    start, end = m.span(m.lastgroup)
+    while m.string[start] not in "\"'`":
+        start += 1
+    quotes = 3 if end - start >= 6 and m.string[start:start + 3] in ('"""', "\'\'\'") else 1
+    return start + quotes, end - quotes
+
+
+def _block(text: str, at: int, line: int) -> list[tuple[int, int]]:
+    """Lines of a YAML block scalar: those deeper than the line of its key, which starts at ``line``."""
+    depth = _LINE.match(text, line).end(1) - line
+    pieces = []
+    while at < len(text):
+        m = _LINE.match(text, at)
+        if m[2].strip() and m.end(1) - at <= depth:
+            break
+        if m[2].strip():
+            pieces.append((m.start(2), m.start(2) + len(m[2].rstrip())))
+        at = m.end()
+    return pieces
+
+
+def _value(text: str, at: int, start: int, pair: Pair) -> int:
+    """Reads one right-hand side into the pair; the position from which to read on."""
+    if name := _ALONE.match(text, at):
+        pair.bare, pair.literals = name[0], [[name.span()]]
+        pair.sources.append(name[0])
+        return name.end()
+    if text[at:at + 1] in ("|", ">") and (block := _BLOCK.match(text, at)):
+        pair.literals.append(_block(text, block.end(), text.rfind("\n", 0, start) + 1))
+        return block.end()  # the lines may be code themselves
+    if chain := _CHAIN.match(text, at):
+        pair.sources.append(chain[1])
+        return at
+    depth, alone, new, called = 0, True, True, False
+    while at < len(text):
+        if text[at] == "(":
+            depth, at, new = depth + 1, at + 1, True
+            continue
+        if depth and text[at] in ") \t\r\n":
+            depth, at = depth - (text[at] == ")"), at + 1
+            continue
+        if string := _STRING.match(text, at):
+            span, at, alone = _inside(string), string.end(), False
+            if not called or _BARE.fullmatch(text, *span):
+                if new:
+                    pair.literals.append([])
+                pair.literals[-1].append(span)
+                new = False
+        elif alone and not depth and (bare := _BARE.match(text, at)):
             end = bare.end()
-            while end > bare.start() and text[end - 1] in ".:":
+            while end > at and text[end - 1] in (".:+" if text[end:end + 1] in ("'", '"') else ".:"):
                 end -= 1
-            if _IDENT.match(text[at:end]):
-                alias = text[at:end]
-            if end > at:
-                pieces = [(at, end)]
-        if pieces:
-            pairs.append((m[1], pieces, alias))
+            if end == at:
+                return bare.end()
+            word = text[at:end]
+            if _IDENT.match(word):
+                pair.sources.append(word)
+            pair.bare, pair.literals, at, alone = word, [[(at, end)]], end, False
+            new = True
+        elif word := _WORD.match(text, at):
+            pair.sources.append(word[0])
+            at = word.end()
+        elif depth == 0:
+            break
+        else:
+            at, new = at + 1, True
+            continue
+        if at < len(text) and text[at] == "(":
+            called = True
+            continue
+        if step := _OTHER.match(text, at):
+            if text[step.end():step.end() + 1] == "\n" or (step[0].strip() == "," and not depth):
+                break
+            at, new = step.end(), True
+            if not (_STRING.match(text, at) or _WORD.match(text, at)):
+                break
+            continue
+        join = _JOIN.match(text, at)
+        after = join.end()
+        if "+" in join[0] or "." in join[0] or depth:
+            at = after
+        elif "\n" not in join[0] and _STRING.match(text, after):
+            at = after  # neighbours
+        else:
+            break
+        if pair.bare and "+" not in join[0]:
+            break
+    return at
+
+
+def assignments(text: str) -> list[Pair]:
+    """The assignments of a source or configuration text, in one pass.
+
+    A target is a name, a quoted key, a subscript by a constant (``c["k"]``) or an XML element. Values are
+    strings (triple and raw ones, too), their concatenations and alternatives, YAML block
+    scalars, bare words; arguments of a call count where they hold no blank, quote or bracket. Comments are read like code, since a disabled assignment leaks its secret all the same;
+    inside strings only ``name=value`` without blanks (connection strings, addresses) counts as an assignment.
+    """
+    pairs: list[Pair] = []
+
+    def inner(start: int, end: int) -> None:
+        for m in _INNER.finditer(text, start, end):
+            pairs.append(Pair(m[1], [[m.span(2)]], [m[2]] if _IDENT.match(m[2]) else [], m[2]))
+
+    at = 0
+    while m := _TOKEN.search(text, at):
+        kind, start, at = m.lastgroup, m.start(), m.end()
+        if kind == "inside":
+            kind, name = "tag", m["tag"]
+        elif kind == "name":
+            name = m["name"]
+            while text[at:at + 1] == "[" and (part := _SUBSCRIPT.match(text, at)):
+                name, at = f"{name}.{part[part.lastindex]}", part.end()
+        elif kind == "string":
+            a, b = _inside(m)
+            name = text[a:b] if b - a <= 200 and _KEY.match(text[a:b]) else ""
+        else:
+            continue
+        if kind == "tag":
+            a, b = m.span("inside")
+            value = text[a:b]
+            a, b = a + len(value) - len(value.lstrip()), b - (len(value) - len(value.rstrip()))
+            if a < b:
+                pairs.append(Pair(name, [[(a, b)]], [], ""))
+            inner(*m.span("inside"))
+            continue
+        becomes = _BECOMES.match(text, at) if name else None
+        if becomes is None:
+            if kind == "string":
+                inner(*_inside(m))
+            continue
+        pair = Pair(name, [], [])
+        at = _value(text, becomes.end(), start, pair)
+        if pair.literals or pair.sources:
+            pairs.append(pair)
+            for pieces in pair.literals:
+                for a, b in () if pair.bare else pieces:
+                    inner(a, b)
     return pairs
 
 
+def hinted(text: str) -> bool:
+    """Whether a name in the text can score at all."""
+    low = text.lower()
+    return any(word in low for word in SENSITIVE)
+
+
 def name_score(name: str) -> int:
     """How sensitive a target's name is: its most telling word, more for pairs like api key or private key."""
+    if not hinted(name):
+        return 0
     parts = [p.lower() for p in _PARTS.findall(name)]
     best = max((SENSITIVE.get(p, 0) for p in parts), default=0)
     joined = "".join(parts)
@@ -94,30 +248,38 @@ def literal_score(value: str) -> int:
     return (len(value) >= 8) + (len(value) >= 16) + (entropy >= 3) + (classes >= 2 and bool(re.search("[0-9]", value)))
 
 
+def reached(pairs: list[Pair]) -> dict[str, int]:
+    """For every name the score of the most sensitive name that its value flows into, in one walk against the flow."""
+    sources: dict[str, list[str]] = {}
+    for pair in pairs:
+        sources.setdefault(pair.name, []).extend(pair.sources)
+    best: dict[str, int] = {}
+    for start in sorted(sources, key=name_score, reverse=True):
+        score, todo = name_score(start), [start]
+        while todo:
+            name = todo.pop()
+            if name not in best:
+                best[name] = score
+                todo += sources.get(name, ())
+    return best
+
+
 def literal_spans(text: str) -> list[tuple[int, int]]:
     """Literals whose score, own shape plus the most sensitive name that they reach, is high enough."""
-    if "=" not in text and ":" not in text:
+    if ("=" not in text and ":" not in text and "</" not in text) or not hinted(text):
         return []
     pairs = assignments(text)
-    reach: dict[str, int] = {}  # most sensitive name that a constant flows into
-    scores = [name_score(n) for n, _, _ in pairs]
-    for (name, _, _), s in zip(pairs, scores):
-        reach[name] = max(reach.get(name, 0), s)
-    defined = {n for n, _, a in pairs if not a}
-    for _ in range(len(pairs)):  # aliases of aliases; each round settles one more step
-        changed = False
-        for name, _, alias in pairs:
-            if alias and reach.get(alias, 0) < reach[name]:
-                reach[alias] = reach[name]
-                changed = True
-        if not changed:
-            break
+    reach = reached(pairs)
+    defined = {p.name for p in pairs if p.literals and not (p.bare and p.sources)}
     spans = []
-    for name, pieces, alias in pairs:
-        if alias and (alias in defined or not re.search(r"\d", alias)):
-            continue  # a name, not a literal
-        if reach[name] > 0 and reach[name] + literal_score("".join(text[a:b] for a, b in pieces)) >= MIN_SCORE:
-            spans += [(a, b) for a, b in pieces if b > a]
+    for pair in pairs:
+        if reach[pair.name] == 0:
+            continue
+        for i, pieces in enumerate(pair.literals):
+            if i == 0 and pair.bare and pair.sources and (pair.bare in defined or not re.search(r"\d", pair.bare)):
+                continue  # a name, not a literal
+            if reach[pair.name] + literal_score("".join(text[a:b] for a, b in pieces)) >= MIN_SCORE:
+                spans += [(a, b) for a, b in pieces if b > a]
     return spans
 
 
@@ -128,7 +290,12 @@ def joined(spans: list[tuple[int, int, str]]) -> str:
 def scan_text(text: str) -> tuple[int, int, int, str, str]:
     base = base_spans(text)
     # a base pattern may end inside a literal; only one that covers the literal whole makes it superfluous
-    more = [(a, b, "literal") for a, b in dict.fromkeys(literal_spans(text)) if not any(s <= a and b <= e for s, e, _ in base)]
+    starts, ends = [s for s, _, _ in base], list(accumulate((e for _, e, _ in base), max))
+    more = []
+    for a, b in dict.fromkeys(literal_spans(text)):
+        before = bisect_right(starts, a)
+        if not before or ends[before - 1] < b:
+            more.append((a, b, "literal"))
     every = sorted(base + more, key=lambda s: (s[0], KINDS.index(s[2]), s[1])) if more else base
     count = Counter(kind for _, _, kind in base)
     plain = joined(base)

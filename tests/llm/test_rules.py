@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -190,6 +192,64 @@ def test_literals():
     assert literals("plain prose: nothing to see = here") == []
 
 
+SECRET_FORMS = [  # a source text with {} for a secret, and what is no secret there
+    'config["password"] = "{}"', "settings['db']['passwd'] = '{}'", 'PASSWORD = """{}"""', "password = r\'\'\'{}\'\'\'", "password: >-\n  {}\nother: 1\n",
+    "db:\n  secret: |\n    {}\n  port: 5432\n", 'api_key = PREFIX + "{}"', "dbPassword = c ? '{}' : null", "secret = given or '{}'", "<password>{}</password>",
+    '<client-secret kind="a">\n  {}\n</client-secret>', 'password: str = "{}"', "const token: string = '{}';", 'conn = "Server=db;Password={};User=x"',
+    'password = os.getenv("DB_PASS", "{}")', '# password = "{}"', '// token: \'{}\'', 'a = b = "{}"\npwd = a', "f(passwd='{}', x='harmless words')",
+    'password = (\n    "{}"\n)\n', "h = {{'pwd' => '{}'}}", 'first = "{}"\nsecond = "x" + first\ntoken = second', '"apiKey" : "{}"', "it isn't a password: '{}', is it",
+    "passphrase := `{}`", 'log("ok")\ntoken = "{}" # doesn\'t end']
+NO_SECRETS = ["msg = 'the password: abc123XYZ!! is bad'", 'title = "aX9$kk22LLpq"', 'token = next_token', 'if password == "aX9$kk22LLpq":', "password = input('Your password 1: ')[0]",
+              'x = "password"\ny = "aX9$kk22LLpq"', "<title>aX9$kk22LLpq</title>", "other: >-\n  aX9$kk22LLpq\nsecret: 12\n", 'token = "aX9" "\nname = "aX9$kk22LLpq"']
+
+
+def test_every_form_of_an_assignment():
+    rng = random.Random(3)
+    for _ in range(20):
+        for form in SECRET_FORMS:
+            value = "".join(rng.sample("abcdefghijkm", 5)) + "&!@"[rng.randrange(3)] + "".join(rng.sample("23456789", 4)) + "".join(rng.sample("PQRSTUVWXYZ", 5))
+            value = value.replace("&", "!") if "&" in value and "Server" in form else value
+            text = form.format(value)
+            spans = secret_scan.literal_spans(text)
+            at = text.index(value)
+            assert (at, at + len(value)) in spans, (text, [text[a:b] for a, b in spans])
+            assert not any(b <= at or at + len(value) <= a for a, b in spans), text
+    for text in NO_SECRETS:
+        assert secret_scan.literal_spans(text) == [], text
+
+
+def test_a_text_of_several_forms_finds_each():
+    """Statements one below the other: each secret once, at its place, whatever stands around it."""
+    rng = random.Random(4)
+    forms = [f for f in SECRET_FORMS if "first" not in f and "a = b" not in f]
+    for _ in range(50):
+        text, want = "", []
+        for n in range(12):
+            harmless = rng.choice(NO_SECRETS[:3])
+            form, value = rng.choice(forms), f"Zq{n}w!7Kp{rng.randrange(10**6):06d}xY"
+            before, after = form.format("\0").split("\0")
+            at = len(text) + len(before)
+            text += before + value + after + "\n" + harmless + "\n"
+            want.append((at, at + len(value)))
+        assert sorted(set(secret_scan.literal_spans(text))) == want, text
+
+
+@pytest.mark.parametrize("piece", ["a{0} = a{1}\n", "a=", 'a = "x" + ', '\\"', 'a["b"]', "a: |\n b: |\n", "a: b[c ", "a = (", "password=abcdef99 ", '"a=b;', "<a>x", "'\"`"])
+def test_long_texts_take_time_in_proportion(piece):
+    def spent(n):
+        text = "".join(piece.format(i, i + 1) if "{" in piece else piece for i in range(n)) + "\npassword = a0"
+        start = time.process_time()
+        secret_scan.scan_text(text)
+        return time.process_time() - start
+    assert min(spent(24_000) for _ in range(2)) < 12 * max(min(spent(4_000) for _ in range(2)), 0.01)
+
+
+def test_long_chain_of_names():
+    n = 20_000
+    text = 'password = a0\n' + "".join(f"a{i} = a{i + 1}\n" for i in range(n)) + f'a{n} = "s3cr3tXyz!99"\n'
+    assert [text[a:b] for a, b in secret_scan.literal_spans(text)] == ["s3cr3tXyz!99"]
+
+
 def test_scan(spark):
     rows = [(9000 + i, t, "en", "s", 0, "x", 1, "y", 2, b"z", "w", 3, 4) for i, t in enumerate(SECRETS)] + documents()
     got = secret_scan.scan(frame(spark, rows)).collect()
