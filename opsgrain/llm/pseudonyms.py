@@ -2,8 +2,15 @@
 
 A value is found by its shape, validated (check digits, ranges, calendar) and replaced by the image of a keyed
 Feistel permutation of its own format: a card number becomes another number of the same length with a
-right check digit, a date another date written the same way. The permutation depends on the key and the
-kind alone, so equal values stay equal across documents and nothing has to be stored or shuffled.
+right check digit, a date another date written the same way. The permutation depends on the key, the
+kind and the value alone, however it is written: a card with or without blanks, one day in any order of its
+parts, one number with or without country code have one image, each in its own spelling. So equal values stay
+linked across documents and nothing has to be stored or shuffled.
+
+Two things stay visible, since spellings could not be read back otherwise: whether a date's day is above 12
+(``25/03`` can only be day first), and a telephone number's country code and leading zero. Read as values are:
+years 1900 to 2099; slashes are month first unless the first number is above 12, dots are day first; ten digits
+without a plus are a North American number. Not read: written months, lower-case IBANs, social security numbers with blanks.
 """
 
 from __future__ import annotations
@@ -21,7 +28,6 @@ from pyspark.sql import functions as F
 from opsgrain.llm.common import col, small_batches
 
 ROUNDS = 10
-DEMO_KEY = b"demonstration key, replace in production"
 KINDS = ("email", "card", "iban", "ssn", "phone", "ipv4", "date")
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 
@@ -29,7 +35,7 @@ FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099,
 _SHAPES = re.compile(
     r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
     r"|(?P<ipv4>(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9]))"
-    r"|(?P<iso>(?<![\w-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-]))"
+    r"|(?P<iso>(?<![\w/-])[0-9]{4}(?P<dash>[-/])[0-9]{2}(?P=dash)[0-9]{2}(?![0-9/-]))"
     r"|(?P<dmy>(?<![\w/.])[0-9]{1,2}(?P<cut>[/.])[0-9]{1,2}(?P=cut)[0-9]{4}(?![0-9]))"
     r"|(?P<ssn>(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
     r"|(?P<card>(?<![\w+-])(?:[0-9]{13,19}|[0-9]{4}(?P<sep>[ -])[0-9]{4}(?P=sep)[0-9]{4}(?P=sep)[0-9]{1,4}(?:(?P=sep)[0-9]{1,3})?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9]))"
@@ -126,20 +132,32 @@ def _ssn(key: bytes, text: str) -> str | None:
     return _spread(text, f"{permute(key, 'ssn', v, 10 ** 9, _ssn_ok):09d}") if _ssn_ok(v) else None
 
 
+# fixed values: country codes of one and of two digits; all others have three
+_SHORT_CODES = frozenset(("1", "7", *(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98").split()))
+
+
 def _phone(key: bytes, text: str) -> str | None:
+    """The number without its country code is permuted; what is written before it stays."""
     d = "".join(_DIGIT.findall(text))
     if not 10 <= len(d) <= 15:
         return None
-    prefix = re.match(r"\+[0-9]{1,3}(?=[ .(-])", text)  # a marked country code stays
-    code = prefix[0][1:] if prefix else ""
-    rest = d[len(code):]
-    low = 10 ** (len(rest) - 1)
-    national = not text.startswith("+")  # without a plus a number starts with neither 0 nor 1
-    if national and rest[0] in "01":
-        return None
-    zero, least = rest[0] == "0", (2 if national else 1) * low
-    v = permute(key, f"phone{code}|{len(rest)}|{zero}{national}", int(rest), low if zero else 10 * low, None if zero else lambda v: v >= least)
-    return _spread(text, code + f"{v:0{len(rest)}d}")
+    if text.startswith("+"):
+        code = next(d[:n] for n in (1, 2, 3) if n == 3 or d[:n] in _SHORT_CODES)
+        written = code
+    else:  # without a plus a number starts with neither 0 nor 1
+        if d[0] in "01":
+            return None
+        code, written = ("1" if len(d) == 10 else ""), ""
+    rest = d[len(written):]
+
+    def first(v: int) -> int:  # the kinds of numbers that must not become one another
+        lead = v // 10 ** (len(rest) - 1)
+        return min(lead, 2 if code in ("", "1") else 1)
+
+    kind = first(int(rest))
+    v = permute(key, f"phone{code}|{len(rest)}|{kind}", int(rest), 10 ** len(rest), lambda v: first(v) == kind)
+    return _spread(text, written + f"{v:0{len(rest)}d}")
 
 
 def _ipv4(key: bytes, text: str) -> str | None:
@@ -167,23 +185,27 @@ def _date(key: bytes, text: str, order: str) -> str | None:
     a, b, c = text.split(cut)
     padded = len(a) == 2 and len(b) == 2
     if order == "iso":
-        n, ok, kind = _day(int(a), int(b), int(c)), None, "iso"
+        n = _day(int(a), int(b), int(c))
     elif cut == "/" and int(a) <= 12:  # month first
-        n, ok, kind = _day(int(c), int(a), int(b)), None, "mdy"
-    elif cut == "/":  # can only be day first, and has to stay so
-        n, ok, kind = _day(int(c), int(b), int(a)), (lambda v: datetime.date.fromordinal(FIRST_DAY + v).day > 12), "dmy>12"
+        n, order = _day(int(c), int(a), int(b)), "mdy"
     else:
-        n, ok, kind = _day(int(c), int(b), int(a)), None, "dmy"
+        n = _day(int(c), int(b), int(a))
     if n is None or (order != "iso" and not padded and "0" in (a[0], b[0])):
         return None
-    size = LAST_DAY - FIRST_DAY + 1
-    d = datetime.date.fromordinal(FIRST_DAY + permute(key, f"date {kind}", n - FIRST_DAY, size, ok))
+    d = _moved_day(key, n)
     if order == "iso":
-        return d.isoformat()
-    x, y = (d.month, d.day) if kind == "mdy" else (d.day, d.month)
+        return f"{d.year:04d}{cut}{d.month:02d}{cut}{d.day:02d}"
+    x, y = (d.month, d.day) if order == "mdy" else (d.day, d.month)
     return f"{x:02d}{cut}{y:02d}{cut}{d.year:04d}" if padded else f"{x}{cut}{y}{cut}{d.year:04d}"
 
 
+def _moved_day(key: bytes, n: int) -> datetime.date:
+    """The image of a day, the same for every spelling; days above 12 are permuted among themselves, and the others."""
+    date = lambda v: datetime.date.fromordinal(FIRST_DAY + v)
+    late = date(n - FIRST_DAY).day > 12
+    return date(permute(key, f"date {late}", n - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, lambda v: (date(v).day > 12) == late))
+
+
 def _email(key: bytes, local: str, domain: str) -> str:
     """The person's part is permuted; upper and lower case of it are one value."""
     return f"{_mixed(key, 'email@' + domain.lower(), local.lower())}@{domain}"
@@ -208,7 +230,7 @@ def replace_values(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str
     at = 0
     if _DIGIT.search(text):
         while m := _SHAPES.search(text, at):
-            shape = m.lastgroup if m.lastgroup != "cut" else "dmy"
+            shape = m.lastgroup
             value = m[0]
             image = _image(key, shape, value)
             while image is None and shape in ("card", "iban") and (cut := max(value.rfind(" "), value.rfind("-"))) > 0:
@@ -232,9 +254,10 @@ def replace_values(text: str, key: bytes) -> tuple[str, list[tuple[int, int, str
     return ("".join(out) + text[done:] if found else text), spans
 
 
-def pseudonymise(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", key: bytes = DEMO_KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", key: bytes) -> DataFrame:
     """doc_id, number of values per kind, their spans (kind:start:end in code points) and the new text.
 
+    The key has 1 to 64 bytes and no default: who knows it can turn the pseudonyms back.
     A null text stays null and has no values; null ids and repeated rows pass through. One narrow pass.
     """
     if not 1 <= len(key) <= 64:

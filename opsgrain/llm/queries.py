@@ -13,6 +13,8 @@ from opsgrain.llm import (byte_bpe, decontaminate, filter_audit, hard_negatives,
                           sharding, simhash, sql, substrings)
 from opsgrain.llm.common import table, text_or_empty
 
+DEMO_KEY = b"demonstration key, replace in production"  # of op9's query alone
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -76,7 +78,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_feistel_pseudonyms")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"))
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), key=DEMO_KEY)
 
 
 @query("op10_secret_scan")

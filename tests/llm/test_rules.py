@@ -153,15 +153,94 @@ def test_values_side_by_side():
 
 def test_equal_values_stay_linked(spark):
     rows = [(i, f"doc {i} card 4041894974608795 of bob.1@x.org", "en", "s", 0, "x", 1, "y", 2, b"z", "w", 3, 4) for i in range(20)]
-    got = pseudonyms.pseudonymise(frame(spark, rows + documents())).collect()
+    got = pseudonyms.pseudonymise(frame(spark, rows + documents()), key=b"key").collect()
     images = {re.search(r"card (\d+) of (\S+)", r.text).groups() for r in got if r.doc_id is not None and r.text and " card " in r.text}
     assert len(images) == 1 and images != {("4041894974608795", "bob.1@x.org")}
     texts = {(d[0], d[1]) for d in documents()}
     assert all((r.doc_id, r.text) in texts for r in got if r.n_values == 0)
     assert len(got) == len(rows) + len(documents())
-    assert pseudonyms.pseudonymise(frame(spark, [])).collect() == []
+    assert pseudonyms.pseudonymise(frame(spark, []), key=b"key").collect() == []
     with pytest.raises(ValueError):
         pseudonyms.pseudonymise(frame(spark, []), key=b"")
+    with pytest.raises(TypeError):
+        pseudonyms.pseudonymise(frame(spark, []))  # no published key by default
+
+
+def luhn_ok(digits):
+    return sum(sum(divmod(2 * int(d), 10)) if i % 2 else int(d) for i, d in enumerate(reversed(digits))) % 10 == 0
+
+
+def iban_ok(plain):
+    return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
+def people(rng):
+    """(kind, value, its spellings, how to read the value back from a spelling): valid values of every kind."""
+    def pieces(s, *sizes):
+        out = []
+        for n in sizes:
+            out.append(s[:n])
+            s = s[n:]
+        return out
+    digits = lambda s: re.sub(r"\D", "", s)
+    made = []
+    for _ in range(40):
+        body = str(rng.randrange(1, 10)) + "".join(rng.choices("0123456789", k=14))
+        card = next(body + c for c in "0123456789" if luhn_ok(body + c))
+        made.append(("card", card, [card, "-".join(pieces(card, 4, 4, 4, 4)), " ".join(pieces(card, 4, 4, 4, 4))], digits, luhn_ok))
+        body = "".join(rng.choices("0123456789", k=18))
+        iban = next(p for c in range(2, 99) if iban_ok(p := f"DE{c:02d}{body}"))
+        made.append(("iban", iban, [iban, " ".join(pieces(iban, 4, 4, 4, 4, 4, 2))], lambda s: s.replace(" ", ""), iban_ok))
+        y, m, d = rng.randrange(1900, 2100), rng.randrange(1, 13), rng.randrange(1, 29)
+        forms = [f"{y}-{m:02d}-{d:02d}", f"{y}/{m:02d}/{d:02d}", f"{d:02d}.{m:02d}.{y}", f"{m:02d}/{d:02d}/{y}", f"{d}.{m}.{y}", f"{m}/{d}/{y}"]
+        forms += [f"{d:02d}/{m:02d}/{y}"] if d > 12 else []
+
+        def read_date(s):
+            a, b, c = (int(p) for p in re.split(r"[-/.]", s))
+            return (a, b, c) if a > 31 else (c, a, b) if "/" in s and a <= 12 else (c, b, a)
+        made.append(("date", (y, m, d), forms, read_date, lambda v: 1900 <= v[0] <= 2099 and 1 <= v[1] <= 12 and 1 <= v[2] <= 31))
+        n = str(rng.randrange(2, 10)) + "".join(rng.choices("0123456789", k=9))
+        a, b, c = pieces(n, 3, 3, 4)
+        made.append(("phone", n, [f"+1 {a}-{b}-{c}", f"{a}-{b}-{c}", f"+1{n}", f"({a}) {b}-{c}", f"+1 ({a}) {b} {c}", f"{a}.{b}.{c}"], lambda s: digits(s)[-10:], lambda v: v[0] in "23456789"))
+        n = str(rng.randrange(1, 10)) + "".join(rng.choices("0123456789", k=8))
+        made.append(("phone", "49" + n, [f"+49{n}", f"+49 {n[:2]} {n[2:]}", f"+49-{n[:3]}-{n[3:]}"], digits, lambda v: v.startswith("49") and v[2] != "0"))
+        ssn = f"{rng.randrange(1, 666):03d}-{rng.randrange(1, 100):02d}-{rng.randrange(1, 10_000):04d}"
+        made.append(("ssn", ssn, [ssn], str, lambda v: v[:3] not in ("000", "666") and v[0] != "9" and v[4:6] != "00" and v[7:] != "0000"))
+        ip = ".".join(str(rng.randrange(256)) for _ in range(4))
+        made.append(("ipv4", ip, [ip], str, lambda v: all(int(p) < 256 for p in v.split("."))))
+    return made
+
+
+def test_every_value_is_found_and_has_one_image():
+    """Each valid value of a made corpus in each of its spellings: found whole, in its format, one image a value, one value an image."""
+    rng = random.Random(11)
+    made = people(rng)
+    images = {}
+    for kind, value, spellings, read, valid in made:
+        for spelling in spellings:
+            before, after = rng.choice(["", "the value ", "tel: ", "(see) "]), rng.choice(["", " and more", ", then", ". End", "\n"])
+            new, spans = pseudonyms.replace_values(before + spelling + after, b"key")
+            assert spans == [(len(before), len(before) + len(spelling), kind)], (spelling, spans)
+            image = new[len(before):len(new) - len(after)]
+            assert new == before + image + after and valid(read(image)), (spelling, image)
+            assert re.sub(r"\d+" if kind in ("ipv4", "date") else r"\d", "9", image) == re.sub(r"\d+" if kind in ("ipv4", "date") else r"\d", "9", spelling)
+            images.setdefault((kind, value), set()).add(read(image))
+    assert all(len(i) == 1 for i in images.values()), [k for k, i in images.items() if len(i) > 1]
+    assert len({(k[0], *i) for k, i in images.items()}) == len(images)
+    assert sum(k[1] in i for k, i in images.items()) <= 1  # images differ from their values
+
+
+def test_days_are_permuted():
+    days = range(pseudonyms.FIRST_DAY, pseudonyms.LAST_DAY + 1, 1)
+    some = [pseudonyms._moved_day(b"k", n).toordinal() for n in days[:4000]]
+    assert len(set(some)) == 4000 and all(pseudonyms.FIRST_DAY <= n <= pseudonyms.LAST_DAY for n in some)
+
+
+def test_very_long_text_of_values():
+    text = "4041894974608795 2024-05-06 +1 (988) 555-2485 words 12345 1-2-3 " * 20_000
+    start = time.process_time()
+    new, spans = pseudonyms.replace_values(text, b"key")
+    assert len(spans) == 60_000 and len(new) == len(text) and time.process_time() - start < 60
 
 
 def slow_base(text):
