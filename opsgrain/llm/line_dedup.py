@@ -2,9 +2,9 @@
 
 A line's spread is the number of distinct sites that hold it. Partial sketches are merged per line hash; the
 sketch's error is known, so only lines whose estimate lies near the threshold are counted exactly. Lines that
-are widespread are boilerplate and are removed. A copy of a whole document is the near-duplicate stage's matter:
-``strip_lines`` takes documents that consist mostly of widespread lines for copies, ``strip_pages`` asks of them
-that they have near copies on other sites.
+are widespread are boilerplate: ``strip_lines`` removes them from every document. A copy of a whole document is
+the near-duplicate stage's matter, so before that stage ``strip_pages`` leaves documents whole that consist mostly
+of widespread lines and have near copies on other sites.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from opsgrain.session import stage_table
 MIN_SITES = 10
 SKETCH_BITS = 12  # 2 ** 12 registers: a relative standard error of 1.04 / 64
 SIGMAS = 4.0  # the band in which lines are counted exactly, in standard errors
-MAX_SHARE = 0.5  # of a document's characters on widespread lines, beyond which it is a copy
+PAGE_SHARE = 0.5  # of a document's characters on widespread lines, beyond which near copies of it are searched
 NAMES = ("key", "bad", "flags", "lines", "kept")  # columns beside those of the documents
 COUNTS = ("n_lines", "n_widespread", "n_removed")  # columns of the result
 
@@ -81,12 +81,13 @@ def _marked(docs: DataFrame, names: dict[str, str], doc_id: str, text: str, site
 
 
 def strip_lines(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES,
-                max_share: float = MAX_SHARE) -> DataFrame:
+                max_share: float = 1.0) -> DataFrame:
     """All columns of ``docs`` with the shortened text, plus ``n_lines``, ``n_widespread`` and ``n_removed``; where the input
     has one of these names its column stays and the new one gets an underscore in front.
 
     Lines end at a line feed; blank lines stay, are never widespread and do not count in ``n_lines``. A null text
-    stays null. Null ids and sites, repeated rows and empty inputs are fine. Two joins move data: widespread
+    stays null. Documents with more than ``max_share`` of their characters on widespread lines are left whole, none by
+    default. Null ids and sites, repeated rows and empty inputs are fine. Two joins move data: widespread
     lines to the rows that hold them (keys only), and the rows' sets of such lines back to the texts.
     """
     names = _names(docs)
@@ -106,7 +107,7 @@ def strip_pages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     """
     names = _names(docs)
     flags, kept, copy = (F.col(names[n]) for n in ("flags", "kept", "copy"))
-    marked = _marked(docs, names, doc_id, text, site, min_sites, MAX_SHARE)
+    marked = _marked(docs, names, doc_id, text, site, min_sites, PAGE_SHARE)
     mostly = F.col(names["bad"]).isNotNull() & ~flags  # kept stays beside the text of these alone
     marked = stage_table(marked.select(
         *[F.when(flags, kept).otherwise(col(c)).alias(c) if c == text else col(c) for c in docs.columns], F.when(mostly, kept).alias(names["kept"])))

@@ -67,10 +67,9 @@ l as (select r, i, lines[i] as line, trim(lines[i], chr(32) || chr(9) || chr(10)
 wide as (select bare from l where bare <> '' group by bare having count(distinct source) >= {line_dedup.MIN_SITES}),
 f as (select l.*, wide.bare is not null as bad from l left join wide using (bare)),
 d as (select r, count(*) filter (bare <> '') as n_lines, count(*) filter (bad) as n_widespread,
-             coalesce(sum(length(bare)) filter (bad), 0) <= {line_dedup.MAX_SHARE} * sum(length(bare)) as cut from f group by r),
-k as (select r, string_agg(line, chr(10) order by i) filter (not (bad and cut)) as kept from f join d using (r) group by r)
-select doc_id, n_lines, n_widespread, case when cut then n_widespread else 0 end::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
-from t join d using (r) join k using (r)"""
+             string_agg(line, chr(10) order by i) filter (not bad) as kept from f group by r)
+select doc_id, n_lines, n_widespread, n_widespread as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from t join d using (r)"""
 
 REPEATS = rf"""with d as (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) as w from documents),
 win as (select r, i, md5(array_to_string(w[i : i + {substrings.LENGTH - 1}], ' ')) as s

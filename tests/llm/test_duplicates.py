@@ -15,7 +15,7 @@ def lines_of(text):
     return [(raw, raw.strip(" \t\n\r\x0b\x0c")) for raw in (text or "").split("\n")]
 
 
-def brute_lines(docs, min_sites, share=0.5):
+def brute_lines(docs, min_sites, share=1.0):
     sites = defaultdict(set)
     for d in docs:
         for _, bare in lines_of(d[1]):
@@ -32,12 +32,14 @@ def brute_lines(docs, min_sites, share=0.5):
     return out
 
 
-@pytest.mark.parametrize("min_sites", [1, 2, 10, 14, 15])
-def test_lines(spark, min_sites):
+@pytest.mark.parametrize("min_sites, share", [(1, 1.0), (2, 1.0), (10, 1.0), (14, 1.0), (15, 1.0), (2, 0.5), (10, 0.5)])
+def test_lines(spark, min_sites, share):
     docs = documents()
-    got = line_dedup.strip_lines(frame(spark), min_sites=min_sites)
+    got = line_dedup.strip_lines(frame(spark), min_sites=min_sites, max_share=share)
     assert got.columns == [*frame(spark).columns, "n_lines", "n_widespread", "n_removed"]
-    assert tidy(got.select("doc_id", "text", "n_lines", "n_widespread", "n_removed").collect()) == tidy(brute_lines(docs, min_sites))
+    assert tidy(got.select("doc_id", "text", "n_lines", "n_widespread", "n_removed").collect()) == tidy(brute_lines(docs, min_sites, share))
+    if share == 1.0:
+        assert got.where("n_removed <> n_widespread").count() == 0
 
 
 def test_line_band_is_counted_exactly(spark):
