@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,8 +138,8 @@ def wrap_tool_call(content: Column | str) -> Column:
                     json_text(content), F.lit("}}"))
 
 
-@F.pandas_udf(T.BooleanType())
-def _yaml_loads(texts: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BooleanType())
+def _yaml_loads(texts: pa.Array) -> pa.Array:
     import yaml
 
     loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
@@ -153,7 +153,8 @@ def _yaml_loads(texts: pd.Series) -> pd.Series:
         except Exception:  # bad dates and the like leave the loader as other error types
             return False
 
-    return texts.map(ok)
+    # one text at a time, so that a worker never holds a batch both as Arrow and as Python strings
+    return pa.array((ok(t.as_py()) for t in texts), pa.bool_(), size=len(texts))
 
 
 # keeps the optimizer from moving the call into a filter and so running it twice per row

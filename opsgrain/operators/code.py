@@ -58,11 +58,8 @@ def ml_gate(content: Column | str, low: Column | str, cfg: GateConfig = GateConf
     return (k8s & word) if cfg.ml_mode == "strict" else (k8s | word)
 
 
-def code_gate(files: DataFrame, cfg: GateConfig = GateConfig(), yaml_check: bool | None = None) -> DataFrame:
-    """Adds ``status``: the first failed check, or ``ok``. Rows are kept.
-
-    Only rows that pass every native check before the YAML one reach the Python parser.
-    """
+def _native_gates(files: DataFrame, cfg: GateConfig) -> DataFrame:
+    """Adds ``_early`` and ``_late``: the first failed check before and after the YAML one, null where all pass."""
     content = F.coalesce(F.col("content"), F.lit(""))
     size = F.coalesce(F.col("size"), F.lit(0))
     ext = F.lower(F.regexp_replace(F.coalesce(F.col("ext"), F.lit("")), r"^\.+", ""))
@@ -80,24 +77,40 @@ def code_gate(files: DataFrame, cfg: GateConfig = GateConfig(), yaml_check: bool
         cheap.append((~content.contains("metadata:"), "missing_metadata"))
     staged = files.withColumn("_early", first_match(cheap, F.lit(None).cast("string"))) \
         .withColumn("_lic", row_licenses()).withColumn("_low", F.lower(content))
-    early = [F.col("_early")]
-    if cfg.valid_yaml_only if yaml_check is None else yaml_check:
-        staged = staged.withColumn("_yaml", cd.yaml_valid("content", F.col("_early").isNull()))
-        early.append(F.when(~F.col("_yaml"), "invalid_yaml"))
     late = [license_gate("_lic", cfg.licenses, cfg.require_license)]
     if cfg.require_ml_infra:
         late.append(F.when(~ml_gate(content, "_low", cfg), "not_ml_infra"))
-    return staged.withColumn("status", F.coalesce(*early, *late, F.lit("ok"))).drop("_early", "_lic", "_yaml", "_low")
+    return staged.withColumn("_late", F.coalesce(*late, F.lit(None).cast("string"))).drop("_lic", "_low")
+
+
+def code_gate(files: DataFrame, cfg: GateConfig = GateConfig(), yaml_check: bool | None = None) -> DataFrame:
+    """Adds ``status``: the first failed check, or ``ok``. Rows are kept.
+
+    Only rows that pass every native check before the YAML one reach the Python parser.
+    """
+    staged, early = _native_gates(files, cfg), [F.col("_early")]
+    if cfg.valid_yaml_only if yaml_check is None else yaml_check:
+        staged = staged.withColumn("_yaml", cd.yaml_valid("content", F.col("_early").isNull()))
+        early.append(F.when(~F.col("_yaml"), "invalid_yaml"))
+    return staged.withColumn("status", F.coalesce(*early, F.col("_late"), F.lit("ok"))).drop("_early", "_late", "_yaml")
 
 
 def process_code(files: DataFrame, cfg: GateConfig = GateConfig()) -> DataFrame:
     """Gate, redact, check again, wrap. Every row keeps its status; ``messages`` and ``_meta``
-    are null unless it is ``ok``."""
-    gated = code_gate(files, cfg)
-    ok = F.col("status") == "ok"
-    clean = gated.withColumn("_clean", F.when(ok, cd.redact("content"))) \
-        .withColumn("_again", cd.yaml_valid("_clean")) \
-        .withColumn("status", F.when(ok & ~F.col("_again"), "invalid_yaml_post_redaction").otherwise(F.col("status")))
+    are null unless it is ``ok``.
+
+    Both YAML checks stand in one projection, so a task has one Python worker for them; a text that was
+    parsed once and is not changed by the redaction is not parsed again.
+    """
+    early, late = F.col("_early"), F.col("_late")
+    clean = _native_gates(files, cfg).withColumn("_clean", F.when(early.isNull() & late.isNull(), cd.redact("content")))
+    if cfg.valid_yaml_only:
+        changed = F.col("_clean") != F.col("content")
+        judged = clean.withColumns({"_yaml": cd.yaml_valid("content", early.isNull()), "_again": cd.yaml_valid("_clean", changed)})
+    else:
+        judged = clean.withColumns({"_yaml": F.lit(True), "_again": cd.yaml_valid("_clean")})
+    clean = judged.withColumn("status", F.coalesce(
+        early, F.when(~F.col("_yaml"), "invalid_yaml"), late, F.when(~F.col("_again"), "invalid_yaml_post_redaction"), F.lit("ok")))
     path = row_path()
     clean = clean.withColumn("_slug", cd.prompt_slug(path)).withColumn("_prompt", cd.prompt_of_slug("_slug"))
     messages = F.array(

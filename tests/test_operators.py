@@ -239,6 +239,24 @@ def test_code_gate_reasons(spark):
     assert record._meta.licenses == ["mit"] and record._meta.path == "a/x.yaml"
 
 
+def test_code_yaml_checks_share_one_worker(spark, capsys):
+    head = "apiVersion: v1\nkind: Job\nmetadata:\n  name: gpu\n"
+    cases = [(head, "ok"), (head + "token: abc\n", "ok"), (head + "x: {token: a, b: c}\n", "invalid_yaml_post_redaction"), (head + "x: [1", "invalid_yaml"),
+             (head.replace("gpu", "web") + "x: [1", "invalid_yaml"), (head.replace("gpu", "web"), "not_ml_infra"), (head + "x: [1\ntoken: a", "invalid_yaml"), (None, "empty_content")]
+    files = spark.createDataFrame([(c, "yaml", 300, 0.5, str(i), "a/x.yaml", ["MIT"]) for i, (c, _) in enumerate(cases)],
+                                  "content string, ext string, size bigint, alphanum_fraction double, hexsha string, max_stars_repo_path string, max_stars_repo_licenses array<string>")
+    files = files.selectExpr("*", *[f"cast(null as string) as max_{k}_repo_path" for k in ("issues", "forks")], *[f"cast(null as array<string>) as max_{k}_repo_licenses" for k in ("issues", "forks")])
+    done = code.process_code(files)
+    assert [r.status for r in done.orderBy("hexsha").collect()] == [want for _, want in cases]
+    loose = code.process_code(files, code.GateConfig(valid_yaml_only=False)).orderBy("hexsha").collect()
+    broken = {"invalid_yaml": "invalid_yaml_post_redaction"}
+    assert [r.status for r in loose] == [broken.get(want, want) if i != 4 else "not_ml_infra" for i, (_, want) in enumerate(cases)]
+    capsys.readouterr()
+    done.explain()
+    # two nodes would be two Python workers per task, each with its own batches
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+
+
 def test_sequence_and_chat_rules(spark):
     seqs = spark.createDataFrame([(1, [1], 0), (2, [], 5), (3, None, None), (4, [1, None], 1)], "id int, sequence_ids array<int>, label int")
     got = defaultdict(list)
