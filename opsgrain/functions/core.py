@@ -106,7 +106,9 @@ def json_valid(col: Column | str) -> Column:
     pattern removes the well-formed string literals; no quote of either kind may be left.
     """
     s = as_col(col)
-    number = F.regexp_replace(s, r"(?<=^|[\[,:\s])(?:-?Infinity|NaN)(?=$|[\],}\s])", "0")
+    # the look-behind is tried at every character, so texts without either word go round it
+    number = F.when(s.contains("Infinity") | s.contains("NaN"),
+                    F.regexp_replace(s, r"(?<=^|[\[,:\s])(?:-?Infinity|NaN)(?=$|[\],}\s])", "0")).otherwise(s)
     in_array = F.json_array_length(F.concat(F.lit("["), number, F.lit("]"))) == 1
     in_object = F.size(F.json_object_keys(F.concat(F.lit('{"k":'), number, F.lit("}")))) == 1
     plain = ~F.regexp_replace(s, rules.JAVA_JSON_STRING, "0").rlike("[\"']")

@@ -240,11 +240,10 @@ def validate_code_records(records: DataFrame, key: Column) -> DataFrame:
         .withColumn("_json", (F.col("_size") == 2) & json_valid(answer["content"])) \
         .withColumn("_tool", F.get_json_object(answer["content"], "$.tool")) \
         .withColumn("_manifest", F.when(F.col("_json"), F.coalesce(
-            F.get_json_object(answer["content"], "$.params.manifest_content"), F.lit("")))) \
-        .withColumn("_yaml", cd.yaml_valid("_manifest", F.col("_manifest") != ""))
+            F.get_json_object(answer["content"], "$.params.manifest_content"), F.lit(""))))
     two, parsed = F.col("_size") == 2, F.col("_json")
     filled = parsed & (F.col("_manifest") != "")
-    found = [
+    before = [
         F.when(F.col("messages").isNull(), F.lit("missing_top_key:messages")),
         F.when(F.col("_meta").isNull(), F.lit("missing_top_key:_meta")),
         F.when(~two, F.concat(F.lit("wrong_message_count:"), F.col("_size").cast("string"))),
@@ -254,12 +253,16 @@ def validate_code_records(records: DataFrame, key: Column) -> DataFrame:
         F.when(two & ~parsed, F.lit("assistant_invalid_json")),
         F.when(parsed & (F.coalesce(F.col("_tool"), F.lit("")) != "apply_manifest"), F.lit("wrong_tool_name")),
         F.when(parsed & (F.col("_manifest") == ""), F.lit("empty_manifest_content")),
-        F.when(filled & ~F.col("_yaml"), F.lit("manifest_invalid_yaml")),
-        *[F.when(filled & F.col("_manifest").rlike("(?U)" + p), F.lit(f"pii_leaked:{n}"))
-          for n, p in rules.LEAK_PATTERNS],
+    ]
+    after = [
+        *[F.when(filled & hit, F.lit(f"pii_leaked:{n}")) for n, hit in cd.leaks_found("_manifest").items()],
         *[F.when(F.col(f"_meta.{k}").isNull(), F.lit(f"missing_meta_key:{k}")) for k in rules.META_KEYS],
     ]
-    return staged.select("_key", F.array_compact(F.array(*found)).alias("violations"))
+    # the native rules are judged first: beside a text on its way to the parser waits one narrow row, not the record
+    judged = staged.select("_key", F.array_compact(F.array(*before)).alias("_before"), F.array_compact(F.array(*after)).alias("_after"),
+                           cd.yaml_valid("_manifest", F.col("_manifest") != "").alias("_yaml"))
+    broken = F.when(~F.col("_yaml"), F.array(F.lit("manifest_invalid_yaml"))).otherwise(F.array().cast("array<string>"))
+    return judged.select("_key", F.concat("_before", broken, "_after").alias("violations"))
 
 
 def violation_counts(judged: DataFrame) -> DataFrame:
