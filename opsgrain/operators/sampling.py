@@ -17,6 +17,7 @@ from opsgrain.functions.core import as_col, py_round, seeded_int, seeded_key
 from opsgrain.operators.quantiles import exact_quantiles
 from opsgrain.session import attach_row
 
+_DRAWS_PER_TASK = 500_000
 _PREFIX = 4  # hex digits of a hash bucket: 65,536 buckets per class
 
 
@@ -42,17 +43,19 @@ def with_class_index(df: DataFrame, class_col: str, key: Sequence[str], seed: in
 
 
 def draw_with_replacement(indexed: DataFrame, class_col: str, plan: DataFrame, seed: int = rules.SEED,
-                          index: str = "class_index", copy: str = "copy") -> DataFrame:
+                          index: str = "class_index", copy: str = "copy", parts: int | None = None) -> DataFrame:
     """``plan`` has (class, size, draws): exactly ``draws`` rows come back per class.
 
     Draw d picks position md5(seed:class:d) mod size. The draws are counted per position
     before the join, so each drawn row crosses it once with its number of copies; ``copy``
-    numbers them. Split ranges keep the draw list itself spread over the cluster.
+    numbers them. Ranges of the draw list are dealt to ``parts`` tasks (default: the shuffle partitions); the number
+    is given, as Spark would put the few small rows that stand for all draws together into one task.
     """
     step = 100_000
+    parts = parts or int(indexed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = plan.where(F.col("draws") > 0).withColumn(
         "_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("draws") - 1) / step).cast("bigint"))))
-    drawn = chunks.repartition(class_col, "_from").select(class_col, "size", F.explode(F.sequence(
+    drawn = chunks.repartition(parts).select(class_col, "size", F.explode(F.sequence(
         F.col("_from") * step, F.least((F.col("_from") + 1) * step, F.col("draws")) - 1)).alias("_draw"))
     picked = drawn.select(class_col, (seeded_int(seed, class_col, "_draw") % F.col("size")).alias(index))
     times = picked.groupBy(class_col, index).agg(F.count("*").alias("_times"))
@@ -97,7 +100,8 @@ def balance_classes(df: DataFrame, key: Sequence[str], seed: int = rules.SEED, c
     if drawn:
         wanted = df.sparkSession.createDataFrame([(c, plan[c]["size"], plan[c].draws) for c in drawn], f"{class_col} {dict(df.dtypes)[class_col]}, size bigint, draws bigint")
         indexed = with_class_index(df.where(label.isin(drawn)), class_col, key, seed)
-        out = out.unionByName(draw_with_replacement(indexed, class_col, wanted, seed).select(*df.columns, "copy"))
+        parts = math.ceil(sum(plan[c].draws for c in drawn) / _DRAWS_PER_TASK)
+        out = out.unionByName(draw_with_replacement(indexed, class_col, wanted, seed, parts=parts).select(*df.columns, "copy"))
     return out
 
 

@@ -257,6 +257,20 @@ def test_code_yaml_checks_share_one_worker(spark, capsys):
     assert capsys.readouterr().out.count("ArrowEvalPython") == 1
 
 
+def test_draws_are_dealt_to_many_tasks(spark, capsys):
+    rows = [(label, str(i)) for label, n in ((0, 50), (1, 40), (2, 7)) for i in range(n)]
+    df = spark.createDataFrame(rows, "label int, id string")
+    plan = spark.createDataFrame([(1, 40, 1_250_000), (2, 7, 30)], "label int, size bigint, draws bigint")
+    drawn = sampling.draw_with_replacement(sampling.with_class_index(df, "label", ["id"]), "label", plan)
+    assert {r.label: r["count"] for r in drawn.groupBy("label").count().collect()} == {1: 1_250_000, 2: 30}
+    capsys.readouterr()
+    drawn.explain()
+    # a number that is not given is cut down to one task, which then makes, hashes and counts all draws
+    assert "RoundRobinPartitioning(4), REPARTITION_BY_NUM" in capsys.readouterr().out
+    balanced = sampling.balance_classes(df, ["id"])
+    assert {r.label: r["count"] for r in balanced.groupBy("label").count().collect()} == {0: 50, 1: 40, 2: 40}
+
+
 def test_sequence_and_chat_rules(spark):
     seqs = spark.createDataFrame([(1, [1], 0), (2, [], 5), (3, None, None), (4, [1, None], 1)], "id int, sequence_ids array<int>, label int")
     got = defaultdict(list)
