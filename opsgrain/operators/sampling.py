@@ -22,8 +22,8 @@ _PREFIX = 4  # hex digits of a hash bucket: 65,536 buckets per class
 
 
 def with_class_index(df: DataFrame, class_col: str, key: Sequence[str], seed: int = rules.SEED,
-                     name: str = "class_index") -> DataFrame:
-    """0-based position inside the class, in seeded random order.
+                     name: str = "class_index", parts: int | None = None) -> DataFrame:
+    """0-based position inside the class, in seeded random order; ``parts`` tasks sort, if given.
 
     Rows are ranked inside (class, hash bucket), so a class with a third of all rows still
     spreads over 65,536 window groups; the bucket offsets are added by a join.
@@ -35,7 +35,7 @@ def with_class_index(df: DataFrame, class_col: str, key: Sequence[str], seed: in
     offsets = sizes.select(class_col, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     local = Window.partitionBy(class_col, "_bucket").orderBy("_key")
     return (
-        keyed.withColumn("_local", F.row_number().over(local) - 1)
+        (keyed.repartition(parts, class_col, "_bucket") if parts else keyed).withColumn("_local", F.row_number().over(local) - 1)
         .join(offsets, [class_col, "_bucket"])
         .withColumn(name, F.col("_offset") + F.col("_local"))
         .drop("_key", "_bucket", "_local", "_offset")
@@ -49,15 +49,18 @@ def draw_with_replacement(indexed: DataFrame, class_col: str, plan: DataFrame, s
     Draw d picks position md5(seed:class:d) mod size. The draws are counted per position
     before the join, so each drawn row crosses it once with its number of copies; ``copy``
     numbers them. Ranges of the draw list are dealt to ``parts`` tasks (default: the shuffle partitions); the number
-    is given, as Spark would put the few small rows that stand for all draws together into one task.
+    is given, as Spark would put the few small rows that stand for all draws together into one task. With ``parts``
+    the join runs in as many tasks, and no side of it is broadcast: both grow with the input.
     """
-    step = 100_000
+    step, joined_in = 100_000, parts
     parts = parts or int(indexed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = plan.where(F.col("draws") > 0).withColumn(
         "_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("draws") - 1) / step).cast("bigint"))))
     drawn = chunks.repartition(parts).select(class_col, "size", F.explode(F.sequence(
         F.col("_from") * step, F.least((F.col("_from") + 1) * step, F.col("draws")) - 1)).alias("_draw"))
     picked = drawn.select(class_col, (seeded_int(seed, class_col, "_draw") % F.col("size")).alias(index))
+    if joined_in:
+        picked, indexed = picked.repartition(parts, class_col, index), indexed.repartition(parts, class_col, index).hint("merge")
     times = picked.groupBy(class_col, index).agg(F.count("*").alias("_times"))
     return indexed.join(times, [class_col, index]).withColumn(
         copy, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_times") - 1))).drop("_times")
@@ -99,8 +102,9 @@ def balance_classes(df: DataFrame, key: Sequence[str], seed: int = rules.SEED, c
     out = df.where(stays).select("*", copy)
     if drawn:
         wanted = df.sparkSession.createDataFrame([(c, plan[c]["size"], plan[c].draws) for c in drawn], f"{class_col} {dict(df.dtypes)[class_col]}, size bigint, draws bigint")
-        indexed = with_class_index(df.where(label.isin(drawn)), class_col, key, seed)
+        # a drawn class has fewer rows than draws, so this bounds the rows of a task as well
         parts = math.ceil(sum(plan[c].draws for c in drawn) / _DRAWS_PER_TASK)
+        indexed = with_class_index(df.where(label.isin(drawn)), class_col, key, seed, parts=parts)
         out = out.unionByName(draw_with_replacement(indexed, class_col, wanted, seed, parts=parts).select(*df.columns, "copy"))
     return out
 

@@ -268,6 +268,10 @@ def test_draws_are_dealt_to_many_tasks(spark, capsys):
     # a number that is not given is cut down to one task, which then makes, hashes and counts all draws
     assert "RoundRobinPartitioning(4), REPARTITION_BY_NUM" in capsys.readouterr().out
     balanced = sampling.balance_classes(df, ["id"])
+    balanced.explain()
+    plan = capsys.readouterr().out
+    # neither the rows nor the draws, which both grow with the input, are sent to every executor
+    assert plan.count("SortMergeJoin [label") >= 1 and plan.count("REPARTITION_BY_NUM") == 4
     assert {r.label: r["count"] for r in balanced.groupBy("label").count().collect()} == {0: 50, 1: 40, 2: 40}
 
 
