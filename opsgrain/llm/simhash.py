@@ -82,7 +82,10 @@ def band_masks(bands: int) -> list[int]:
 
 
 def links(nodes: DataFrame, *, fp: str = "fp", distance: int = DISTANCE, bands: int = BANDS) -> DataFrame:
-    """(a, b), a < b: all pairs of the distinct fingerprints ``nodes`` within ``distance`` bits, each once."""
+    """(a, b), a < b: all pairs of the distinct fingerprints ``nodes`` within ``distance`` bits, each once.
+
+    Spark takes the exploded cells for no more bytes than their nodes, so the join is told not to broadcast them.
+    """
     masks = band_masks(bands)
     grids = list(combinations(range(bands), bands - distance))
     whole = [0] * len(grids)
@@ -101,7 +104,7 @@ def links(nodes: DataFrame, *, fp: str = "fp", distance: int = DISTANCE, bands:
     near = ((F.col("a.grid") == F.col("b.grid")) & (F.col("a.cell") == F.col("b.cell")) & (F.col("a.f") < F.col("b.f"))
             & (manhattan(F.col("a.v"), F.col("b.v")) <= distance)
             & (F.bit_count(F.col("a.f").bitwiseXOR(F.col("b.f"))) <= distance) & (first == F.col("a.grid")))
-    return a.join(b, near).select(F.col("a.f").alias("a"), F.col("b.f").alias("b"))
+    return a.join(b.hint("merge"), near).select(F.col("a.f").alias("a"), F.col("b.f").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE, bands: int = BANDS) -> DataFrame:

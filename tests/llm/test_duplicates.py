@@ -9,6 +9,7 @@ import xxhash
 from cases import documents, frame, tidy
 
 from opsgrain.llm import components, decontaminate, line_dedup, simhash, substrings
+from opsgrain.session import stage_table
 
 
 def lines_of(text):
@@ -164,6 +165,16 @@ def test_links_are_all_found(spark):
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
+def test_cells_are_not_broadcast(spark):
+    """By the bytes of a small table of nodes Spark would send all its cells, many times as much, to the driver."""
+    nodes = stage_table(spark.createDataFrame([(v,) for v in (0, 1, 7, 255, 256, -1, -2)], "fp long"))
+    found = simhash.links(nodes)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {tuple(r) for r in found.collect()} == {(0, 1), (0, 7), (0, 256), (1, 7), (1, 256), (7, 256), (-2, -1)}
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components_of_a_chain(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 200), (150, 200)] + [(300, 300 + i) for i in range(1, 30)]
     got = {r.node: r.root for r in components.roots(spark.createDataFrame(chain, "a long, b long")).collect()}
